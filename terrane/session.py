@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,11 +59,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``max_rows``.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
 
-    Beyond the bound the plain DataFrame is returned and Spark shuffles the join.
-    The count reads at most ``max_rows + 1`` rows of the result.
+    For results that several later steps read: they are computed once, survive lost
+    executors, keep column pruning, and their size is known to the join planner.
     """
-    within = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
