@@ -18,12 +18,12 @@ class Blocks:
     rows: DataFrame
     starts: DataFrame
     keys: list[str]
-    order: str
+    order: list[str]
 
     def number(self, starts: DataFrame | None = None, out: str = "_number") -> DataFrame:
         """Rows with their 0-based number in the group; other columns of ``starts`` stay."""
         blocks = (starts if starts is not None else self.starts).drop("_first")
-        inside = Window.partitionBy(*self.keys, "_block").orderBy(self.order)
+        inside = Window.partitionBy(*self.keys, "_block").orderBy(*self.order)
         return (
             self.rows.join(blocks, [*self.keys, "_block"])
             .withColumn(out, F.col("_before") + F.row_number().over(inside) - 1)
@@ -32,9 +32,10 @@ class Blocks:
 
 
 def block_numbers(
-    df: DataFrame, keys: Sequence[str], order: str, width: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: str, width: int = BLOCK,
+    ties: Sequence[str] = (),
 ) -> Blocks:
-    """Prepare row numbers by a whole-number order column.
+    """Prepare row numbers by a whole-number order column; ``ties`` order its ties.
 
     A block spans ``width`` consecutive values of the order. Blocks are counted, with
     a partial aggregate, and only the counts of a group meet in one task; the rows of
@@ -52,11 +53,12 @@ def block_numbers(
     starts = counts.withColumn(
         "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     ).drop("_n")
-    return Blocks(rows, starts, keys, order)
+    return Blocks(rows, starts, keys, [order, *ties])
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, width: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: str, out: str, width: int = BLOCK,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """0-based row numbers per group in the order of a whole-number column."""
-    return block_numbers(df, keys, order, width).number(out=out)
+    return block_numbers(df, keys, order, width, ties).number(out=out)
