@@ -11,6 +11,7 @@ from terrane.operators import (
     factors, folds, landscapes, meshes, metrics, planes, selection, surfaces,
 )
 from terrane.operators.factors import TRIPLE
+from terrane.session import written
 
 METADATA = ["subtype", "protein", "clade", "variant_hash", "substitution_list"]
 COLUMNS = [*METADATA, "hd", "pcd", "total_score", "srel_total_score", "H3_seasonal_calpha_sd",
@@ -165,15 +166,17 @@ FROM model, line WHERE "{Y}" IS NOT NULL AND "{Z}" IS NOT NULL
 """
 
 
-def guarded_rows(spark, sf):
+def guarded_rows(spark, sf, repeats=0):
     table = model_table(spark, sf)
-    guard = factors.row_guard(table, TRIPLES, METADATA)
-    return factors.guarded(factors.triple_rows(table, TRIPLES, [KEY]), guard)
+    passed = factors.enough_triples(factors.row_guard(table, TRIPLES, METADATA))
+    if not repeats:
+        return factors.triple_rows(table, passed)
+    hashed = folds.with_folds(table, [KEY], K, repeats)
+    return folds.spread_folds(factors.triple_rows(hashed, passed, ["folds"]))
 
 
 def scores(spark, sf, repeats):
-    rows = folds.fold_ids(guarded_rows(spark, sf), [KEY], K, repeats)
-    return planes.fold_scores(rows, PENALTIES)
+    return planes.fold_scores(guarded_rows(spark, sf, repeats), PENALTIES)
 
 
 def plane_folds(spark, sf):
@@ -300,7 +303,7 @@ mesh AS (
 
 
 def mesh_grid(spark, sf):
-    return rounded(meshes.mesh(meshes.axis_ranges(guarded_rows(spark, sf))))
+    return rounded(meshes.mesh(meshes.axis_ranges(meshes.axis_spans(guarded_rows(spark, sf)))))
 
 
 MESH_GRID_SQL = f"""
@@ -311,7 +314,7 @@ SELECT {NAMES}, ix, iy, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM mesh
 
 def landscape(spark, sf):
     return landscapes.plane_landscape(
-        model_table(spark, sf), TRIPLES, [KEY], PENALTIES, K, SEARCH, FINAL
+        written(model_table(spark, sf), "model-table"), TRIPLES, [KEY], PENALTIES, K, SEARCH, FINAL
     )
 
 
@@ -386,7 +389,9 @@ FROM observed JOIN summary USING ({NAMES})
 def full_mesh(spark, sf):
     """Mesh predictions of the plain planes, the input of the surface operators."""
     rows = guarded_rows(spark, sf)
-    points = meshes.mesh(meshes.axis_ranges(rows)).join(planes.fit_planes(rows), TRIPLE)
+    spans = written(meshes.axis_spans(rows), "spans")
+    fits = planes.solve(planes.plane_sums(rows, spans))
+    points = meshes.mesh(meshes.axis_ranges(spans)).join(fits, TRIPLE)
     return points.select(
         *TRIPLE, "ix", "iy", F.col("x").alias("x_predicted"), F.col("y").alias("y_predicted"),
         planes.plane_value(F.col("x"), F.col("y")).alias("z_predicted"),

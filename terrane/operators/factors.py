@@ -119,9 +119,9 @@ def row_guard(
     return counts.withColumn("enough", (F.col("n") >= bound) & (F.col("n") >= least))
 
 
-def guarded(rows: DataFrame, guard: DataFrame) -> DataFrame:
-    """Long rows of the triples that passed the guard."""
-    return rows.join(guard.filter("enough").select(*TRIPLE), TRIPLE, "left_semi")
+def enough_triples(guard: DataFrame) -> list[Triple]:
+    """The triples that passed: at most as many names as were asked for."""
+    return [tuple(r) for r in guard.filter("enough").select(*TRIPLE).sort(*TRIPLE).collect()]
 
 
 def set_counts(

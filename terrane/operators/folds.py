@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions.numbers import hash_bucket, hash_number
+from terrane.functions.predicates import quoted
 from terrane.operators.numbering import number_rows
 
 # Folds, repeats of the search and of the final check, seed, share.
@@ -25,6 +26,24 @@ def fold_of(key: Sequence[str], repeat: Column, k: int = FOLDS, seed: int = SEED
     return hash_bucket(k, F.lit(seed), repeat, *[F.col(c) for c in key])
 
 
+def with_folds(
+    df: DataFrame, key: Sequence[str], k: int = FOLDS, repeats: int = SEARCH_REPEATS,
+    seed: int = SEED,
+) -> DataFrame:
+    """Rows with the array ``folds``: their fold in repeat 1, 2, ... Made before a row
+    is widened per triple, so that each row is hashed once per repeat."""
+    numbers = F.sequence(F.lit(1), F.lit(repeats))
+    return df.withColumn("folds", F.transform(numbers, lambda r: fold_of(key, r, k, seed)))
+
+
+def spread_folds(df: DataFrame, repeats: int | None = None) -> DataFrame:
+    """One row per repeat with its fold, for the first ``repeats`` of the array."""
+    chosen = F.col("folds") if repeats is None else F.slice("folds", 1, repeats)
+    kept = [c for c in df.columns if c != "folds"]
+    spread = df.select(*[quoted(c) for c in kept], F.posexplode(chosen).alias("_at", "fold"))
+    return spread.withColumn("repeat", F.col("_at") + 1).drop("_at")
+
+
 def fold_ids(
     df: DataFrame, key: Sequence[str], k: int = FOLDS, repeats: int = SEARCH_REPEATS,
     seed: int = SEED, balanced: bool = False,
@@ -34,9 +53,9 @@ def fold_ids(
     ``balanced`` makes the folds of a repeat equal in size to within one row, by row
     numbers in hash order; it costs a shuffle.
     """
-    rows = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     if not balanced:
-        return rows.withColumn("fold", fold_of(key, F.col("repeat"), k, seed))
+        return spread_folds(with_folds(df, key, k, repeats, seed))
+    rows = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     order = hash_number(F.lit(seed), F.col("repeat"), *[F.col(c) for c in key])
     placed = number_rows(
         rows.withColumn("_order", order), ["repeat"], "_order", "_place", HASH_RANGE, key

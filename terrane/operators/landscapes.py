@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from terrane.functions.predicates import quoted
 from terrane.operators.factors import (
-    TRIPLE, Triple, guarded, metadata_columns, row_guard, triple_rows,
+    TRIPLE, Triple, enough_triples, metadata_columns, row_guard, triple_rows,
 )
 from terrane.operators.folds import (
-    FINAL_REPEATS, FOLDS, SEARCH_REPEATS, fold_ids,
+    FINAL_REPEATS, FOLDS, SEARCH_REPEATS, spread_folds, with_folds,
 )
-from terrane.operators.meshes import axis_ranges, mesh
+from terrane.operators.meshes import axis_ranges, axis_spans, mesh
 from terrane.operators.metrics import cv_summary
-from terrane.operators.planes import fit_planes, fold_scores, mean_scores, plane_value
+from terrane.operators.planes import (
+    fold_errors, fold_fits, mean_scores, plane_sums, plane_value, whole_fits,
+)
 from terrane.operators.selection import choose_model
 from terrane.session import written
 
@@ -66,30 +68,43 @@ def plane_landscape(
     folds. The penalty takes the place of a learning rate in the tables.
     """
     metadata = metadata_columns(df.columns)
-    guard = row_guard(df, triples, metadata)
-    rows = guarded(triple_rows(df, triples, key), guard)
-    search = mean_scores(
-        fold_scores(fold_ids(rows, key, k, search_repeats), penalties), [*TRIPLE, "penalty"]
-    ).withColumn(
+    passed = enough_triples(row_guard(df, triples, metadata))
+    hashed = with_folds(df, key, k, max(search_repeats, final_repeats))
+    rows = triple_rows(hashed, passed, ["folds"])
+    spans = written(axis_spans(rows.drop("folds")), "spans")
+    # the repeats of the search are the first of the final check: one pass of sums
+    sums = written(plane_sums(spread_folds(rows), spans, ["repeat", "fold"]), "fold-sums")
+    fits = fold_fits(sums, penalties)
+
+    search = fold_errors(
+        spread_folds(rows, search_repeats), fits.filter(F.col("repeat") <= search_repeats)
+    )
+    means = mean_scores(search, [*TRIPLE, "penalty"]).withColumn(
         "model", F.when(F.col("penalty") == 0, F.lit("linear")).otherwise(F.lit("ridge"))
     )
-    chosen = written(choose_model(search, TRIPLE, ["penalty"]), "chosen-models")
-    final = fold_scores(fold_ids(rows, key, k, final_repeats), penalties, only=chosen)
+    chosen = written(choose_model(means, TRIPLE, ["penalty"]), "chosen-models")
+    final = fold_errors(
+        spread_folds(rows, final_repeats),
+        fits.filter(F.col("repeat") <= final_repeats)
+        .join(chosen.select(*TRIPLE, "penalty"), [*TRIPLE, "penalty"], "left_semi"),
+        train=False,
+    )
     checked = cv_summary(
         final.select(*TRIPLE, (-F.col("mae_test")).alias("mae"), F.col("r2_test").alias("r2")),
         TRIPLE, ["mae", "r2"],
     )
-    fits = fit_planes(rows, penalties).drop("n")
-    model = (
+    model = written(
         chosen.withColumn("learning_rate", F.col("penalty"))
-        .join(checked, TRIPLE).join(fits, [*TRIPLE, "penalty"]).drop("penalty")
+        .join(checked, TRIPLE)
+        .join(whole_fits(sums, penalties).drop("n"), [*TRIPLE, "penalty"]).drop("penalty"),
+        "surface-models",
     )
+    predicted = plane_value(F.col("x"), F.col("y"))
     return assemble(
         df, metadata, model,
-        mesh(axis_ranges(rows)).join(model, TRIPLE)
-        .withColumn("z", plane_value(F.col("x"), F.col("y"))),
-        observed_rows(df, triples, metadata).join(model.select(*TRIPLE, "b0", "b1", "b2"), TRIPLE)
-        .withColumn("z_predicted", plane_value(F.col("x"), F.col("y"))),
+        mesh(axis_ranges(spans)).join(model, TRIPLE).withColumn("z", predicted),
+        observed_rows(df, passed, metadata).join(model.select(*TRIPLE, "b0", "b1", "b2"), TRIPLE)
+        .withColumn("z_predicted", predicted),
     )
 
 

@@ -11,12 +11,17 @@ from terrane.functions.numbers import MESH_STEPS, axis_bounds
 from terrane.operators.factors import TRIPLE
 
 
-def axis_ranges(rows: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
-    """Rounded bounds of both axes; ``reason`` tells why a triple has no mesh."""
-    spans = rows.groupBy(*by).agg(
+def axis_spans(rows: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
+    """Means, and least and greatest axis values, of every triple in one aggregation."""
+    return rows.groupBy(*by).agg(
+        *[F.avg(v).alias(f"m{v}") for v in "xyz"],
         *[f(v).alias(f"{name}_{v}") for v in "xy"
-          for name, f in (("low", F.min), ("high", F.max))]
+          for name, f in (("low", F.min), ("high", F.max))],
     )
+
+
+def axis_ranges(spans: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
+    """Rounded bounds of both axes; ``reason`` tells why a triple has no mesh."""
     bounds = {}
     for v in "xy":
         lower, upper = axis_bounds(F.col(f"low_{v}"), F.col(f"high_{v}"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.operators.factors import TRIPLE
+from terrane.operators.meshes import axis_spans
 from terrane.operators.metrics import r_squared
 from terrane.session import written
 
@@ -33,16 +34,12 @@ _TERMS = {
 }
 
 
-def centers(rows: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
-    """Mean of the values per triple. Sums of centered values do not cancel."""
-    return rows.groupBy(*by).agg(*[F.avg(v).alias(f"m{v}") for v in "xyz"])
-
-
 def plane_sums(
     rows: DataFrame, middle: DataFrame, extra: Sequence[str] = (), by: Sequence[str] = TRIPLE
 ) -> DataFrame:
-    """The sums of centered values per triple and per ``extra`` columns."""
-    joined = rows.join(middle, list(by))
+    """The sums of values less their means in ``middle``, per triple and per ``extra``
+    columns. Sums of centered values do not cancel."""
+    joined = rows.join(middle.select(*by, "mx", "my", "mz"), list(by))
     x, y, z = (F.col(v) - F.col(f"m{v}") for v in "xyz")
     return joined.groupBy(*by, "mx", "my", "mz", *extra).agg(
         *[F.sum(term(x, y, z)).alias(f"s_{name}") for name, term in _TERMS.items()]
@@ -92,26 +89,35 @@ def fit_planes(
     rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
 ) -> DataFrame:
     """One plane per triple and penalty from all rows."""
-    return solve(plane_sums(rows, centers(rows, by), (), by), penalties)
+    return solve(plane_sums(rows, axis_spans(rows, by), (), by), penalties)
 
 
-def fold_scores(
-    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE,
-    only: DataFrame | None = None,
+def whole_fits(
+    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+) -> DataFrame:
+    """The same planes from fold sums: the folds of the first repeat make up all rows."""
+    whole = sums.filter(F.col("repeat") == 1).groupBy(*by, "mx", "my", "mz").agg(
+        *[F.sum(f"s_{name}").alias(f"s_{name}") for name in _TERMS]
+    )
+    return solve(whole, penalties)
+
+
+def fold_fits(
+    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
 ) -> DataFrame:
-    """Test and train MAE and R2 per triple, penalty, repeat, and fold.
+    """One plane per triple, repeat, held-out fold, and penalty."""
+    return solve(_leave_out(sums, by), penalties).filter(F.col("b0").isNotNull())
 
-    ``only`` limits the fits to its (triple, penalty) rows.
 
-    ``rows`` carry ``repeat`` and ``fold``. The fits are written once, so the planner
-    knows their size when it joins them to the rows by (triple, repeat); each row then
-    meets the list of fits of its repeat and tells test from train by its own fold.
+def fold_errors(
+    rows: DataFrame, fits: DataFrame, by: Sequence[str] = TRIPLE, train: bool = True
+) -> DataFrame:
+    """Test and, if asked, train MAE and R2 per triple, penalty, repeat, and fold.
+
+    The fits are written first, so the planner knows their size when it joins them to
+    the rows by (triple, repeat). Each row then meets the list of fits of its repeat
+    and tells test from train by its own fold.
     """
-    middle = written(centers(rows.filter(F.col("repeat") == 1), by), "centers")
-    sums = plane_sums(rows, middle, ["repeat", "fold"], by)
-    fits = solve(_leave_out(sums, by), penalties).filter(F.col("b0").isNotNull())
-    if only is not None:
-        fits = fits.join(only.select(*by, "penalty"), [*by, "penalty"], "left_semi")
     listed = written(
         fits.groupBy(*by, "repeat").agg(
             F.collect_list(F.struct(
@@ -119,20 +125,30 @@ def fold_scores(
         ),
         "fold-fits",
     )
-    scored = rows.join(listed, [*by, "repeat"]).select(
-        *by, "repeat", "fold", "x", "y", "z", F.explode("fits").alias("f")
-    ).select(
+    joined = rows.select(*by, "repeat", "fold", "x", "y", "z").join(listed, [*by, "repeat"])
+    wanted = F.col("fits") if train else F.filter("fits", lambda f: f["held"] == F.col("fold"))
+    scored = joined.select(*by, "repeat", "fold", "x", "y", "z", F.explode(wanted).alias("f")).select(
         *by, "repeat", F.col("f.held").alias("held"), F.col("f.penalty").alias("penalty"),
         (F.col("fold") == F.col("f.held")).alias("test"), "z",
         (F.col("f.b0") + F.col("f.b1") * F.col("x") + F.col("f.b2") * F.col("y")).alias("p"),
     )
     parts = []
-    for name, side in (("test", F.col("test")), ("train", ~F.col("test"))):
+    sides = [("test", F.col("test"))] + ([("train", ~F.col("test"))] if train else [])
+    for name, side in sides:
         z, p = F.when(side, F.col("z")), F.when(side, F.col("p"))
         parts += [F.avg(F.abs(z - p)).alias(f"mae_{name}"), r_squared(z, p).alias(f"r2_{name}")]
     return scored.groupBy(*by, "penalty", "repeat", F.col("held").alias("fold")).agg(*parts)
 
 
+def fold_scores(
+    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+) -> DataFrame:
+    """Scores of rows that carry ``repeat`` and ``fold``: sums, fits, and errors."""
+    spans = axis_spans(rows.filter(F.col("repeat") == 1), by)
+    sums = plane_sums(rows, written(spans, "spans"), ["repeat", "fold"], by)
+    return fold_errors(rows, fold_fits(sums, penalties, by), by)
+
+
 def mean_scores(scores: DataFrame, by: Sequence[str]) -> DataFrame:
     """Means over folds and repeats. Errors carry a minus sign: greater is better."""
     return scores.groupBy(*by).agg(
