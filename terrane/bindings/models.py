@@ -11,7 +11,7 @@ from terrane.operators import (
     factors, folds, landscapes, meshes, metrics, planes, selection, surfaces,
 )
 from terrane.operators.factors import TRIPLE
-from terrane.session import written
+from terrane.session import spread, written
 
 METADATA = ["subtype", "protein", "clade", "variant_hash", "substitution_list"]
 COLUMNS = [*METADATA, "hd", "pcd", "total_score", "srel_total_score", "H3_seasonal_calpha_sd",
@@ -171,7 +171,7 @@ def guarded_rows(spark, sf, repeats=0):
     passed = factors.enough_triples(factors.row_guard(table, TRIPLES, METADATA))
     if not repeats:
         return factors.triple_rows(table, passed)
-    hashed = folds.with_folds(table, [KEY], K, repeats)
+    hashed = written(folds.with_folds(spread(table, [KEY]), [KEY], K, repeats), "hashed-rows")
     return folds.spread_folds(factors.triple_rows(hashed, passed, ["folds"]))
 
 

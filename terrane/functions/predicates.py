@@ -30,6 +30,16 @@ def cols_matching(columns: DataFrame | Iterable[str], pattern: str) -> list[str]
     return [name for name in names if rule.match(name)]
 
 
+def ticked(name: str) -> str:
+    """A column name for an SQL expression, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal for an SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quoted(name: str) -> Column:
-    """The column of exactly this name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column of exactly this name."""
+    return F.col(ticked(name))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.functions.predicates import cols_matching, quoted
+from terrane.functions.predicates import cols_matching, quoted, text, ticked
 from terrane.operators.merging import ENERGIES, RELATIVE
 
 # Axis patterns, least rows of a comparison, least share of a landscape.
@@ -84,25 +84,18 @@ def triple_rows(
 ) -> DataFrame:
     """Long form: one row per source row and triple whose values are all present.
 
-    The triples are a constant of the plan, so this widens the rows in place; the
-    aggregates that follow combine before their shuffle.
+    The triples are a constant of the plan, one expression for all of them, so rows are
+    widened in place; the aggregates that follow combine before their shuffle.
     """
-    cells = F.array(*[
-        F.struct(
-            F.lit(x).alias("x_factor"), F.lit(y).alias("y_factor"), F.lit(z).alias("z_factor"),
-            quoted(x).cast("double").alias("x"), quoted(y).cast("double").alias("y"),
-            quoted(z).cast("double").alias("z"),
-        )
+    cells = ", ".join(
+        f"named_struct('x_factor', {text(x)}, 'y_factor', {text(y)}, 'z_factor', {text(z)}, "
+        f"'x', CAST({ticked(x)} AS DOUBLE), 'y', CAST({ticked(y)} AS DOUBLE), "
+        f"'z', CAST({ticked(z)} AS DOUBLE))"
         for x, y, z in triples
-    ])
-    present = F.filter(
-        cells,
-        lambda c: c["x"].isNotNull() & c["y"].isNotNull()
-        & (c["z"].isNotNull() if need_z else F.lit(True)),
-    )
-    return df.select(*[quoted(c) for c in keep], F.explode(present).alias("c")).select(
-        *[quoted(c) for c in keep], "c.*"
     )
+    rows = df.select(*[quoted(c) for c in keep], F.expr(f"inline(array({cells}))"))
+    present = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return rows.filter(present & F.col("z").isNotNull() if need_z else present)
 
 
 def row_guard(
@@ -128,21 +121,14 @@ def set_counts(
     df: DataFrame, sets: Sequence[tuple[tuple[str, ...], str]], least: int = MIN_ROWS
 ) -> DataFrame:
     """Complete rows per factor set, in one scan, and whether they reach the least."""
+    names = ["+".join(xs) for xs, _ in sets]
     counts = df.agg(*[
-        F.count_if(_all_present((*xs, z))).alias(f"_{i}") for i, (xs, z) in enumerate(sets)
-    ])
-    rows = F.array(*[
-        F.struct(
-            F.lit("+".join(xs)).alias("x"), F.lit(z).alias("z"), F.col(f"_{i}").alias("n"),
-            (F.col(f"_{i}") >= least).alias("enough"),
-        )
+        F.expr("count_if(" + " AND ".join(f"{ticked(c)} IS NOT NULL" for c in (*xs, z)) + ")")
+        .alias(f"_{i}")
         for i, (xs, z) in enumerate(sets)
     ])
-    return counts.select(F.explode(rows).alias("s")).select("s.*")
-
-
-def _all_present(columns: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for c in columns:
-        present = present & quoted(c).isNotNull()
-    return present
+    cells = ", ".join(
+        f"named_struct('x', {text(x)}, 'z', {text(z)}, 'n', _{i}, 'enough', _{i} >= {least})"
+        for i, (x, (_, z)) in enumerate(zip(names, sets))
+    )
+    return counts.select(F.expr(f"inline(array({cells}))"))

@@ -21,7 +21,7 @@ from terrane.operators.planes import (
     fold_errors, fold_fits, mean_scores, plane_sums, plane_value, whole_fits,
 )
 from terrane.operators.selection import choose_model
-from terrane.session import written
+from terrane.session import spread, written
 
 # Columns of the landscape table in order, and what a family lacks.
 HYPERPARAMETERS = {
@@ -69,7 +69,9 @@ def plane_landscape(
     """
     metadata = metadata_columns(df.columns)
     passed = enough_triples(row_guard(df, triples, metadata))
-    hashed = with_folds(df, key, k, max(search_repeats, final_repeats))
+    axes = sorted({name for triple in passed for name in triple})
+    narrow = spread(df.select(*[quoted(c) for c in [*key, *axes]]), key)
+    hashed = written(with_folds(narrow, key, k, max(search_repeats, final_repeats)), "hashed-rows")
     rows = triple_rows(hashed, passed, ["folds"])
     spans = written(axis_spans(rows.drop("folds")), "spans")
     # the repeats of the search are the first of the final check: one pass of sums

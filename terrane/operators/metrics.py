@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.functions.predicates import quoted
+from terrane.functions.predicates import quoted, text, ticked
 
 PAIRS_PER_SCAN = 400
 
@@ -58,14 +58,15 @@ def r2_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for start in range(0, len(pairs), PAIRS_PER_SCAN):
         chunk = pairs[start:start + PAIRS_PER_SCAN]
         sums = df.agg(*[
-            F.regr_r2(quoted(y).cast("double"), quoted(x).cast("double")).alias(f"_{i}")
+            F.expr(f"regr_r2(CAST({ticked(y)} AS DOUBLE), CAST({ticked(x)} AS DOUBLE))")
+            .alias(f"_{i}")
             for i, (x, y) in enumerate(chunk)
         ])
-        cells = [
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_{i}").alias("r2"))
+        cells = ", ".join(
+            f"named_struct('x', {text(a)}, 'y', {text(b)}, 'r2', _{i})"
             for i, (x, y) in enumerate(chunk) for a, b in ((x, y), (y, x))
-        ]
-        parts.append(sums.select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
+        )
+        parts.append(sums.select(F.expr(f"inline(array({cells}))")))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -69,3 +69,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` over ``spark.sql.shuffle.partitions`` tasks, by key.
+
+    For a table of few rows that every following task multiplies: adaptive execution
+    would judge its size before the multiplication and leave it in one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *key)
