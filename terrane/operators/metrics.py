@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions.predicates import quoted, text, ticked
 
-PAIRS_PER_SCAN = 400
+PAIRS_PER_BLOCK = 15
 
 
 def r_squared(actual: Column, predicted: Column) -> Column:
@@ -50,27 +50,34 @@ def r2_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """R2 of the straight line between every two columns, as rows (x, y, r2) in both
     directions. Rows count for a pair when both values are present.
 
-    All pairs are aggregates of one scan, so the rows are never copied per pair. Very
-    many pairs take one scan per ``PAIRS_PER_SCAN``.
+    One scan: a row gives one short row per block of ``PAIRS_PER_BLOCK`` pairs, and the
+    blocks are aggregated together with a partial aggregate. All pairs as columns of
+    one aggregate would outgrow what the JVM compiles.
     """
     pairs = list(combinations(columns, 2))
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[start:start + PAIRS_PER_SCAN]
-        sums = df.agg(*[
-            F.expr(f"regr_r2(CAST({ticked(y)} AS DOUBLE), CAST({ticked(x)} AS DOUBLE))")
-            .alias(f"_{i}")
-            for i, (x, y) in enumerate(chunk)
-        ])
-        cells = ", ".join(
-            f"named_struct('x', {text(a)}, 'y', {text(b)}, 'r2', _{i})"
-            for i, (x, y) in enumerate(chunk) for a, b in ((x, y), (y, x))
-        )
-        parts.append(sums.select(F.expr(f"inline(array({cells}))")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    slots = range(PAIRS_PER_BLOCK)
+    blocks = [pairs[i:i + PAIRS_PER_BLOCK] for i in range(0, len(pairs), PAIRS_PER_BLOCK)]
+
+    def value(block: list, slot: int, side: int) -> str:
+        return ticked(block[slot][side]) if slot < len(block) else "NULL"
+
+    wide = ", ".join(
+        "named_struct(" + ", ".join([f"'block', {i}"] + [
+            f"'{name}{s}', CAST({value(block, s, side)} AS DOUBLE)"
+            for s in slots for side, name in enumerate("xy")
+        ]) + ")"
+        for i, block in enumerate(blocks)
+    )
+    sums = df.select(F.expr(f"inline(array({wide}))")).groupBy("block").agg(
+        F.array(*[F.expr(f"regr_r2(y{s}, x{s})") for s in slots]).alias("r2")
+    )
+    cells = ", ".join(
+        f"named_struct('x', {text(a)}, 'y', {text(b)}, 'of', {i}, 'slot', {s})"
+        for i, block in enumerate(blocks)
+        for s, (x, y) in enumerate(block) for a, b in ((x, y), (y, x))
+    )
+    named = sums.select("block", "r2", F.expr(f"inline(filter(array({cells}), c -> c.of = block))"))
+    return named.select("x", "y", F.get("r2", F.col("slot")).alias("r2"))
 
 
 def pair_fit(df: DataFrame, x: str, y: str, keep: Sequence[str] = ()) -> DataFrame:
