@@ -21,8 +21,6 @@ CONTACT_LIMIT = 4.5
 MIN_CONFIDENCE = 70.0
 # Chain number and number in the chain share one 64-bit position.
 CHAIN_STRIDE = 1 << 32
-# Separator of the parts of a reference's key; no label holds it.
-MARK = "\x01"
 
 
 def atoms_for(atoms: DataFrame, contexts: Sequence[str] = ("calpha",)) -> DataFrame:
@@ -144,106 +142,92 @@ def structural_distance(
     count. With Q and R the contacts of the two on those positions the distance is
     |Q| + |R| - 2 |Q and R|, so only counts are shuffled by (query, reference):
 
-    * |Q| and |Q and R| come from the query's contacts, met by a list of references per
-      position and per reference contact. References are a handful per context.
+    * |Q| and |Q and R| come from the query's contacts, met by the list of references
+      per position and per reference contact. References are a handful per context.
     * |R| is all contacts of the reference less those that touch a position the query
       lacks; only the lacking positions are joined.
     """
+    by = ["structure_id", "sd_context"]
     label = ["subtype", "protein", "reference_context"]
-    narrow = ["structure_id", "sd_context", "pos", "x", "y", "z"]
+    numbered = written(
+        references.select(*label, "structure_id").distinct().withColumn(
+            "ref", F.row_number().over(Window.orderBy(*label, "structure_id"))
+        ),
+        "reference-names",
+    )
+    renamed = references.join(numbered, [*label, "structure_id"]).withColumn(
+        "structure_id", F.col("ref")
+    )
 
     def positions(atoms: DataFrame, name: str) -> DataFrame:
         placed = align(site_filter(atoms_for(atoms, contexts), sites))
-        return written(mask_confidence(placed, confidence).select(*narrow), name)
+        return written(
+            mask_confidence(placed, confidence).select(*by, "pos", "x", "y", "z"), name
+        )
 
     q_pos = positions(queries, "query-positions")
-    r_pos = positions(
-        references.withColumn("structure_id", F.concat_ws(MARK, *label, "structure_id")),
-        "reference-positions",
-    )
-    by = ["structure_id", "sd_context"]
+    r_pos = positions(renamed, "reference-positions")
     r_contacts = written(contact_pairs(r_pos, by, limit), "reference-contacts")
-    q_contacts = contact_pairs(q_pos, by, limit)
 
-    # references by position and by contact, as short lists
-    having = r_pos.groupBy("sd_context", "pos").agg(F.collect_set("structure_id").alias("refs"))
+    # references by position and by contact, as short lists of numbers
+    having = r_pos.groupBy("sd_context", "pos").agg(
+        F.array_sort(F.collect_set("structure_id")).alias("refs")
+    )
     touching = r_contacts.groupBy("sd_context", "pos1", "pos2").agg(
-        F.collect_set("structure_id").alias("shared_refs")
+        F.array_sort(F.collect_set("structure_id")).alias("shared")
     )
     first = having.select("sd_context", F.col("pos").alias("pos1"), F.col("refs").alias("refs1"))
     second = having.select("sd_context", F.col("pos").alias("pos2"), F.col("refs").alias("refs2"))
+    # contacts that meet the same references count together before they are spread
     in_query = (
-        q_contacts.join(first, ["sd_context", "pos1"])
+        contact_pairs(q_pos, by, limit)
+        .join(first, ["sd_context", "pos1"])
         .join(second, ["sd_context", "pos2"])
         .join(touching, ["sd_context", "pos1", "pos2"], "left")
-        .select(
-            "structure_id", "sd_context", "shared_refs",
-            F.explode(F.array_intersect("refs1", "refs2")).alias("ref"),
-        )
-        .groupBy("structure_id", "sd_context", "ref")
+        .groupBy(*by, F.array_intersect("refs1", "refs2").alias("refs"), "shared")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*by, "shared", "n", F.explode("refs").alias("ref"))
+        .groupBy(*by, "ref")
         .agg(
-            F.count(F.lit(1)).alias("n_query"),
-            F.sum(
-                F.coalesce(F.array_contains("shared_refs", F.col("ref")), F.lit(False)).cast("int")
-            ).alias("n_both"),
+            F.sum("n").alias("n_query"),
+            F.sum(F.when(F.array_contains("shared", F.col("ref")), F.col("n"))).alias("n_both"),
         )
     )
 
-    # every (query, reference) pair with the number of positions both have
-    sizes = r_pos.groupBy("structure_id", "sd_context").agg(F.count(F.lit(1)).alias("n_pos"))
-    totals = r_contacts.groupBy("structure_id", "sd_context").agg(
-        F.count(F.lit(1)).alias("n_ref")
-    )
-    roster = (
-        sizes.join(totals, ["structure_id", "sd_context"], "left")
-        .groupBy("sd_context")
-        .agg(F.collect_list(F.struct(
-            F.col("structure_id").alias("ref"), "n_pos",
-            F.coalesce("n_ref", F.lit(0)).alias("n_ref"),
-        )).alias("roster"))
+    # positions of any reference that a query lacks, and the reference contacts lost
+    present = q_pos.select(*by).distinct()
+    lacking = present.join(having.select("sd_context", "pos"), "sd_context").join(
+        q_pos.select(*by, "pos"), [*by, "pos"], "left_anti"
     )
-    pairs = (
-        q_pos.select("structure_id", "sd_context", "pos")
-        .join(having, ["sd_context", "pos"], "left")
-        .join(roster, "sd_context")
-        .select("structure_id", "sd_context", "refs", F.explode("roster").alias("r"))
-        .groupBy("structure_id", "sd_context", F.col("r.ref"), F.col("r.n_pos"), F.col("r.n_ref"))
-        .agg(F.count_if(F.coalesce(F.array_contains("refs", F.col("r.ref")), F.lit(False)))
-             .alias("n_common"))
-    )
-
-    # positions of the reference that the query lacks, and the contacts lost with them
-    reduced = pairs.filter(F.col("n_common") < F.col("n_pos")).select(
-        "structure_id", "sd_context", "ref"
-    )
-    r_by_ref = r_pos.select(F.col("structure_id").alias("ref"), "sd_context", "pos")
-    lacking = reduced.join(r_by_ref, ["ref", "sd_context"]).join(
-        q_pos.select("structure_id", "sd_context", "pos"),
-        ["structure_id", "sd_context", "pos"], "left_anti",
-    )
-    ends = r_contacts.select(
-        F.col("structure_id").alias("ref"), "sd_context", "pos1", "pos2",
-        F.explode(F.array("pos1", "pos2")).alias("pos"),
+    ends = touching.select(
+        "sd_context", "pos1", "pos2", "shared", F.explode(F.array("pos1", "pos2")).alias("pos")
     )
     lost = (
-        lacking.join(ends, ["ref", "sd_context", "pos"])
-        .select("structure_id", "sd_context", "ref", "pos1", "pos2")
-        .distinct()
-        .groupBy("structure_id", "sd_context", "ref")
-        .agg(F.count(F.lit(1)).alias("n_lost"))
+        lacking.join(ends, ["sd_context", "pos"])
+        .groupBy(*by, "pos1", "pos2").agg(F.first("shared").alias("shared"))
+        .select(*by, F.explode("shared").alias("ref"))
+        .groupBy(*by, "ref").agg(F.count(F.lit(1)).alias("n_lost"))
+    )
+
+    totals = (
+        r_pos.select("sd_context", F.col("structure_id").alias("ref")).distinct()
+        .join(
+            r_contacts.groupBy("sd_context", F.col("structure_id").alias("ref"))
+            .agg(F.count(F.lit(1)).alias("n_ref")),
+            ["sd_context", "ref"], "left",
+        )
+        .join(numbered.drop("structure_id"), "ref")
     )
 
     def known(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
 
-    keys = ["structure_id", "sd_context", "ref"]
-    parts = F.split("ref", MARK)
     return (
-        pairs.join(in_query, keys, "left").join(lost, keys, "left")
+        present.join(totals, "sd_context")
+        .join(in_query, [*by, "ref"], "left")
+        .join(lost, [*by, "ref"], "left")
         .select(
-            F.get(parts, F.lit(1)).alias("protein"),
-            F.get(parts, F.lit(0)).alias("subtype"),
-            F.get(parts, F.lit(2)).alias("reference_context"),
+            "protein", "subtype", "reference_context",
             F.col("structure_id").alias("identifier"),
             "sd_context",
             F.lit(float(limit)).alias("sd_limit"),
