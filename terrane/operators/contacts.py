@@ -200,11 +200,12 @@ def structural_distance(
         q_pos.select(*by, "pos"), [*by, "pos"], "left_anti"
     )
     ends = touching.select(
-        "sd_context", "pos1", "pos2", "shared", F.explode(F.array("pos1", "pos2")).alias("pos")
+        "sd_context", "pos1", "pos2", F.explode(F.array("pos1", "pos2")).alias("pos")
     )
     lost = (
         lacking.join(ends, ["sd_context", "pos"])
-        .groupBy(*by, "pos1", "pos2").agg(F.first("shared").alias("shared"))
+        .select(*by, "pos1", "pos2").distinct()
+        .join(touching, ["sd_context", "pos1", "pos2"])
         .select(*by, F.explode("shared").alias("ref"))
         .groupBy(*by, "ref").agg(F.count(F.lit(1)).alias("n_lost"))
     )
