@@ -71,3 +71,15 @@ def atom_line(atom: dict[str, Column]) -> Column:
         atom["atom_id"], atom["element_id"], atom["aa"], atom["chain_id"], atom["aa_id"],
         atom["x"], atom["y"], atom["z"], F.lit(1.0), atom["plddt"],
     )
+
+
+def reference_labels(atoms: DataFrame) -> DataFrame:
+    """Reference atoms with subtype, protein, and context from the file name, as in
+    ``H3_HA_seasonal`` or ``relaxed_H3_HA_seasonal``."""
+    parts = F.split(F.regexp_replace("file_stem", f"^({RELAXED_PREFIX})", ""), "_")
+    return atoms.withColumns({
+        "subtype": F.get(parts, F.lit(0)),
+        "protein": F.get(parts, F.lit(1)),
+        "reference_context": F.get(parts, F.lit(2)),
+        "structure_id": F.col("file_stem"),
+    })
