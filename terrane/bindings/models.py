@@ -172,7 +172,7 @@ def guarded_rows(spark, sf, repeats=0):
     if not repeats:
         return factors.triple_rows(table, passed)
     hashed = written(folds.with_folds(spread(table, [KEY]), [KEY], K, repeats), "hashed-rows")
-    return folds.spread_folds(factors.triple_rows(hashed, passed, ["folds"]))
+    return factors.triple_rows(hashed, passed, ["folds"])
 
 
 def scores(spark, sf, repeats):

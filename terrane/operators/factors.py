@@ -79,23 +79,37 @@ def metadata_columns(columns: Sequence[str]) -> list[str]:
     return cols_matching(columns, METADATA_PATTERN)[:METADATA_COUNT]
 
 
-def triple_rows(
-    df: DataFrame, triples: Sequence[Triple], keep: Sequence[str] = (), need_z: bool = True
+def _long(
+    df: DataFrame, tuples: Sequence[tuple[str, ...]], axes: str, keep: Sequence[str]
 ) -> DataFrame:
-    """Long form: one row per source row and triple whose values are all present.
+    """One row per source row and column tuple whose values are all present.
 
-    The triples are a constant of the plan, one expression for all of them, so rows are
+    The tuples are a constant of the plan, one expression for all of them, so rows are
     widened in place; the aggregates that follow combine before their shuffle.
     """
     cells = ", ".join(
-        f"named_struct('x_factor', {text(x)}, 'y_factor', {text(y)}, 'z_factor', {text(z)}, "
-        f"'x', CAST({ticked(x)} AS DOUBLE), 'y', CAST({ticked(y)} AS DOUBLE), "
-        f"'z', CAST({ticked(z)} AS DOUBLE))"
-        for x, y, z in triples
+        "named_struct(" + ", ".join(
+            [f"'{a}_factor', {text(c)}" for a, c in zip(axes, columns)]
+            + [f"'{a}', CAST({ticked(c)} AS DOUBLE)" for a, c in zip(axes, columns)]
+        ) + ")"
+        for columns in tuples
     )
     rows = df.select(*[quoted(c) for c in keep], F.expr(f"inline(array({cells}))"))
-    present = F.col("x").isNotNull() & F.col("y").isNotNull()
-    return rows.filter(present & F.col("z").isNotNull() if need_z else present)
+    return rows.dropna(subset=list(axes))
+
+
+def triple_rows(
+    df: DataFrame, triples: Sequence[Triple], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Long form of x, y, and z: the complete rows of every triple."""
+    return _long(df, triples, "xyz", keep)
+
+
+def pair_rows(
+    df: DataFrame, triples: Sequence[Triple], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Long form of x and y for the distinct axis pairs of the triples."""
+    return _long(df, sorted({t[:2] for t in triples}), "xy", keep)
 
 
 def row_guard(

@@ -17,8 +17,8 @@ SEARCH_REPEATS = 20
 FINAL_REPEATS = 200
 SEED = 12345678
 TRAIN_SHARE = 75
-# Width of the hash ranges that balanced folds are numbered in.
-HASH_RANGE = 1 << 20
+# Width of the hash ranges that balanced folds are numbered in: 2 ** 18 ranges.
+HASH_RANGE = 1 << 14
 
 
 def fold_of(key: Sequence[str], repeat: Column, k: int = FOLDS, seed: int = SEED) -> Column:

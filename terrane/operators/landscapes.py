@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions.predicates import quoted
 from terrane.operators.factors import (
-    TRIPLE, Triple, enough_triples, metadata_columns, row_guard, triple_rows,
+    TRIPLE, Triple, enough_triples, metadata_columns, pair_rows, row_guard, triple_rows,
 )
 from terrane.operators.folds import (
     FINAL_REPEATS, FOLDS, SEARCH_REPEATS, spread_folds, with_folds,
@@ -45,11 +45,13 @@ class Landscape:
 
 
 def observed_rows(
-    df: DataFrame, triples: Sequence[Triple], metadata: Sequence[str]
+    df: DataFrame, triples: Sequence[Triple], metadata: Sequence[str], model: DataFrame
 ) -> DataFrame:
-    """Distinct (metadata, x, y) of every triple, whether z is known or not."""
+    """Distinct (metadata, x, y) of every triple of ``model``, whether z is known or
+    not. Rows are made distinct per axis pair, before they meet the z of each triple."""
     known = df.dropna(subset=list(metadata))
-    return triple_rows(known, triples, metadata, need_z=False).drop("z").distinct()
+    points = pair_rows(known, triples, metadata).distinct()
+    return points.join(model, ["x_factor", "y_factor"])
 
 
 def plane_landscape(
@@ -78,15 +80,13 @@ def plane_landscape(
     sums = written(plane_sums(spread_folds(rows), spans, ["repeat", "fold"]), "fold-sums")
     fits = fold_fits(sums, penalties)
 
-    search = fold_errors(
-        spread_folds(rows, search_repeats), fits.filter(F.col("repeat") <= search_repeats)
-    )
+    search = fold_errors(rows, fits.filter(F.col("repeat") <= search_repeats))
     means = mean_scores(search, [*TRIPLE, "penalty"]).withColumn(
         "model", F.when(F.col("penalty") == 0, F.lit("linear")).otherwise(F.lit("ridge"))
     )
     chosen = written(choose_model(means, TRIPLE, ["penalty"]), "chosen-models")
     final = fold_errors(
-        spread_folds(rows, final_repeats),
+        rows,
         fits.filter(F.col("repeat") <= final_repeats)
         .join(chosen.select(*TRIPLE, "penalty"), [*TRIPLE, "penalty"], "left_semi"),
         train=False,
@@ -105,7 +105,7 @@ def plane_landscape(
     return assemble(
         df, metadata, model,
         mesh(axis_ranges(spans)).join(model, TRIPLE).withColumn("z", predicted),
-        observed_rows(df, passed, metadata).join(model.select(*TRIPLE, "b0", "b1", "b2"), TRIPLE)
+        observed_rows(df, passed, metadata, model.select(*TRIPLE, "b0", "b1", "b2"))
         .withColumn("z_predicted", predicted),
     )
 

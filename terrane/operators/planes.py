@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.operators.factors import TRIPLE
+from terrane.operators.folds import spread_folds
 from terrane.operators.meshes import axis_spans
 from terrane.operators.metrics import r_squared
-from terrane.session import written
+from terrane.session import broadcast_within, written
 
 # Fixed value: below this share of Sxx * Syy the two axes count as one.
 SINGULAR = 1e-12
+# Most triples whose lists of fits are broadcast: 160 kB each at full repeats.
+MAX_BROADCAST = 2000
 
 _TERMS = {
     "n": lambda x, y, z: F.lit(1.0),
@@ -114,24 +117,29 @@ def fold_errors(
 ) -> DataFrame:
     """Test and, if asked, train MAE and R2 per triple, penalty, repeat, and fold.
 
-    The fits are written first, so the planner knows their size when it joins them to
-    the rows by (triple, repeat). Each row then meets the list of fits of its repeat
-    and tells test from train by its own fold.
+    ``rows`` carry the array ``folds``. All fits of a triple form one list, written
+    first; their number follows from the repeats, folds, and penalties, so the table is
+    broadcast when it has no more triples than the bound. Each row meets the list of
+    its triple and tells test from train by its own fold.
     """
     listed = written(
-        fits.groupBy(*by, "repeat").agg(
+        fits.groupBy(*by).agg(
             F.collect_list(F.struct(
-                F.col("fold").alias("held"), "penalty", "b0", "b1", "b2")).alias("fits")
+                "repeat", F.col("fold").alias("held"), "penalty", "b0", "b1", "b2"
+            )).alias("fits")
         ),
         "fold-fits",
     )
-    joined = rows.select(*by, "repeat", "fold", "x", "y", "z").join(listed, [*by, "repeat"])
-    wanted = F.col("fits") if train else F.filter("fits", lambda f: f["held"] == F.col("fold"))
-    scored = joined.select(*by, "repeat", "fold", "x", "y", "z", F.explode(wanted).alias("f")).select(
-        *by, "repeat", F.col("f.held").alias("held"), F.col("f.penalty").alias("penalty"),
-        (F.col("fold") == F.col("f.held")).alias("test"), "z",
+    joined = rows.select(*by, "folds", "x", "y", "z").join(
+        broadcast_within(listed, MAX_BROADCAST), list(by))
+    own = F.element_at("folds", F.col("f.repeat")) == F.col("f.held")
+    scored = joined.select(*by, "folds", "x", "y", "z", F.explode("fits").alias("f")).select(
+        *by, F.col("f.repeat").alias("repeat"), F.col("f.held").alias("held"),
+        F.col("f.penalty").alias("penalty"), own.alias("test"), "z",
         (F.col("f.b0") + F.col("f.b1") * F.col("x") + F.col("f.b2") * F.col("y")).alias("p"),
     )
+    if not train:
+        scored = scored.filter("test")
     parts = []
     sides = [("test", F.col("test"))] + ([("train", ~F.col("test"))] if train else [])
     for name, side in sides:
@@ -143,9 +151,9 @@ def fold_errors(
 def fold_scores(
     rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
 ) -> DataFrame:
-    """Scores of rows that carry ``repeat`` and ``fold``: sums, fits, and errors."""
-    spans = axis_spans(rows.filter(F.col("repeat") == 1), by)
-    sums = plane_sums(rows, written(spans, "spans"), ["repeat", "fold"], by)
+    """Scores of rows that carry ``folds``: sums, fits, and errors."""
+    spans = written(axis_spans(rows, by), "spans")
+    sums = plane_sums(spread_folds(rows), spans, ["repeat", "fold"], by)
     return fold_errors(rows, fold_fits(sums, penalties, by), by)
 
 

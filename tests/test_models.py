@@ -105,11 +105,12 @@ def test_planes_equal_least_squares(table, points):
 
 
 def test_fold_scores_equal_a_loop(table, points):
-    rows = factors.triple_rows(table, TRIPLES[:1], ["variant_hash"])
-    ids = folds.fold_ids(rows, ["variant_hash"], 4, 2)
+    hashed = folds.with_folds(table, ["variant_hash"], 4, 2)
+    rows = factors.triple_rows(hashed, TRIPLES[:1], ["variant_hash", "folds"])
+    ids = folds.spread_folds(rows)
     fold = {(r.variant_hash, r.repeat): r.fold for r in ids.collect()}
     names, data = complete(points)
-    got = planes.fold_scores(ids, (0.0, 25.0)).collect()
+    got = planes.fold_scores(rows, (0.0, 25.0)).collect()
     assert len(got) == 4 * 2 * 2
     for r in got:
         held = np.array([fold[(n, r.repeat)] == r.fold for n in names])
