@@ -167,20 +167,22 @@ FROM model, line WHERE "{Y}" IS NOT NULL AND "{Z}" IS NOT NULL
 
 
 def guarded_rows(spark, sf, repeats=0):
+    """Long rows of the triples that pass the guard, and those triples."""
     table = model_table(spark, sf)
     passed = factors.enough_triples(factors.row_guard(table, TRIPLES, METADATA))
     if not repeats:
-        return factors.triple_rows(table, passed)
+        return factors.triple_rows(table, passed), passed
     hashed = written(folds.with_folds(spread(table, [KEY]), [KEY], K, repeats), "hashed-rows")
-    return factors.triple_rows(hashed, passed, ["folds"])
+    return factors.triple_rows(hashed, passed, ["folds"]), passed
 
 
 def scores(spark, sf, repeats):
-    return planes.fold_scores(guarded_rows(spark, sf, repeats), PENALTIES)
+    rows, passed = guarded_rows(spark, sf, repeats)
+    return planes.fold_scores(rows, PENALTIES), passed
 
 
 def plane_folds(spark, sf):
-    return rounded(scores(spark, sf, SEARCH))
+    return rounded(factors.named(*scores(spark, sf, SEARCH)))
 
 
 def scores_sql(name: str, repeats: int, only: str = "") -> str:
@@ -248,8 +250,10 @@ chosen AS (
 
 
 def choose_model(spark, sf):
-    means = planes.mean_scores(scores(spark, sf, SEARCH), [*TRIPLE, "penalty"])
-    return rounded(selection.choose_model(means, TRIPLE, ["penalty"]))
+    table, passed = scores(spark, sf, SEARCH)
+    means = planes.mean_scores(table, ["triple", "penalty"])
+    chosen = selection.choose_model(means, ["triple"], ["penalty"])
+    return rounded(factors.named(chosen, passed))
 
 
 CHOOSE_SQL = f"""
@@ -260,10 +264,12 @@ SELECT {NAMES}, penalty, ROUND(mae_test, 6) AS mae_test, ROUND(mae_train, 6) AS
 
 
 def cv_summary(spark, sf):
-    return metrics.cv_summary(
-        scores(spark, sf, SEARCH).withColumnsRenamed({"mae_test": "mae", "r2_test": "r2"}),
-        [*TRIPLE, "penalty"], ["mae", "r2"], 6,
+    table, passed = scores(spark, sf, SEARCH)
+    summary = metrics.cv_summary(
+        table.withColumnsRenamed({"mae_test": "mae", "r2_test": "r2"}),
+        ["triple", "penalty"], ["mae", "r2"], 6,
     )
+    return factors.named(summary, passed)
 
 
 CV_SQL = f"""
@@ -303,7 +309,9 @@ mesh AS (
 
 
 def mesh_grid(spark, sf):
-    return rounded(meshes.mesh(meshes.axis_ranges(meshes.axis_spans(guarded_rows(spark, sf)))))
+    rows, passed = guarded_rows(spark, sf)
+    points = meshes.mesh(meshes.axis_ranges(meshes.axis_spans(rows)))
+    return rounded(factors.named(points, passed))
 
 
 MESH_GRID_SQL = f"""
@@ -388,11 +396,11 @@ FROM observed JOIN summary USING ({NAMES})
 
 def full_mesh(spark, sf):
     """Mesh predictions of the plain planes, the input of the surface operators."""
-    rows = guarded_rows(spark, sf)
+    rows, passed = guarded_rows(spark, sf)
     spans = written(meshes.axis_spans(rows), "spans")
     fits = planes.solve(planes.plane_sums(rows, spans))
-    points = meshes.mesh(meshes.axis_ranges(spans)).join(fits, TRIPLE)
-    return points.select(
+    points = meshes.mesh(meshes.axis_ranges(spans)).join(fits, "triple")
+    return factors.named(points, passed).select(
         *TRIPLE, "ix", "iy", F.col("x").alias("x_predicted"), F.col("y").alias("y_predicted"),
         planes.plane_value(F.col("x"), F.col("y")).alias("z_predicted"),
     )

@@ -24,6 +24,7 @@ MIN_SHARE = 0.25
 
 Triple = tuple[str, str, str]
 TRIPLE = ["x_factor", "y_factor", "z_factor"]
+BY_TRIPLE = ("triple",)
 
 
 def limit_factors(columns: Sequence[str], lots: Sequence[str]) -> list[str]:
@@ -80,19 +81,20 @@ def metadata_columns(columns: Sequence[str]) -> list[str]:
 
 
 def _long(
-    df: DataFrame, tuples: Sequence[tuple[str, ...]], axes: str, keep: Sequence[str]
+    df: DataFrame, tuples: Sequence[tuple[str, ...]], axes: str, number: str,
+    keep: Sequence[str],
 ) -> DataFrame:
-    """One row per source row and column tuple whose values are all present.
+    """One row per source row and column tuple whose values are all present, with the
+    number of the tuple.
 
     The tuples are a constant of the plan, one expression for all of them, so rows are
     widened in place; the aggregates that follow combine before their shuffle.
     """
     cells = ", ".join(
-        "named_struct(" + ", ".join(
-            [f"'{a}_factor', {text(c)}" for a, c in zip(axes, columns)]
-            + [f"'{a}', CAST({ticked(c)} AS DOUBLE)" for a, c in zip(axes, columns)]
-        ) + ")"
-        for columns in tuples
+        "named_struct(" + ", ".join([f"'{number}', {i}"] + [
+            f"'{a}', CAST({ticked(c)} AS DOUBLE)" for a, c in zip(axes, columns)
+        ]) + ")"
+        for i, columns in enumerate(tuples)
     )
     rows = df.select(*[quoted(c) for c in keep], F.expr(f"inline(array({cells}))"))
     return rows.dropna(subset=list(axes))
@@ -101,15 +103,33 @@ def _long(
 def triple_rows(
     df: DataFrame, triples: Sequence[Triple], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Long form of x, y, and z: the complete rows of every triple."""
-    return _long(df, triples, "xyz", keep)
+    """Long form of x, y, and z: the complete rows of every triple. Groups are keyed by
+    the number of the triple; ``named`` gives the names back."""
+    return _long(df, triples, "xyz", "triple", keep)
 
 
 def pair_rows(
     df: DataFrame, triples: Sequence[Triple], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Long form of x and y for the distinct axis pairs of the triples."""
-    return _long(df, sorted({t[:2] for t in triples}), "xy", keep)
+    pairs = sorted({t[:2] for t in triples})
+    rows = _long(df, pairs, "xy", "_pair", keep)
+    return _with_names(rows, pairs, TRIPLE[:2], "_pair").drop("_pair")
+
+
+def named(df: DataFrame, triples: Sequence[Triple]) -> DataFrame:
+    """``df`` with the names of its triples in the place of their number."""
+    table = _with_names(df, triples, TRIPLE, "triple").drop("triple")
+    return table.select(*TRIPLE, *[quoted(c) for c in table.columns if c not in TRIPLE])
+
+
+def _with_names(
+    df: DataFrame, tuples: Sequence[tuple[str, ...]], columns: Sequence[str], number: str
+) -> DataFrame:
+    return df.withColumns({
+        c: F.expr(f"element_at(array({', '.join(text(t[i]) for t in tuples)}), {number} + 1)")
+        for i, c in enumerate(columns)
+    })
 
 
 def row_guard(
@@ -119,11 +139,10 @@ def row_guard(
     """Rows per triple with all values and all ``need`` columns present, and whether
     they reach the share of all rows of ``df`` and the least count."""
     known = df.dropna(subset=list(need)) if need else df
-    counts = triple_rows(known, triples).groupBy(*TRIPLE).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = triple_rows(known, triples).groupBy("triple").agg(F.count(F.lit(1)).alias("n"))
     bound = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("bound")).scalar()
-    return counts.withColumn("enough", (F.col("n") >= bound) & (F.col("n") >= least))
+    return named(counts, triples).withColumn(
+        "enough", (F.col("n") >= bound) & (F.col("n") >= least))
 
 
 def enough_triples(guard: DataFrame) -> list[Triple]:

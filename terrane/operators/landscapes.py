@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from terrane.functions.predicates import quoted
 from terrane.operators.factors import (
-    TRIPLE, Triple, enough_triples, metadata_columns, pair_rows, row_guard, triple_rows,
+    TRIPLE, Triple, enough_triples, metadata_columns, named, pair_rows, row_guard,
+    triple_rows,
 )
 from terrane.operators.folds import (
     FINAL_REPEATS, FOLDS, SEARCH_REPEATS, spread_folds, with_folds,
@@ -81,31 +82,32 @@ def plane_landscape(
     fits = fold_fits(sums, penalties)
 
     search = fold_errors(rows, fits.filter(F.col("repeat") <= search_repeats))
-    means = mean_scores(search, [*TRIPLE, "penalty"]).withColumn(
+    means = mean_scores(search, ["triple", "penalty"]).withColumn(
         "model", F.when(F.col("penalty") == 0, F.lit("linear")).otherwise(F.lit("ridge"))
     )
-    chosen = written(choose_model(means, TRIPLE, ["penalty"]), "chosen-models")
+    chosen = written(choose_model(means, ["triple"], ["penalty"]), "chosen-models")
     final = fold_errors(
         rows,
         fits.filter(F.col("repeat") <= final_repeats)
-        .join(chosen.select(*TRIPLE, "penalty"), [*TRIPLE, "penalty"], "left_semi"),
+        .join(chosen.select("triple", "penalty"), ["triple", "penalty"], "left_semi"),
         train=False,
     )
     checked = cv_summary(
-        final.select(*TRIPLE, (-F.col("mae_test")).alias("mae"), F.col("r2_test").alias("r2")),
-        TRIPLE, ["mae", "r2"],
+        final.select("triple", (-F.col("mae_test")).alias("mae"), F.col("r2_test").alias("r2")),
+        ["triple"], ["mae", "r2"],
     )
     model = written(
         chosen.withColumn("learning_rate", F.col("penalty"))
-        .join(checked, TRIPLE)
-        .join(whole_fits(sums, penalties).drop("n"), [*TRIPLE, "penalty"]).drop("penalty"),
+        .join(checked, "triple")
+        .join(whole_fits(sums, penalties).drop("n"), ["triple", "penalty"]).drop("penalty"),
         "surface-models",
     )
+    names = named(model, passed)
     predicted = plane_value(F.col("x"), F.col("y"))
+    points = mesh(axis_ranges(spans)).join(model, "triple").withColumn("z", predicted)
     return assemble(
-        df, metadata, model,
-        mesh(axis_ranges(spans)).join(model, TRIPLE).withColumn("z", predicted),
-        observed_rows(df, passed, metadata, model.select(*TRIPLE, "b0", "b1", "b2"))
+        df, metadata, names, named(points, passed),
+        observed_rows(df, passed, metadata, names.select(*TRIPLE, "b0", "b1", "b2"))
         .withColumn("z_predicted", predicted),
     )
 

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions.numbers import MESH_STEPS, axis_bounds
-from terrane.operators.factors import TRIPLE
+from terrane.operators.factors import BY_TRIPLE
 
 
-def axis_spans(rows: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
+def axis_spans(rows: DataFrame, by: Sequence[str] = BY_TRIPLE) -> DataFrame:
     """Means, and least and greatest axis values, of every triple in one aggregation."""
     return rows.groupBy(*by).agg(
         *[F.avg(v).alias(f"m{v}") for v in "xyz"],
@@ -20,7 +20,7 @@ def axis_spans(rows: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
     )
 
 
-def axis_ranges(spans: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
+def axis_ranges(spans: DataFrame, by: Sequence[str] = BY_TRIPLE) -> DataFrame:
     """Rounded bounds of both axes; ``reason`` tells why a triple has no mesh."""
     bounds = {}
     for v in "xy":
@@ -32,7 +32,7 @@ def axis_ranges(spans: DataFrame, by: Sequence[str] = TRIPLE) -> DataFrame:
     )
 
 
-def mesh(ranges: DataFrame, by: Sequence[str] = TRIPLE, steps: int = MESH_STEPS) -> DataFrame:
+def mesh(ranges: DataFrame, by: Sequence[str] = BY_TRIPLE, steps: int = MESH_STEPS) -> DataFrame:
     """Mesh points ``ix iy x y``; each axis has ``steps`` points from its lower bound."""
     index = F.sequence(F.lit(0), F.lit(steps - 1))
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.operators.factors import TRIPLE
+from terrane.operators.factors import BY_TRIPLE
 from terrane.operators.folds import spread_folds
 from terrane.operators.meshes import axis_spans
 from terrane.operators.metrics import r_squared
@@ -38,7 +38,7 @@ _TERMS = {
 
 
 def plane_sums(
-    rows: DataFrame, middle: DataFrame, extra: Sequence[str] = (), by: Sequence[str] = TRIPLE
+    rows: DataFrame, middle: DataFrame, extra: Sequence[str] = (), by: Sequence[str] = BY_TRIPLE
 ) -> DataFrame:
     """The sums of values less their means in ``middle``, per triple and per ``extra``
     columns. Sums of centered values do not cancel."""
@@ -89,14 +89,14 @@ def plane_value(x: Column, y: Column) -> Column:
 
 
 def fit_planes(
-    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = BY_TRIPLE
 ) -> DataFrame:
     """One plane per triple and penalty from all rows."""
     return solve(plane_sums(rows, axis_spans(rows, by), (), by), penalties)
 
 
 def whole_fits(
-    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = BY_TRIPLE
 ) -> DataFrame:
     """The same planes from fold sums: the folds of the first repeat make up all rows."""
     whole = sums.filter(F.col("repeat") == 1).groupBy(*by, "mx", "my", "mz").agg(
@@ -106,14 +106,14 @@ def whole_fits(
 
 
 def fold_fits(
-    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+    sums: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = BY_TRIPLE
 ) -> DataFrame:
     """One plane per triple, repeat, held-out fold, and penalty."""
     return solve(_leave_out(sums, by), penalties).filter(F.col("b0").isNotNull())
 
 
 def fold_errors(
-    rows: DataFrame, fits: DataFrame, by: Sequence[str] = TRIPLE, train: bool = True
+    rows: DataFrame, fits: DataFrame, by: Sequence[str] = BY_TRIPLE, train: bool = True
 ) -> DataFrame:
     """Test and, if asked, train MAE and R2 per triple, penalty, repeat, and fold.
 
@@ -149,7 +149,7 @@ def fold_errors(
 
 
 def fold_scores(
-    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = TRIPLE
+    rows: DataFrame, penalties: Sequence[float] = (0.0,), by: Sequence[str] = BY_TRIPLE
 ) -> DataFrame:
     """Scores of rows that carry ``folds``: sums, fits, and errors."""
     spans = written(axis_spans(rows, by), "spans")

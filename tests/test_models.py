@@ -99,7 +99,7 @@ def plane(data, penalty=0.0):
 def test_planes_equal_least_squares(table, points):
     rows = factors.triple_rows(table, TRIPLES)
     for r in planes.fit_planes(rows, (0.0, 25.0)).collect():
-        data = complete(points, 5 if r.x_factor == "hd" else 6)[1]
+        data = complete(points, 5 if r.triple == 0 else 6)[1]
         b0, b = plane(data, r.penalty)
         assert np.allclose([r.b0, r.b1, r.b2], [b0, *b])
 
@@ -124,8 +124,8 @@ def test_fold_scores_equal_a_loop(table, points):
 
 def test_equal_axes_have_no_plane(spark):
     df = spark.createDataFrame([(float(i), float(i), float(i)) for i in range(20)],
-                               "x double, y double, z double").withColumns(
-        {c: F.lit(c) for c in TRIPLE})
+                               "x double, y double, z double").withColumn(
+        "triple", F.lit(0))
     assert planes.fit_planes(df).first().b1 is None
 
 
@@ -143,7 +143,7 @@ def test_choice_rule(spark, scores, best):
 
 def test_mesh(spark):
     df = spark.createDataFrame([(0.5, 3.0, 1.0), (20.5, 3.0, 2.0)], "x double, y double, z double")
-    flat = df.withColumns({c: F.lit(c) for c in TRIPLE})
+    flat = df.withColumn("triple", F.lit(0))
     ranges = meshes.axis_ranges(meshes.axis_spans(flat))
     assert ranges.first().reason == "constant axis" and meshes.mesh(ranges).count() == 0
     wide = flat.withColumn("y", F.col("x") - 40)
