@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrane.bindings.model_table import KEY, TITERS, model_sql, model_table
 from terrane.bindings.models import HASH, X, Y, Z, rounded
 from terrane.bindings.star import star
-from terrane.operators import comparison, smoothing, trees
+from terrane.operators import comparison, preparing, smoothing, trees
 from terrane.session import written
 
 
@@ -37,6 +37,26 @@ def compare_models(spark, sf):
     return comparison.compare_models(model_table(spark, sf), xs, Z, [KEY])
 
 
+PREPARED = [X, Y, "H3_seasonal_heavy_sd", "total_score", "pcd"]
+
+
+def prepared_rows(spark, sf):
+    """Part price and total score fall together, so one of the two columns is left out."""
+    table = model_table(spark, sf).select(KEY, *PREPARED)
+    rows, kept = preparing.prepare(table, PREPARED, True, True, True)
+    return rounded(rows.select(KEY, *kept))
+
+
+def _prepared_sql() -> str:
+    kept = PREPARED[:-1]
+    means = ", ".join(f'AVG("{c}") AS m{i}, STDDEV_SAMP("{c}") AS s{i}' for i, c in enumerate(kept))
+    near = " AND ".join(
+        f'COALESCE(ABS("{c}" - m{i}) <= 3.0e0 * s{i}, TRUE)' for i, c in enumerate(kept))
+    scaled = ", ".join(f'ROUND(SIGN("{c}") * LN(1 + ABS("{c}")), 6) AS "{c}"' for c in kept)
+    return (f"WITH {model_sql()}, limits AS (SELECT {means} FROM model) "
+            f"SELECT {KEY}, {scaled} FROM model, limits WHERE {near}")
+
+
 LINEAR_SETS = [((X, Y), Z), ((X, Y), TITERS[1])]
 
 
@@ -115,7 +135,12 @@ QUERIES = {
     "tree_landscape": landscape(ADABOOST, GRADIENT, FOREST),
     "compare_models": compare_models,
     "survey_linear": survey_linear,
+    "prepared_rows": prepared_rows,
     "local_regression": local_regression,
 }
 
-ORACLES = {"survey_linear": _survey_sql(), "local_regression": LOCAL_SQL}
+ORACLES = {
+    "survey_linear": _survey_sql(),
+    "prepared_rows": _prepared_sql(),
+    "local_regression": LOCAL_SQL,
+}

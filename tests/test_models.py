@@ -7,7 +7,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from terrane.operators import (
-    comparison, factors, folds, landscapes, meshes, metrics, planes, selection, smoothing,
+    comparison, factors, folds, landscapes, meshes, metrics, planes, preparing, selection, smoothing,
     surfaces, trees,
 )
 from terrane.operators.factors import TRIPLE
@@ -283,3 +283,13 @@ def test_local_regression(spark):
     path = spark.createDataFrame([(4.25,), (17.0,)], "node double")
     got = {r.node: r.z_smoothed for r in smoothing.local_regression(df, path, 3.0).collect()}
     assert math.isclose(got[4.25], 9.5) and math.isclose(got[17.0], 35.0)
+
+
+def test_prepare(spark):
+    rows = [(float(i), 2.0 * i + 1, float(i * 7 % 5)) for i in range(40)] + [(1000.0, 2001.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    same, columns = preparing.prepare(df, ["a", "b", "c"])
+    assert same is df and columns == ["a", "b", "c"]
+    kept, columns = preparing.prepare(df, ["a", "b", "c"], True, True, True)
+    assert columns == ["a", "c"] and kept.count() == 40
+    assert math.isclose(kept.agg(F.max("a")).first()[0], math.log1p(39))
