@@ -137,9 +137,23 @@ def row_guard(
     share: float = MIN_SHARE, least: int = 0,
 ) -> DataFrame:
     """Rows per triple with all values and all ``need`` columns present, and whether
-    they reach the share of all rows of ``df`` and the least count."""
+    they reach the share of all rows of ``df`` and the least count.
+
+    Rows are counted by which axis columns they have; the triples are looked up in
+    these few patterns and not in the rows.
+    """
     known = df.dropna(subset=list(need)) if need else df
-    counts = triple_rows(known, triples).groupBy("triple").agg(F.count(F.lit(1)).alias("n"))
+    axes = sorted({c for t in triples for c in t})
+    patterns = known.groupBy(*[quoted(c).isNotNull().alias(c) for c in axes]).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    cells = ", ".join(
+        f"named_struct('triple', {i}, 'whole', {' AND '.join(ticked(c) for c in t)})"
+        for i, t in enumerate(triples)
+    )
+    counts = (
+        patterns.select("_rows", F.expr(f"inline(array({cells}))")).filter("whole")
+        .groupBy("triple").agg(F.sum("_rows").alias("n"))
+    )
     bound = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("bound")).scalar()
     return named(counts, triples).withColumn(
         "enough", (F.col("n") >= bound) & (F.col("n") >= least))
