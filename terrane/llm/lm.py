@@ -1,0 +1,255 @@
+"""Language-model scores by masked pseudo-likelihood.
+
+A small window network predicts every token from the two tokens on either side, without seeing
+it. Tokens are lower-cased words by hash bucket; the network predicts a token's frequency
+class, and the counts of the whole corpus give the token within its class. A document's score
+is the sum of the log probabilities of all its tokens.
+
+Counts are taken over all documents. Every ``RATE``-th position of every document is a
+training example, so training data grow with the corpus. Tasks train on their own examples
+from the same start, and their networks are averaged by examples, in steps of ``FAN``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from terrane.llm.common import arrow_map, texts_of
+from terrane.session import written
+
+BUCKETS, CLASSES, OWN_CLASSES = 1 << 16, 128, 64
+#: The empty place before the first and after the last token.
+EDGE = CLASSES
+HIDDEN, RATE, ROUNDS, BATCH, SPEED, SEED = 32, 16, 2, 256, 0.01, 5
+FAN = 32
+#: Tokens whose class chances are held at once.
+CHUNK = 1 << 14
+MEMORY = 400_000
+AROUND = (-2, -1, 1, 2)
+
+
+class Buckets(dict):
+    """Hash bucket of each word met so far."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = crc32(word) % BUCKETS
+        if len(word) <= 64:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[word] = found
+        return found
+
+
+def tokens(text: str, buckets: Buckets) -> np.ndarray:
+    words = text.encode().lower().split()
+    return np.fromiter(map(buckets.__getitem__, words), np.uint16, len(words))
+
+
+def tokenized(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``tokens``, the buckets as 16-bit numbers; null is the empty text."""
+    def run(batch: pa.RecordBatch, buckets: Buckets) -> dict[str, pa.Array]:
+        return {"tokens": pa.array(
+            [tokens(x, buckets).astype("<u2").tobytes() for x in texts_of(batch)], pa.binary())}
+
+    return arrow_map(docs, run, "tokens binary", Buckets)
+
+
+@dataclass(frozen=True)
+class Model:
+    """``inner`` holds log P(bucket | class); ``net`` the network of classes."""
+
+    class_of: np.ndarray
+    inner: np.ndarray
+    net: list[np.ndarray]
+
+
+def _start() -> list[np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    return [
+        rng.normal(0, 0.2, (len(AROUND), CLASSES + 1, HIDDEN)).astype(np.float32),
+        np.zeros(HIDDEN, np.float32),
+        rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32), np.zeros(CLASSES, np.float32)]
+
+
+def _pack(net: list[np.ndarray]) -> bytes:
+    return np.concatenate([x.ravel() for x in net]).astype("<f4").tobytes()
+
+
+def _unpack(packed: np.ndarray) -> list[np.ndarray]:
+    out, at = [], 0
+    for like in _start():
+        out.append(packed[at:at + like.size].reshape(like.shape).astype(np.float32))
+        at += like.size
+    return out
+
+
+def _hidden(net: list[np.ndarray], context: np.ndarray) -> np.ndarray:
+    total = net[1] + net[0][0][context[:, 0]]
+    for j in range(1, len(AROUND)):
+        total += net[0][j][context[:, j]]
+    return np.tanh(total)
+
+
+def _log_chances(net: list[np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    logits = hidden @ net[2] + net[3]
+    logits -= logits.max(axis=1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
+def _windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts (n, 4) and targets (n,) of all tokens of some documents."""
+    gap = np.full(2, EDGE, np.uint8)
+    line = np.concatenate([gap, *[x for c in classes for x in (c, gap)]])
+    at = np.flatnonzero(line != EDGE)
+    return np.stack([line[at + j] for j in AROUND], axis=1), line[at]
+
+
+def _train(net: list[np.ndarray], context: np.ndarray, target: np.ndarray, state: list) -> None:
+    """One Adam step on a batch, in place. ``state``: steps, first and second moments."""
+    n = len(target)
+    hidden = _hidden(net, context)
+    error = np.exp(_log_chances(net, hidden))
+    error[np.arange(n), target] -= 1
+    error /= n
+    back = (error @ net[2].T) * (1 - hidden * hidden)
+    table = np.zeros_like(net[0])
+    for j in range(len(AROUND)):
+        np.add.at(table[j], context[:, j], back)
+    state[0] += 1
+    for p, g, m, v in zip(net, [table, back.sum(0), hidden.T @ error, error.sum(0)], *state[1:],
+                          strict=True):
+        m += 0.1 * (g - m)
+        v += 0.001 * (g * g - v)
+        p -= SPEED * (m / (1 - 0.9 ** state[0])) / (
+            np.sqrt(v / (1 - 0.999 ** state[0])) + 1e-8)
+
+
+def _round(rows: DataFrame, class_of: np.ndarray, net: list[np.ndarray]) -> list[np.ndarray]:
+    """One pass of all tasks over their examples, and the average of their networks."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [x.copy() for x in net]
+        state = [0, [np.zeros_like(x) for x in own], [np.zeros_like(x) for x in own]]
+        seen, phase = 0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                texts = batch.column("tokens").slice(at, 256).to_pylist()
+                context, target = _windows([class_of[np.frombuffer(x, "<u2")] for x in texts])
+                pick = slice(phase, None, RATE)
+                phase = (phase - len(target)) % RATE
+                context, target = context[pick], target[pick]
+                for i in range(0, len(target), BATCH):
+                    _train(own, context[i:i + BATCH], target[i:i + BATCH], state)
+                seen += len(target)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([float(seen)]), pa.array([_pack(own)])], names=["n", "net"])
+
+    def merged(table: pa.Table) -> pa.Table:
+        weight = np.array(table.column("n").to_pylist())
+        nets = np.stack([np.frombuffer(x, "<f4") for x in table.column("net").to_pylist()])
+        order = np.lexsort((nets[:, 0], weight))  # sums do not depend on the arrival
+        total = weight.sum()
+        share = weight[order] / total if total else np.full(len(weight), 1 / len(weight))
+        mean = (share[:, None] * nets[order].astype(float)).sum(0)
+        return pa.table({"n": [float(total)], "net": [mean.astype("<f4").tobytes()]})
+
+    nets = rows.select("tokens").mapInArrow(part, "n double, net binary")
+    parts, at = rows.rdd.getNumPartitions(), F.spark_partition_id()
+    nets = nets.withColumn("at", at)
+    while parts > 1:
+        parts = -(-parts // FAN)
+        nets = nets.withColumn("at", F.floor(F.col("at") / FAN).cast("int"))
+        nets = nets.groupBy("at").applyInArrow(
+            lambda key, t: merged(t.select(["n", "net"])).append_column(
+                "at", pa.array([key[0].as_py()], pa.int32())), "n double, net binary, at int")
+    got = nets.collect()
+    return _unpack(np.frombuffer(got[0]["net"], "<f4")) if got else net
+
+
+def classes(counts: np.ndarray) -> np.ndarray:
+    """Class of each bucket: the ``OWN_CLASSES`` most frequent are one each, the others are cut
+    by falling frequency into classes of equal mass."""
+    order = np.lexsort((np.arange(BUCKETS), -counts))
+    out = np.zeros(BUCKETS, np.uint8)
+    out[order[:OWN_CLASSES]] = np.arange(OWN_CLASSES)
+    rest = order[OWN_CLASSES:]
+    mass = np.cumsum(counts[rest] + 1.0)
+    cut = (mass - 1) / mass[-1] * (CLASSES - OWN_CLASSES)
+    out[rest] = OWN_CLASSES + np.minimum(cut.astype(np.int64), CLASSES - OWN_CLASSES - 1)
+    return out
+
+
+def _count(rows: DataFrame) -> np.ndarray:
+    """Occurrences of each bucket in all documents."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = b"".join(batch.column("tokens").slice(at, 256).to_pylist())
+                total += np.bincount(np.frombuffer(some, "<u2"), minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), pa.array(total[at])], names=["bucket", "n"])
+
+    found = (rows.select("tokens").mapInArrow(part, "bucket int, n long")
+             .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The model of all texts of ``docs``. Its size does not depend on the data."""
+    rows = written(tokenized(docs.select("text")).select("tokens"), "tokens")
+    counts = _count(rows)
+    class_of = classes(counts)
+    mass = np.bincount(class_of, counts + 0.5, CLASSES)
+    inner = np.log((counts + 0.5) / mass[class_of])
+    net = _start()
+    for _ in range(rounds):
+        net = _round(rows, class_of, net)
+    return Model(class_of, inner.astype(np.float32), net)
+
+
+def log_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    """Summed log P(token | the tokens around it) of each text."""
+    sizes = np.array([len(x) for x in texts], np.int64)
+    if not sizes.sum():
+        return np.zeros(len(texts))
+    context, target = _windows([model.class_of[x] for x in texts])
+    found = model.inner[np.concatenate(texts)].astype(float)
+    for at in range(0, len(target), CHUNK):
+        part = slice(at, at + CHUNK)
+        chances = _log_chances(model.net, _hidden(model.net, context[part]))
+        found[part] += chances[np.arange(len(chances)), target[part]]
+    sums = np.zeros(len(texts))
+    some = np.flatnonzero(sizes)
+    sums[some] = np.add.reduceat(found, (np.cumsum(sizes) - sizes)[some])
+    return sums
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` (doc_id, text) as (doc_id, n_tokens, log_likelihood, mean_log_likelihood).
+
+    Null and empty texts have no tokens: 0, 0.0, and a null mean. Repeated rows are scored
+    each; an empty table gives an empty one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 0.5 MB
+
+    def run(batch: pa.RecordBatch, buckets: Buckets) -> dict[str, pa.Array]:
+        texts = [tokens(x, buckets) for x in texts_of(batch)]
+        sums = log_likelihoods(shared.value, texts)
+        return {"n_tokens": pa.array([len(x) for x in texts], pa.int64()),
+                "log_likelihood": pa.array(sums)}
+
+    found = arrow_map(docs.select("doc_id", "text"), run, "n_tokens long, log_likelihood double",
+                      Buckets)
+    return found.select(
+        "doc_id", "n_tokens", "log_likelihood",
+        F.try_divide("log_likelihood", "n_tokens").alias("mean_log_likelihood"))
