@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +20,11 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# fallback folders of local sessions, by application, so that repeated calls agree
-_LOCAL_DIRS: dict[str, str] = {}
+#: Shared folder of a local session that names none; there driver and executors are one.
+LOCAL_DIR = "/tmp/checkpoints"
+
+# applications whose written tables are removed when this process ends
+_CLEANED: set[str] = set()
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -39,18 +42,36 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver and
-    the executors share one file system.
+    Only a local master may do without it, since there the driver and the executors
+    share one file system.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith(
+            "local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="terrane-")
-    return _LOCAL_DIRS[context.applicationId]
+    return LOCAL_DIR
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder, removed when the process ends."""
+    context = spark.sparkContext
+    path = f"{shared_dir(spark).rstrip('/')}/terrane-{context.applicationId}"
+    if context.applicationId not in _CLEANED:
+        _CLEANED.add(context.applicationId)
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files.deleteOnExit(folder)  # when Spark's JVM ends in good order
+        atexit.register(_remove, files, folder)
+    return path
+
+
+def _remove(files, folder) -> None:
+    try:
+        files.delete(folder, True)
+    except Exception:  # the JVM has gone, and deleteOnExit has done it
+        pass
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -73,13 +94,14 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+    """``df`` written once as Parquet in the shared folder and read back. It stays until the
+    application ends, since later DataFrames read it lazily.
 
     For results that several later steps read: they are computed once, survive lost
     executors, keep column pruning, and their size is known to the join planner.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
