@@ -90,7 +90,7 @@ def targets(rows: DataFrame) -> DataFrame:
 
 
 def slots(goal: DataFrame) -> DataFrame:
-    """(slot, rank, block, blocks): the schedule. A source that no point meets gets one slot
+    """(slot, rank, block): the schedule. A source that no point meets gets one slot
     after the others."""
     spark = goal.sparkSession
     whole = goal.agg(F.sum("words")).first()[0] or 0
@@ -112,8 +112,7 @@ def slots(goal: DataFrame) -> DataFrame:
     missed = goal.where("words > 0").join(met, "rank", "left_anti").select(
         (F.lit(n) + F.col("rank")).alias("slot"), "rank")
     all_slots = met.union(missed)
-    counts = all_slots.groupBy("rank").agg(F.count(F.lit(1)).alias("blocks"))
-    return number_rows(all_slots, ["rank"], "slot", "block").join(counts, "rank")
+    return written(number_rows(all_slots, ["rank"], "slot", "block"), "plan")
 
 
 def _edge(block: Column) -> Column:
@@ -122,22 +121,24 @@ def _edge(block: Column) -> Column:
         F.floor(block * (F.col("words") / F.col("blocks"))))
 
 
-def _placed(rows: DataFrame, goal: DataFrame) -> DataFrame:
-    """Rows with their source's rank and goal, and their place in the source's hash order."""
+def _placed(rows: DataFrame, goal: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with their source's rank, goal, and blocks, and their place in its hash order."""
+    counts = plan.groupBy("rank").agg(F.count(F.lit(1)).alias("blocks"))
+    goal = goal.join(counts, "rank", "left")
     bucket = F.substring("key", 1, _digits(rows.count()))
     joined = (
         rows.alias("d").join(goal.alias("g"), F.expr("d.source <=> g.source"))
-        .select("d.*", "rank", "source_size", "target", "words").withColumn("bucket", bucket))
+        .select("d.*", "rank", "source_size", "target", "words", "blocks")
+        .withColumn("bucket", bucket))
     order = [F.asc("key"), F.asc("doc_id"), F.asc("size"), F.asc("text_key")]
     return written(sum_before(joined, ["rank"], "bucket", order, "size", "start"), "placed")
 
 
 def _pieces(placed: DataFrame, plan: DataFrame) -> DataFrame:
     """(slot, rank, block, bucket, row, doc_id, from_word, n): what each slot takes."""
-    counts = plan.groupBy("rank").agg(F.max("blocks").alias("blocks"))
     first = F.col("start") + F.col("pass") * F.col("source_size")
     cut = (
-        placed.where("size > 0").join(counts, "rank")
+        placed.where("size > 0 and words > 0")
         .withColumn("pass", F.explode(F.array(*map(F.lit, range(PASSES)))))
         .withColumn("first", first)
         .withColumn("end", F.least(F.col("first") + F.col("size"), F.col("words")))
@@ -154,7 +155,7 @@ def _pieces(placed: DataFrame, plan: DataFrame) -> DataFrame:
         .where("n > 0")
         .select("rank", "block", "bucket", "row", "doc_id",
                 (F.col("begin") - F.col("first")).alias("from_word"), "n"))
-    return pieces.join(plan.select("slot", "rank", "block"), ["rank", "block"])
+    return pieces.join(plan, ["rank", "block"])
 
 
 def schedule(docs: DataFrame) -> DataFrame:
@@ -167,7 +168,8 @@ def schedule(docs: DataFrame) -> DataFrame:
     """
     rows = sized(docs)
     goal = targets(rows)
-    pieces = _pieces(_placed(rows, goal), written(slots(goal), "plan"))
+    plan = slots(goal)
+    pieces = _pieces(_placed(rows, goal, plan), plan)
     return pieces.join(goal.select("rank", "source"), "rank").select(
         "slot", "source", "doc_id", "from_word", "n")
 
@@ -175,8 +177,9 @@ def schedule(docs: DataFrame) -> DataFrame:
 def _taken(docs: DataFrame) -> DataFrame:
     rows = sized(docs)
     goal = targets(rows)
-    placed = _placed(rows, goal)
-    sums = _pieces(placed, written(slots(goal), "plan")).groupBy("rank", "bucket", "row").agg(
+    plan = slots(goal)
+    placed = _placed(rows, goal, plan)
+    sums = _pieces(placed, plan).groupBy("rank", "bucket", "row").agg(
         F.sum("n").alias("taken"))
     return placed.join(sums, ["rank", "bucket", "row"], "left").withColumn(
         "taken", F.coalesce("taken", F.lit(0)))

@@ -1,8 +1,9 @@
 """Toxicity by cumulative-link ordinal regression on sparse words.
 
 Grades run from 0 (clean) to 3. The labels only say toxic or not, so the grade of a toxic
-document in the fit is 1, 2, or 3 by the thirds of how often its words are markers, words
-that occur in toxic documents more than in others. One weight per word serves all
+document in the fit is 1, 2, or 3 by the thirds of its evidence: the sum of 1 + log(count) over
+its markers, words that occur in toxic documents more than in others. That is also the value
+of a word in the regression. One weight per word serves all
 thresholds: P(grade <= j) = sigmoid(threshold_j - weights . x), with ordered thresholds. The
 severity is the expected grade.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +29,30 @@ MAX_ROWS = 20_000
 #: log likelihood ratio, far beyond chance for some 100,000 candidate words.
 MAX_WORDS, MIN_EVIDENCE = 4096, 24.0
 GRADES = 3
-PENALTY, STEPS = 0.005, 400
+PENALTY, STEPS = 0.005, 1000
 TOKEN = re.compile(r"\w+")
 
 
+def least_pairs(words: list[str]) -> tuple[int, int]:
+    """Two min-hashes over neighbouring words: near copies mostly share one."""
+    pairs = [" ".join(p).encode() for p in zip(words, words[1:], strict=False)] or [
+        " ".join(words).encode()]
+    return min(map(crc32, pairs)), min(map(other_hash, pairs))
+
+
+def other_hash(pair: bytes) -> int:
+    return crc32(pair, 0x9E3779B9)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Word indices, their weights, and the thresholds below the grades 1, 2, 3."""
+    """Word indices, their weights, the thresholds below the grades 1, 2, 3, and the sum of
+    weights from which a document is rejected."""
 
     words: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray
+    cut: float
 
     def logits(self, text: str) -> float:
         known = Counter(filter(self.words.__contains__, TOKEN.findall(text.lower())))
@@ -84,27 +99,49 @@ def fit_cumulative(
     return theta[:n_words], theta[n_words] + np.r_[0, np.cumsum(np.exp(theta[n_words + 1:]))]
 
 
+def best_cut(logits: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut with the fewest errors, in the middle of the widest gap that has as few."""
+    order = np.argsort(logits, kind="stable")
+    value, bad = logits[order], toxic[order]
+    # a cut below the i-th value misses the toxic ones before it
+    errors = np.r_[0, np.cumsum(bad)] + (~bad).sum() - np.r_[0, np.cumsum(~bad)]
+    edges = np.r_[value[0] - 1, value, value[-1] + 1]
+    width = np.diff(edges)
+    errors = np.where(width > 0, errors, len(logits) + 1)
+    at = max(np.flatnonzero(errors == errors.min()), key=lambda i: width[i])
+    return float((edges[at] + edges[at + 1]) / 2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The model of ``labels`` (doc_id, toxic) on the texts of ``docs`` (doc_id, text).
 
-    Reads whole texts of at most ``max_rows`` labelled documents. Null labels, labels of
+    Reads whole texts of at most ``max_rows`` labelled documents, of which near copies with the
+    same label count once. Null labels, labels of
     unknown ids and null ids are passed over; without any toxic label nothing is toxic.
     """
     sample = label_sample(labels, "toxic", max_rows)
 
     def counted(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        found = [Counter(TOKEN.findall(x.lower())) for x in texts_of(batch)]
+        texts = [TOKEN.findall(x.lower()) for x in texts_of(batch)]
+        found, marks = [Counter(x) for x in texts], [least_pairs(x) for x in texts]
         return {"words": pa.array([list(c) for c in found], pa.list_(pa.string())),
-                "counts": pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))}
+                "counts": pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
+                "near1": pa.array([m[0] for m in marks], pa.int64()),
+                "near2": pa.array([m[1] for m in marks], pa.int64())}
 
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = written(
-        arrow_map(known, counted, "words array<string>, counts array<int>")
-        .select("doc_id", (F.col("y") >= 0.5).alias("toxic"), "words", "counts"), "toxic-words")
+    rows = arrow_map(known, counted,
+                     "words array<string>, counts array<int>, near1 long, near2 long").select(
+        "doc_id", (F.col("y") >= 0.5).alias("toxic"), "words", "counts", "near1", "near2")
+    # copies would make any of their words look like a sign of their label
+    for near in ("near1", "near2"):
+        first = F.min_by(F.struct("*"), "doc_id").alias("row")
+        rows = rows.groupBy(near, "toxic").agg(first).select("row.*")
+    rows = written(rows, "toxic-words")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("toxic").alias("toxic")).first()
     n, n_toxic = size["n"], size["toxic"]
     if not n_toxic:
-        return Model({}, np.zeros(0), np.array([9.0, 10.0, 11.0]))
+        return Model({}, np.zeros(0), np.array([9.0, 10.0, 11.0]), np.inf)
 
     pos, neg = F.col("pos"), F.col("df") - F.col("pos")
     miss_pos, miss_neg = F.lit(n_toxic) - pos, F.lit(n - n_toxic) - neg
@@ -132,12 +169,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
             own = [(words[w], c) for w, c in zip(ws, cs, strict=True) if w in words]
             at.append([i for i, _ in own])
             values.append([c for _, c in own])
-            marked.append(sum(c for w, c in zip(ws, cs, strict=True) if w in marks))
+            marked.append(sum(1 + np.log(c) for w, c in zip(ws, cs, strict=True) if w in marks))
         return {"at": pa.array(at, pa.list_(pa.int32())),
                 "n_at": pa.array(values, pa.list_(pa.int32())),
-                "marked": pa.array(marked, pa.int64())}
+                "marked": pa.array(marked, pa.float64())}
 
-    got = (arrow_map(rows, vectors, "at array<int>, n_at array<int>, marked long")
+    got = (arrow_map(rows, vectors, "at array<int>, n_at array<int>, marked double")
            .select("doc_id", "toxic", "at", "n_at", "marked").toPandas())
     got = got.sort_values(["doc_id", "marked"], kind="stable")
     toxic, marked = got["toxic"].to_numpy(bool), got["marked"].to_numpy()
@@ -149,17 +186,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     col = np.concatenate([none, *got["at"]]).astype(np.int64)
     value = 1 + np.log(np.concatenate([none, *got["n_at"]]).astype(float))
     weights, thresholds = fit_cumulative(row, col, value, grade, len(words))
-    return Model(words, weights, thresholds)
+    logits = np.bincount(row, value * weights[col], len(got))
+    return Model(words, weights, thresholds, best_cut(logits, toxic))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``severity`` (0 to 3), ``grade``, ``p_toxic``, and ``rejected``, which is
-    P(grade > 0) >= 0.5. Null and empty texts hold no words, so they get the score of a text
+    """``docs`` with ``severity`` (0 to 3), ``grade``, ``p_toxic`` = P(grade > 0), and
+    ``rejected``: the sum of weights reaches the model's cut. Null and empty texts hold no words, so they get the score of a text
     without known words. Rows and other columns stay as they are."""
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        above = model.above(np.array([model.logits(x) for x in texts_of(batch)]))
+        logits = np.array([model.logits(x) for x in texts_of(batch)])
+        above = model.above(logits)
         return {"severity": pa.array(above.sum(1)), "p_toxic": pa.array(above[:, 0]),
                 "grade": pa.array((above >= 0.5).sum(1).astype(np.int32)),
-                "rejected": pa.array(above[:, 0] >= 0.5)}
+                "rejected": pa.array(logits >= model.cut)}
 
     return arrow_map(docs, run, "severity double, p_toxic double, grade int, rejected boolean")

@@ -1,0 +1,61 @@
+import numpy as np
+
+from terrane.llm import lm, queries
+
+
+def plain_score(model, text):
+    """Token by token, each from its own window."""
+    found = lm.tokens(text, lm.Buckets())
+    line = [lm.EDGE] * 2 + [int(model.class_of[t]) for t in found] + [lm.EDGE] * 2
+    total = 0.0
+    for i, token in enumerate(found):
+        context = [line[i + 2 + j] for j in lm.AROUND]
+        hidden = np.tanh(model.net[1] + sum(model.net[0][j][c] for j, c in enumerate(context)))
+        logits = (hidden @ model.net[2] + model.net[3]).astype(float)
+        total += logits[line[i + 2]] - np.log(np.exp(logits).sum()) + model.inner[token]
+    return len(found), total
+
+
+def test_scores_against_single_windows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    model = lm.fit(docs, rounds=1)
+    got = {r["doc_id"]: r for r in lm.score(docs, model).collect()}
+    for doc in docs.limit(30).collect():
+        n, total = plain_score(model, doc["text"])
+        row = got[doc["doc_id"]]
+        assert row["n_tokens"] == n
+        assert abs(row["log_likelihood"] - total) < 1e-3 * max(1, n)
+    # chances of a token add up to 1
+    assert abs(np.exp(np.bincount(model.class_of, np.exp(model.inner.astype(float)),
+                                  lm.CLASSES)).mean() - np.e) < 1e-3
+
+
+def test_training_beats_no_training(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    trained, start = lm.fit(docs), lm.fit(docs, rounds=0)
+    mean = lambda m: lm.score(docs, m).selectExpr(
+        "sum(log_likelihood) / sum(n_tokens)").first()[0]
+    assert mean(trained) > mean(start) + 0.5
+
+
+def test_common_text_scores_above_rare(spark):
+    common = [(i, "the river runs to the sea and the sea is wide") for i in range(300)]
+    rows = spark.createDataFrame(
+        [*common, (900, "wide the and sea to runs is the sea river the")], "doc_id long, text string")
+    got = {r["doc_id"]: r["mean_log_likelihood"] for r in lm.score(rows, lm.fit(rows, 4)).collect()}
+    assert got[0] > got[900]
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    found = lm.score(odd_docs, lm.fit(odd_docs)).collect()
+    assert len(found) == odd_docs.count()
+    by_id = {r["doc_id"]: r for r in found}
+    for i in (4, 5, 6):
+        assert tuple(by_id[i])[1:] == (0, 0.0, None)
+    assert lm.score(no_docs, lm.fit(no_docs)).count() == 0
+
+
+def test_query_is_whole(spark):
+    sf = "/root/testdata/sf0.001"
+    assert queries.op4_lm(spark, sf).count() == spark.read.parquet(
+        f"{sf}/documents.parquet").count()
