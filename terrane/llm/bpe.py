@@ -27,7 +27,7 @@ from terrane.llm.common import arrow_map, texts_of
 # Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces and pairs that a task remembers; beyond it, the memory is cleared.
-MEMORY = 400_000
+MEMORY = 150_000
 
 
 def latin_pieces() -> re.Pattern:

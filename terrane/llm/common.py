@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of an Arrow batch that a Python task holds and returns at once.
-OUT_ROWS = 512
+OUT_ROWS = 256
+#: Rows of an Arrow batch that Spark hands to it.
+IN_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,38 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _small_batches(df: DataFrame) -> None:
+    """Let Spark hand Python ``IN_ROWS`` rows at a time, unless the session says otherwise;
+    its default of 10,000 long texts would be held several times over in every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(name) == "10000":
+        conf.set(name, str(IN_ROWS))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of ``OUT_ROWS`` rows; at the end, unused memory goes back to the system."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, OUT_ROWS):
+            yield batch.slice(at, OUT_ROWS)
+    pa.default_memory_pool().release_unused()
+
+
+def arrow_filter(
+    df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]], columns: list[str],
+) -> DataFrame:
+    """Rows of ``df`` for which ``keep``, given the named columns, says so. Nothing is added,
+    so no column can clash."""
+    _small_batches(df)
+    places = [df.columns.index(c) for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            yield part.filter(pa.array(keep(part.select(places)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def arrow_map(
     df: DataFrame, per_batch: Callable[[pa.RecordBatch], dict[str, pa.Array]], added: str,
     start: Callable[[], object] | None = None,
@@ -33,18 +67,17 @@ def arrow_map(
     ``added`` is their schema in DDL. ``start`` runs once in a task, and ``per_batch``
     then gets what it returned as a second argument. Rows keep their order and columns.
     """
+    _small_batches(df)
     fields = T.StructType.fromDDL(added)
     schema = T.StructType([*df.schema.fields, *fields.fields])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = (start(),) if start is not None else ()
-        for batch in batches:
-            for at in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(at, OUT_ROWS)
-                made = per_batch(part, *state)
-                columns = [*part.columns, *(made[f.name] for f in fields.fields)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for part in _parts(batches):
+            made = per_batch(part, *state)
+            columns = [*part.columns, *(made[f.name] for f in fields.fields)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ HIDDEN, RATE, ROUNDS, BATCH, SPEED, SEED = 32, 16, 2, 256, 0.01, 5
 FAN = 32
 #: Tokens whose class chances are held at once.
 CHUNK = 1 << 14
-MEMORY = 400_000
+MEMORY = 200_000
 AROUND = (-2, -1, 1, 2)
 
 

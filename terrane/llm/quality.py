@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import arrow_map, held_out, label_sample, texts_of
+from terrane.llm.common import arrow_filter, arrow_map, held_out, label_sample, texts_of
 from terrane.session import written
 
 #: Bound of the labelled rows that the fit reads, chosen by hash of the id.
@@ -180,13 +180,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                  bins["raw"].to_numpy(), chance)
 
 
+def _scores(batch: pa.RecordBatch, model: Model) -> np.ndarray:
+    x = np.array([statistics(t) for t in texts_of(batch)]).reshape(-1, N_STATISTICS)
+    return model.predict(x)
+
+
+def good(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` whose score reaches ``CUT``, as they are; the cases are ``score``'s."""
+    return arrow_filter(docs, lambda batch: (_scores(batch, model) >= CUT).tolist(), ["text"])
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``predicted`` (1 if score >= ``CUT``), ``held_out``.
 
     Null and empty texts get the score of an empty text. Rows and other columns stay."""
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        x = np.array([statistics(t) for t in texts_of(batch)]).reshape(-1, N_STATISTICS)
-        found = model.predict(x)
+        found = _scores(batch, model)
         return {"score": pa.array(found), "predicted": pa.array((found >= CUT).astype(np.int32))}
 
     return arrow_map(docs, run, "score double, predicted int").withColumn(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import arrow_map, label_sample, texts_of
+from terrane.llm.common import arrow_filter, arrow_map, label_sample, texts_of
 from terrane.session import written
 
 #: Bound of the labelled rows that the fit reads, chosen by hash of the id.
@@ -202,3 +202,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 "rejected": pa.array(logits >= model.cut)}
 
     return arrow_map(docs, run, "severity double, p_toxic double, grade int, rejected boolean")
+
+
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` that the model does not reject, as they are; the cases are ``score``'s."""
+    def keep(batch: pa.RecordBatch) -> list[bool]:
+        return [model.logits(x) < model.cut for x in texts_of(batch)]
+
+    return arrow_filter(docs, keep, ["text"])
