@@ -139,7 +139,7 @@ refs AS (
   FROM embeddings GROUP BY label),
 combos AS (
   SELECT s.structure_id, s.sd_context, r.ref, r.subtype, r.reference_context
-  FROM (SELECT DISTINCT structure_id, sd_context FROM valid) s, refs r),
+  FROM (SELECT DISTINCT structure_id, sd_context FROM positions) s, refs r),
 ref_pairs AS MATERIALIZED (
   SELECT * FROM pairs WHERE structure_id IN (SELECT ref FROM refs)),
 ref_valid AS MATERIALIZED (

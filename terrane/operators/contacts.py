@@ -73,9 +73,13 @@ def mask_confidence(
 ) -> DataFrame:
     """Drop atoms of low confidence. Apply after the positions are set, so that the
     others keep theirs. ``None`` switches the mask off, as for relaxed structures."""
+    return positions.filter(confident(minimum))
+
+
+def confident(minimum: float | None) -> Column:
     if minimum is None:
-        return positions
-    return positions.filter(F.coalesce(F.col("plddt") >= minimum, F.lit(True)))
+        return F.lit(True)
+    return F.coalesce(F.col("plddt") >= minimum, F.lit(True))
 
 
 def _half_shell() -> list[tuple[int, int, int]]:
@@ -162,11 +166,13 @@ def structural_distance(
     def positions(atoms: DataFrame, name: str) -> DataFrame:
         placed = align(site_filter(atoms_for(atoms, contexts), sites))
         return written(
-            mask_confidence(placed, confidence).select(*by, "pos", "x", "y", "z"), name
+            placed.select(*by, "pos", "x", "y", "z", confident(confidence).alias("kept")), name
         )
 
-    q_pos = positions(queries, "query-positions")
-    r_pos = positions(renamed, "reference-positions")
+    # a structure whose atoms are all masked has no contacts, and still a distance
+    q_all = positions(queries, "query-positions")
+    r_all = positions(renamed, "reference-positions")
+    q_pos, r_pos = q_all.filter("kept").drop("kept"), r_all.filter("kept").drop("kept")
     r_contacts = written(contact_pairs(r_pos, by, limit), "reference-contacts")
 
     # references by position and by contact, as short lists of numbers
@@ -195,7 +201,7 @@ def structural_distance(
     )
 
     # positions of any reference that a query lacks, and the reference contacts lost
-    present = q_pos.select(*by).distinct()
+    present = q_all.select(*by).distinct()
     lacking = present.join(having.select("sd_context", "pos"), "sd_context").join(
         q_pos.select(*by, "pos"), [*by, "pos"], "left_anti"
     )
@@ -211,7 +217,7 @@ def structural_distance(
     )
 
     totals = (
-        r_pos.select("sd_context", F.col("structure_id").alias("ref")).distinct()
+        r_all.select("sd_context", F.col("structure_id").alias("ref")).distinct()
         .join(
             r_contacts.groupBy("sd_context", F.col("structure_id").alias("ref"))
             .agg(F.count(F.lit(1)).alias("n_ref")),

@@ -14,12 +14,15 @@ from terrane.operators.factors import TRIPLE
 def pick_surface(
     surface: DataFrame, x: str | None = None, y: str | None = None, z: str | None = None
 ) -> DataFrame:
-    """Mesh points of one triple. An axis that is not named is the first by name among
-    all triples of the table."""
-    for column, name in zip(TRIPLE, (x, y, z)):
-        chosen = F.lit(name) if name is not None else surface.agg(F.min(column)).scalar()
-        surface = surface.filter(F.col(column) == chosen)
-    return surface
+    """Mesh points of one triple. Axes that are not named are the first by name, x before
+    y before z, among the triples with the named ones."""
+    named = {c: name for c, name in zip(TRIPLE, (x, y, z)) if name is not None}
+    for column, name in named.items():
+        surface = surface.filter(F.col(column) == F.lit(name))
+    if len(named) == len(TRIPLE):
+        return surface
+    first = surface.agg(F.min(F.struct(*TRIPLE))).scalar()
+    return surface.filter(F.struct(*TRIPLE) == first)
 
 
 def surface_grid(surface: DataFrame, steps: int = MESH_STEPS) -> DataFrame:

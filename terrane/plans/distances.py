@@ -15,10 +15,21 @@ from terrane.sources.structures import read_structures, reference_labels
 from terrane.sources.tables import append_table
 
 
-def new_structures(atoms: DataFrame, done: DataFrame | None) -> DataFrame:
-    """Atoms of the structures without a finished distance."""
+def new_structures(
+    atoms: DataFrame, done: DataFrame | None, context: str, limit: float,
+    confidence: float | None, sites: str | None, proteomic_context: str | None,
+) -> DataFrame:
+    """Atoms of the structures without a finished distance under the same settings. A
+    structure done in one context, or with another limit, confidence, site range, or
+    proteomic context, is not done. ``done`` is the output so far; a setting that it has no
+    column for counts as equal, so a bare list of identifiers means done in every way."""
     if done is None:
         return atoms
+    settings = {"sd_context": context, "sd_limit": limit, "sd_confidence": confidence,
+                "site_range": sites, "proteomic_context": proteomic_context}
+    for name, value in settings.items():
+        if name in done.columns:
+            done = done.filter(F.col(name).eqNullSafe(F.lit(value)))
     finished = done.select(F.col("identifier").alias("structure_id")).distinct()
     return pending(atoms, finished, ["structure_id"])
 
@@ -37,17 +48,18 @@ def update_distances(
 ) -> None:
     """Read the structure files, leave out those done, and append their distances.
 
-    Relaxed structures meet the relaxed references and are not masked. All structures,
-    references, and contexts are one job per kind.
+    Relaxed structures meet the relaxed references and are not masked. What is done is
+    known per context, so each context and kind is one job over all its structures.
     """
-    queries = new_structures(read_structures(spark, structures), done)
+    atoms = read_structures(spark, structures)
     known = reference_labels(read_structures(spark, references))
     for relaxed in (False, True):
-        chosen = queries.filter(F.col("relaxed") == relaxed)
-        if chosen.isEmpty():
-            continue
-        result = structural_distance(
-            chosen, known.filter(F.col("relaxed") == relaxed), contexts, limit,
-            None if relaxed else confidence, sites, proteomic_context,
-        )
-        append_table(result, output)
+        least = None if relaxed else confidence
+        own = known.filter(F.col("relaxed") == relaxed)
+        for context in contexts:
+            chosen = new_structures(
+                atoms.filter(F.col("relaxed") == relaxed), done, context, limit, least, sites,
+                proteomic_context)
+            if not chosen.isEmpty():
+                append_table(structural_distance(
+                    chosen, own, (context,), limit, least, sites, proteomic_context), output)

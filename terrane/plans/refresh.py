@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,27 +13,11 @@ from terrane.operators.titers import individual_summary, titer_summary
 from terrane.operators.versions import distance_extract, energy_summary
 from terrane.sources.tables import load_table
 
-# Database of each warehouse table.
-DATABASES = {
-    "antigenic_tests": "dais",
-    "archive_serum_ref": "ref_sys",
-    "specimen": "disc_denorm",
-    "isolate": "disc_denorm",
-    "hiserum": "disc_denorm",
-    "variant_taxonomy": "ref_sys",
-    "isolate_pair_variants": "ref_sys",
-    "alignments": "dais",
-    "aligned_proteins": "dais",
-    "variants_filtered": "dais_supp",
-    "relaxed_structural_distance": "protein_modeling",
-    "relaxed_rosetta_energy_rmsd": "protein_modeling",
-}
-
-
-def open_warehouse(spark: SparkSession) -> Warehouse:
-    """The warehouse tables from the catalog."""
+
+def open_warehouse(spark: SparkSession, databases: Mapping[str, str]) -> Warehouse:
+    """The warehouse tables from the catalog; ``databases`` names the database of each."""
     return Warehouse(**{
-        name: load_table(spark, f"{database}.{name}") for name, database in DATABASES.items()
+        name: load_table(spark, f"{database}.{name}") for name, database in databases.items()
     })
 
 
@@ -53,6 +37,8 @@ def refresh(
     w: Warehouse, root: str, names: Sequence[str] | None = None, as_of: dt.date | None = None
 ) -> list[str]:
     """Write the extracts below ``root``, replacing older ones; returns their names."""
+    if unknown := set(names or ()) - set(extracts(w, as_of)):
+        raise ValueError(f"no such extracts: {sorted(unknown)}")
     chosen = {n: df for n, df in extracts(w, as_of).items() if names is None or n in names}
     for name, df in chosen.items():
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")

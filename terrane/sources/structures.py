@@ -31,9 +31,11 @@ def is_relaxed(stem: Column) -> Column:
 
 
 def structure_id(stem: Column) -> Column:
-    """The stem; for relaxed structures the part between the prefix and the next ``_``."""
+    """The stem; for relaxed structures the part between the prefix and the next ``_``.
+    A stem without that prefix, or with nothing behind it, stays whole."""
     after = F.get(F.split(stem, RELAXED_PREFIX), F.lit(1))
-    return F.when(is_relaxed(stem), F.get(F.split(after, "_"), F.lit(0))).otherwise(stem)
+    part = F.nullif(F.get(F.split(after, "_"), F.lit(0)), F.lit(""))
+    return F.when(is_relaxed(stem), F.coalesce(part, stem)).otherwise(stem)
 
 
 def parse_atoms(lines: DataFrame, line: str = "value", path: str = "path") -> DataFrame:
