@@ -8,27 +8,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrane.bindings.model_table import KEY, TITERS, model_sql, model_table
-from terrane.bindings.models import HASH, X, Y, Z, rounded
+from terrane.bindings.models import HASH, TRIPLES as TREE_TRIPLES, X, Y, Z, rounded
 from terrane.bindings.star import star
 from terrane.operators import comparison, preparing, smoothing, trees
 from terrane.session import written
 
 
-def _with_grid(family: trees.Family, **parameters) -> trees.Family:
-    return trees.Family(family.name, [parameters], family.fit, family.by_value)
-
-
-GRADIENT = _with_grid(trees.GRADIENT_BOOSTING, n_estimators=5, learning_rate=0.3)
-FOREST = _with_grid(trees.EXTRA_TREES, n_estimators=5, max_features=1, min_samples_split=4)
-ADABOOST = _with_grid(trees.ADABOOST, n_estimators=3, learning_rate=1.0)
+# every parameter value, with fewer repeats than the defaults
+REPEATS = {"k": 5, "search_repeats": 1, "final_repeats": 2}
 
 
 def landscape(*families):
     def run(spark, sf):
         table = written(model_table(spark, sf), "model-table")
-        return trees.tree_landscape(
-            table, (X, Y, Z), [KEY], families, k=2, search_repeats=1, final_repeats=1, bins=32,
-        ).mesh
+        return trees.tree_landscape(table, TREE_TRIPLES, [KEY], families, **REPEATS).mesh
     return run
 
 
@@ -129,10 +122,10 @@ FROM sums
 """
 
 QUERIES = {
-    "gradient_landscape": landscape(GRADIENT),
-    "forest_landscape": landscape(FOREST),
-    "adaboost_landscape": landscape(ADABOOST),
-    "tree_landscape": landscape(ADABOOST, GRADIENT, FOREST),
+    "gradient_landscape": landscape(trees.GRADIENT_BOOSTING),
+    "forest_landscape": landscape(trees.EXTRA_TREES),
+    "adaboost_landscape": landscape(trees.ADABOOST),
+    "tree_landscape": landscape(*trees.FAMILIES),
     "compare_models": compare_models,
     "survey_linear": survey_linear,
     "prepared_rows": prepared_rows,

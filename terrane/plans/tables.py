@@ -45,21 +45,21 @@ def write_landscapes(
 ) -> list[Triple]:
     """Plane landscapes of all triples of one wide table, as three tables."""
     triples = factor_triples(table.columns, context, lots)
-    _write(plane_landscape(table, triples, key, **options), root, name, "overwrite")
+    _write(plane_landscape(table, triples, key, **options), root, name)
     return triples
 
 
-def write_tree_landscape(
-    table: DataFrame, root: str, name: str, key: Sequence[str], triple: Triple,
+def write_tree_landscapes(
+    table: DataFrame, root: str, name: str, key: Sequence[str], triples: Sequence[Triple],
     families: Sequence[Family] = FAMILIES, **options: object,
 ) -> None:
-    """The tree landscape of one triple, appended to the three tables."""
-    _write(tree_landscape(table, triple, key, families, **options), root, name, "append")
+    """Tree landscapes of the triples of one wide table, as three tables, written anew."""
+    _write(tree_landscape(table, triples, key, families, **options), root, name)
 
 
-def _write(result: Landscape, root: str, name: str, mode: str) -> None:
+def _write(result: Landscape, root: str, name: str) -> None:
     folder = f"{root.rstrip('/')}/{name}"
     by = [F.col(c) for c in ("x_factor", "y_factor", "z_factor")]
-    result.mesh.repartition(*by).write.mode(mode).parquet(f"{folder}_plandscape")
-    result.metrics.write.mode(mode).parquet(f"{folder}_plandscape_metrics")
-    result.summary.write.mode(mode).parquet(f"{folder}_plandscape_summary")
+    result.mesh.repartition(*by).write.mode("overwrite").parquet(f"{folder}_plandscape")
+    result.metrics.write.mode("overwrite").parquet(f"{folder}_plandscape_metrics")
+    result.summary.write.mode("overwrite").parquet(f"{folder}_plandscape_summary")

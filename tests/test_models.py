@@ -3,15 +3,16 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from terrane.operators import (
-    comparison, factors, folds, landscapes, meshes, metrics, planes, preparing, selection, smoothing,
-    surfaces, trees,
+    comparison, ensembles, factors, folds, landscapes, meshes, metrics, planes, preparing,
+    selection, smoothing, surfaces, trees,
 )
 from terrane.operators.factors import TRIPLE
-from terrane.plans.tables import write_landscapes, write_tree_landscape
+from terrane.plans.tables import write_landscapes, write_tree_landscapes
 
 TRIPLES = [("hd", "H3_seasonal_heavy_sd", "a|logfold"), ("pcd", "H3_seasonal_heavy_sd", "a|logfold")]
 
@@ -204,67 +205,145 @@ def test_plane_landscape(spark, table, tmp_path):
     assert stored.count() == 2
 
 
-def test_cells_fit_like_rows(spark, table):
-    """Trees on cells equal trees on the rows, when rows stand where their cell is."""
-    rows = factors.triple_rows(table, TRIPLES[:1], ["variant_hash"])
-    spans = meshes.axis_spans(rows)
-    celled = folds.fold_ids(trees.with_cells(rows, spans, 8), ["variant_hash"], 2, 1).cache()
-    means = trees.cell_means(celled).cache()
-    assert means.select("px").distinct().count() <= 8
-    cells = trees.training_points(trees.fold_cells(celled), means, False)
-    fitted = trees.fit_gradient_boosting(cells, {"n_estimators": 4, "learning_rate": 0.5})
-    on_cells = {(r.cx, r.cy): r.p for r in fitted.predict(means, "p").collect()}
-    full = trees._features(celled.join(means, ["cx", "cy"]))
-    model = GBTRegressor(labelCol="z", maxIter=4, stepSize=0.5, maxDepth=3, maxBins=64, seed=1)
-    on_rows = model.fit(full).transform(full).collect()
-    for r in on_rows:
-        assert math.isclose(on_cells[(r.cx, r.cy)], r.prediction, abs_tol=1e-6)
+def _grid(rows, shape):
+    n, sums = np.zeros(shape), np.zeros(shape)
+    for x, y, z in rows:
+        n[int(x), int(y)] += 1
+        sums[int(x), int(y)] += z
+    return n, sums
 
 
-def test_weighted_median(spark):
-    class Constant:
-        def __init__(self, value):
-            self.value = value
-
-        def transform(self, df):
-            return df.withColumn("prediction", F.lit(self.value))
-
-    df = spark.createDataFrame([(0.0, 0.0)], "px double, py double")
-
+def _rows(count=300):
+    rng = random.Random(5)
+    return [(float(i % 10), float(i % 7), float((i % 10) ** 2 + 3 * rng.random()))
+            for i in range(count)]
+
+
+def test_tree_on_cells_equals_tree_on_rows(spark):
+    rows = _rows()
+    df = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(
+        spark.createDataFrame(rows, "x double, y double, z double"))
+    model = DecisionTreeRegressor(labelCol="z", maxDepth=3, seed=1).fit(df)
+    tree = ensembles.grow_tree(*_grid(rows, (10, 7)), 3)
+    for r in model.transform(df).collect():
+        assert math.isclose(tree[int(r.x), int(r.y)], r.prediction, abs_tol=1e-9)
+
+
+def test_gradient_boosting():
+    n, s = _grid(_rows(), (10, 7))
+    mean = s.sum() / n.sum()
+    slow, = ensembles.gradient_boosting(n, s, 0.0001, [10])
+    assert np.abs(slow - mean).max() < 0.1  # starts at the mean and moves by the rate
+    one, = ensembles.gradient_boosting(n, s, 1.0, [1])
+    assert np.allclose(one, ensembles.grow_tree(n, s))
+    few, many = ensembles.gradient_boosting(n, s, 0.3, [3, 40])
+    alone, = ensembles.gradient_boosting(n, s, 0.3, [3])
+    assert np.allclose(few, alone)
+    true = s / n
+    assert np.abs(many - true).mean() < np.abs(few - true).mean()
+
+
+def test_forest():
+    n, s = _grid(_rows(), (10, 7))
+    n[3, 4] = s[3, 4] = 0  # a cell without rows takes its neighbours' value
+    places = [np.arange(10.0), np.arange(7.0)]
+
+    def forest(features, least, steps, seed=1):
+        return list(ensembles.random_forest(
+            n, s, places, features, least, steps, np.random.default_rng(seed)))
+
+    full = n > 0
+    for features in (1, 2):
+        for grown in forest(features, 2, [1, 9]):
+            assert np.allclose(grown[full], s[full] / n[full]) and np.isfinite(grown).all()
+    flat, = forest(2, 1000, [5])
+    assert np.allclose(flat, s.sum() / n.sum())
+    first, other = forest(1, 60, [1])[0], forest(1, 60, [1], 2)[0]
+    assert not np.allclose(first, other)  # cuts are random
+    assert np.array_equal(first, forest(1, 60, [1])[0])
+    coarse, fine = (np.abs(forest(2, least, [20])[0] - s / np.where(full, n, 1))[full].mean()
+                    for least in (100, 20))
+    assert fine < coarse
+
+
+def test_weighted_median():
     def vote(*pairs):
-        fitted = trees.Fitted([Constant(p) for p, _ in pairs], [w for _, w in pairs])
-        return fitted.predict(df, "p").first().p
+        guesses, votes = zip(*pairs)
+        return ensembles.weighted_median(np.array(guesses)[:, None], np.array(votes))[0]
 
     assert vote((3.0, 1.0), (1.0, 1.0), (2.0, 1.0)) == 2.0
     assert vote((1.0, 0.5), (2.0, 0.4), (9.0, 2.0)) == 9.0
     assert vote((1.0, 1.0), (2.0, 1.0)) == 1.0
 
 
-def test_adaboost_learns(spark):
-    rng = random.Random(5)
-    rows = [(float(i % 10), float(i % 7), float((i % 10) ** 2 + rng.random()), 1.0)
-            for i in range(140)]
-    df = spark.createDataFrame(rows, "px double, py double, z double, w double")
-    fitted = trees.fit_adaboost(df, {"n_estimators": 3, "learning_rate": 1.0})
-    assert 1 <= len(fitted.models) <= 3 and all(w > 0 for w in fitted.weights)
-    r = metrics.regression_metrics(
-        fitted.predict(df, "z_predicted").withColumn("g", F.lit(1)), ["g"]).first()
-    assert r.r2 > 0.95
+def test_adaboost():
+    rows = _rows()
+    cell = np.array([int(x) * 7 + int(y) for x, y, _ in rows])
+    z = np.array([z for *_, z in rows])
+    one, many = ensembles.adaboost((10, 7), cell, z, np.ones(len(z)), 1.0, [1, 30])
+    assert np.allclose(one, ensembles.grow_tree(*_grid(rows, (10, 7))))
+    left = ((many.ravel()[cell] - z) ** 2).sum() / ((z - z.mean()) ** 2).sum()
+    assert left < 0.05
+    exact, = ensembles.adaboost((2, 1), np.array([0, 1]), np.array([1.0, 2.0]), np.ones(2), 1.0, [9])
+    assert exact.ravel().tolist() == [1.0, 2.0]
+
+
+SMALL = trees.Family("GradientBoostingRegressor()", "gradient", [
+    {"n_estimators": n, "learning_rate": 0.5} for n in (2, 4)])
+
+
+def test_fold_scores_by_rows(spark):
+    """Scores from sums equal scores from rows, as every bin here holds one value."""
+    rng = random.Random(7)  # values without ties between splits
+    rows = [(i, float(i % 8), float(i % 5), rng.choice([0.0, 1.1, 2.7, 4.9, 7.3])) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, z double").withColumns(
+        {"triple": F.lit(0), "bucket": F.col("id") % 50})
+    spans, cuts = meshes.axis_spans(df), trees.axis_cuts(df)
+    got = cuts.first()
+    assert got.cuts_x == [i + 0.5 for i in range(7)] and got.cuts_y == [0.5, 1.5, 2.5, 3.5]
+    plans = [(SMALL, p) for p in SMALL.grid]
+    asked = spark.createDataFrame([(0, 0), (0, 1)], "triple int, plan int")
+    scores = trees.fold_scores(trees.cell_points(df, cuts, spans), asked, plans, 3, 2).collect()
+    assert len(scores) == 2 * 2 * 3
+    folded = {(r.id, r.repeat): r.fold for r in folds.fold_ids(
+        df.select("id", "bucket"), ["bucket"], 3, 2).collect()}
+    for r in scores:
+        train = [v[1:] for v in rows if folded[v[0], r.repeat] != r.fold]
+        test = [v[1:] for v in rows if folded[v[0], r.repeat] == r.fold]
+        n, s = _grid(train, (8, 5))
+        guess, = ensembles.gradient_boosting(n, s, 0.5, [plans[r.plan][1]["n_estimators"]])
+        for side, mae, r2 in ((test, r.mae_test, r.r2_test), (train, r.mae_train, r.r2_train)):
+            z = np.array([v[2] for v in side])
+            p = np.array([guess[int(v[0]), int(v[1])] for v in side])
+            assert math.isclose(mae, np.abs(z - p).mean(), rel_tol=1e-9)
+            assert math.isclose(r2, 1 - ((z - p) ** 2).sum() / ((z - z.mean()) ** 2).sum(), abs_tol=1e-9)
+
+
+def test_outlier_leaves_other_cells(spark):
+    df = spark.createDataFrame(
+        [(0, float(i % 20), float(i % 4), 1.0) for i in range(200)] + [(0, 1e9, 1.0, 1.0)],
+        "triple int, x double, y double, z double")
+    cuts = trees.axis_cuts(df, bins=20).first()
+    assert len(cuts.cuts_x) >= 18 and cuts.cuts_z == []
 
 
 def test_tree_landscape(spark, table, tmp_path):
-    family = trees.Family(
-        "GradientBoostingRegressor()",
-        [{"n_estimators": 2, "learning_rate": 0.5}, {"n_estimators": 4, "learning_rate": 0.5}],
-        trees.fit_gradient_boosting)
-    write_tree_landscape(
-        table, str(tmp_path), "H3", ["variant_hash"], TRIPLES[0], (family,),
-        k=2, search_repeats=1, final_repeats=1, bins=16)
+    for _ in range(2):  # a second run leaves the same tables
+        write_tree_landscapes(
+            table, str(tmp_path), "H3", ["variant_hash"], TRIPLES, (SMALL, trees.Family(
+                "ExtraTreesRegressor()", "forest",
+                [{"n_estimators": 5, "max_features": 1, "min_samples_split": 4}])),
+            k=2, search_repeats=1, final_repeats=1, bins=16)
     surface = spark.read.parquet(str(tmp_path / "H3_plandscape"))
-    assert surface.count() == 625 and surface.filter("z_predicted IS NULL").count() == 0
-    r = spark.read.parquet(str(tmp_path / "H3_plandscape_summary")).first()
-    assert r.model == "GradientBoostingRegressor()" and r.n_estimators in (2, 4)
-    assert spark.read.parquet(str(tmp_path / "H3_plandscape_metrics")).count() == 120
+    assert surface.count() == 625 * len(TRIPLES)
+    assert surface.filter("z_predicted IS NULL").count() == 0
+    for r in spark.read.parquet(str(tmp_path / "H3_plandscape_summary")).collect():
+        assert (r.model, r.n_estimators) in {
+            ("GradientBoostingRegressor()", 2), ("GradientBoostingRegressor()", 4),
+            ("ExtraTreesRegressor()", 5)}
+    seen = spark.read.parquet(str(tmp_path / "H3_plandscape_metrics"))
+    assert seen.filter("z_predicted IS NULL").count() == 0
+    assert seen.groupBy(*TRIPLE).count().filter("count = 120").count() == len(TRIPLES)
 
 
 def test_compare_models(table):
