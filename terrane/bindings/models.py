@@ -19,7 +19,7 @@ COLUMNS = [*METADATA, "hd", "pcd", "total_score", "srel_total_score", "H3_season
 TRIPLES = factors.factor_triples(COLUMNS, "mixed")
 PENALTIES = (0.0, 100.0, 10000.0)
 K = 5
-SEARCH, FINAL = 2, 4
+SEARCH, FINAL = 20, 200
 NAMES = ", ".join(TRIPLE)
 X, Y, Z = "hd", "H3_seasonal_calpha_sd", TITERS[0]
 
@@ -45,9 +45,11 @@ BASE = f"""
 {model_sql()},
 long AS MATERIALIZED ({triples_sql()}),
 guard AS (
-  SELECT {NAMES}, COUNT(*) AS n,
-         COUNT(*) >= (SELECT CEIL(COUNT(*) * 0.25) FROM model) AS enough
-  FROM ({triples_sql(f"(SELECT * FROM model WHERE {KNOWN})")}) GROUP BY {NAMES})
+  SELECT {NAMES}, COUNT({KEY}) AS n,
+         COUNT({KEY}) >= (SELECT CEIL(COUNT(*) * 0.25) FROM model) AS enough
+  FROM (VALUES {", ".join(map(str, TRIPLES))}) AS asked({NAMES})
+  LEFT JOIN ({triples_sql(f"(SELECT * FROM model WHERE {KNOWN})")}) USING ({NAMES})
+  GROUP BY {NAMES})
 """
 
 
@@ -57,6 +59,32 @@ def row_guard(spark, sf):
 
 GUARD_SQL = f"WITH {BASE} SELECT * FROM guard"
 
+# A constant axis, an axis with few values, and the usual ones.
+ASKED = [("hd", "flat", Z), ("hd", "rare", Z), (X, Y, Z), ("hd", "total_score", TITERS[1])]
+
+
+def skipped_triples(spark, sf):
+    table = model_table(spark, sf).withColumns({
+        "flat": F.lit(1.0), "rare": F.when(F.col("hd") > 45, F.col("total_score"))})
+    guard, passed = landscapes.guarded(table, ASKED, METADATA)
+    spans = meshes.axis_spans(factors.triple_rows(table, passed))
+    return landscapes.triple_reasons(guard, spans, passed)
+
+
+SKIPPED_SQL = f"""
+WITH {model_sql()},
+wide AS (SELECT *, 1.0e0 AS flat, CASE WHEN hd > 45 THEN total_score END AS rare FROM model),
+bound AS (SELECT CEIL(COUNT(*) * 0.25) AS least FROM model),
+counts AS (""" + "\nUNION ALL\n".join(f"""
+  SELECT '{x}' AS x_factor, '{y}' AS y_factor, '{z}' AS z_factor,
+         COUNT(*) FILTER (WHERE {KNOWN}) AS n, MIN("{x}") = MAX("{x}") OR MIN("{y}") = MAX("{y}") AS flat
+  FROM wide WHERE "{x}" IS NOT NULL AND "{y}" IS NOT NULL AND "{z}" IS NOT NULL"""
+    for x, y, z in ASKED) + """)
+SELECT x_factor, y_factor, z_factor, n, n >= least AS enough,
+       CASE WHEN n < least THEN 'too few rows' WHEN flat THEN 'constant axis' END AS reason
+FROM counts, bound
+"""
+
 
 def factor_set_counts(spark, sf):
     table = model_table(spark, sf)
@@ -490,6 +518,7 @@ FROM guard WHERE enough
 
 QUERIES = {
     "row_guard": row_guard,
+    "skipped_triples": skipped_triples,
     "factor_set_counts": factor_set_counts,
     "kfold_ids": kfold_ids,
     "kfold_ids_balanced": kfold_ids_balanced,
@@ -513,6 +542,7 @@ QUERIES = {
 
 ORACLES = {
     "row_guard": GUARD_SQL,
+    "skipped_triples": SKIPPED_SQL,
     "factor_set_counts": SETS_SQL,
     "kfold_ids": KFOLD_SQL,
     "kfold_ids_balanced": KFOLD_BALANCED_SQL,

@@ -137,7 +137,8 @@ def row_guard(
     share: float = MIN_SHARE, least: int = 0,
 ) -> DataFrame:
     """Rows per triple with all values and all ``need`` columns present, and whether
-    they reach the share of all rows of ``df`` and the least count.
+    they reach the share of all rows of ``df`` and the least count. Triples without any such
+    row count 0, and without any row of ``df`` none is told.
 
     Rows are counted by which axis columns they have; the triples are looked up in
     these few patterns and not in the rows.
@@ -151,8 +152,8 @@ def row_guard(
         for i, t in enumerate(triples)
     )
     counts = (
-        patterns.select("_rows", F.expr(f"inline(array({cells}))")).filter("whole")
-        .groupBy("triple").agg(F.sum("_rows").alias("n"))
+        patterns.select("_rows", F.expr(f"inline(array({cells}))")).groupBy("triple")
+        .agg(F.sum(F.when(F.col("whole"), F.col("_rows")).otherwise(0)).alias("n"))
     )
     bound = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("bound")).scalar()
     return named(counts, triples).withColumn(

@@ -37,12 +37,34 @@ PENALTIES = (0.0, 0.1, 1.0, 10.0)
 
 @dataclass(frozen=True)
 class Landscape:
-    """``mesh`` has one row per mesh point, ``metrics`` one per observed row, and
-    ``summary`` one per triple."""
+    """``mesh`` has one row per mesh point, ``metrics`` one per observed row, ``summary``
+    one per fitted triple, and ``triples`` one per asked triple, with the ``reason`` why it
+    has no model or no mesh."""
 
     mesh: DataFrame
     metrics: DataFrame
     summary: DataFrame
+    triples: DataFrame
+
+
+def triple_reasons(guard: DataFrame, spans: DataFrame, passed: Sequence[Triple]) -> DataFrame:
+    """The guard's rows with a ``reason``: too few rows, a constant axis, or NULL."""
+    ranges = named(axis_ranges(spans), passed) if passed else guard.withColumn(
+        "reason", F.lit(None).cast("string"))
+    few = F.when(~F.col("enough"), F.lit("too few rows"))
+    return guard.join(ranges.select(*TRIPLE, "reason"), TRIPLE, "left").withColumn(
+        "reason", F.coalesce(few, "reason"))
+
+
+def guarded(
+    df: DataFrame, triples: Sequence[Triple], metadata: Sequence[str]
+) -> tuple[DataFrame, list[Triple]]:
+    """The written guard and the triples that pass it. Without any, nothing can be fitted."""
+    guard = written(row_guard(df, triples, metadata), "guard")
+    passed = enough_triples(guard)
+    if not passed:
+        raise ValueError("no triple has enough rows; row_guard tells their numbers")
+    return guard, passed
 
 
 def observed_rows(
@@ -71,7 +93,7 @@ def plane_landscape(
     folds. The penalty takes the place of a learning rate in the tables.
     """
     metadata = metadata_columns(df.columns)
-    passed = enough_triples(row_guard(df, triples, metadata))
+    guard, passed = guarded(df, triples, metadata)
     axes = sorted({name for triple in passed for name in triple})
     narrow = spread(df.select(*[quoted(c) for c in [*key, *axes]]), key)
     hashed = written(with_folds(narrow, key, k, max(search_repeats, final_repeats)), "hashed-rows")
@@ -109,14 +131,15 @@ def plane_landscape(
         df, metadata, names, named(points, passed),
         observed_rows(df, passed, metadata, names.select(*TRIPLE, "b0", "b1", "b2"))
         .withColumn("z_predicted", predicted),
+        triple_reasons(guard, spans, passed),
     )
 
 
 def assemble(
     df: DataFrame, metadata: Sequence[str], model: DataFrame, points: DataFrame,
-    observed: DataFrame,
+    observed: DataFrame, triples: DataFrame,
 ) -> Landscape:
-    """The three tables in their published columns.
+    """The tables in their published columns.
 
     ``model`` has one row per triple with scores; ``points`` and ``observed`` carry
     predictions. Subtype and protein are those of the table, which holds one of each.
@@ -142,6 +165,7 @@ def assemble(
         metrics=observed.select(
             *[quoted(c) for c in metadata], *TRIPLE, "x", "y", "z_predicted"),
         summary=labelled(model).select(*head),
+        triples=triples,
     )
 
 

@@ -17,12 +17,14 @@ from terrane.operators.factors import BY_TRIPLE
 from terrane.operators.folds import spread_folds
 from terrane.operators.meshes import axis_spans
 from terrane.operators.metrics import r_squared
-from terrane.session import broadcast_within, written
+from terrane.session import written
 
 # Fixed value: below this share of Sxx * Syy the two axes count as one.
 SINGULAR = 1e-12
-# Most triples whose lists of fits are broadcast: 160 kB each at full repeats.
-MAX_BROADCAST = 2000
+# Most fits, of all triples, whose lists are broadcast: some 50 bytes each. Beyond, rows and
+# lists meet by triple and salt.
+MAX_BROADCAST_FITS = 1_000_000
+SALTS = 64
 
 _TERMS = {
     "n": lambda x, y, z: F.lit(1.0),
@@ -118,8 +120,8 @@ def fold_errors(
     """Test and, if asked, train MAE and R2 per triple, penalty, repeat, and fold.
 
     ``rows`` carry the array ``folds``. All fits of a triple form one list, written
-    first; their number follows from the repeats, folds, and penalties, so the table is
-    broadcast when it has no more triples than the bound. Each row meets the list of
+    first; their number follows from the repeats, folds, and penalties, and the table is
+    broadcast when it holds no more of them than the bound. Each row meets the list of
     its triple and tells test from train by its own fold.
     """
     listed = written(
@@ -130,16 +132,23 @@ def fold_errors(
         ),
         "fold-fits",
     )
-    joined = rows.select(*by, "folds", "x", "y", "z").join(
-        broadcast_within(listed, MAX_BROADCAST), list(by))
+    narrow = rows.select(*by, "folds", "x", "y", "z")
+    number = listed.agg(F.sum(F.size("fits"))).first()[0] or 0
+    if number <= MAX_BROADCAST_FITS:
+        joined = narrow.join(F.broadcast(listed), list(by))
+    else:
+        salt = F.pmod(F.xxhash64("folds", "x", "y", "z"), F.lit(SALTS)).cast("int")
+        copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = narrow.withColumn("_salt", salt).join(copies, [*by, "_salt"]).drop("_salt")
+    if not train:  # leave the other folds out before rows are widened
+        joined = joined.withColumn("fits", F.filter(
+            "fits", lambda f: F.element_at("folds", f["repeat"]) == f["held"]))
     own = F.element_at("folds", F.col("f.repeat")) == F.col("f.held")
     scored = joined.select(*by, "folds", "x", "y", "z", F.explode("fits").alias("f")).select(
         *by, F.col("f.repeat").alias("repeat"), F.col("f.held").alias("held"),
         F.col("f.penalty").alias("penalty"), own.alias("test"), "z",
         (F.col("f.b0") + F.col("f.b1") * F.col("x") + F.col("f.b2") * F.col("y")).alias("p"),
     )
-    if not train:
-        scored = scored.filter("test")
     parts = []
     sides = [("test", F.col("test"))] + ([("train", ~F.col("test"))] if train else [])
     for name, side in sides:

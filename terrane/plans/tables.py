@@ -43,7 +43,7 @@ def write_landscapes(
     table: DataFrame, root: str, name: str, key: Sequence[str], context: str = "antigenic",
     lots: Sequence[str] | None = None, **options: object,
 ) -> list[Triple]:
-    """Plane landscapes of all triples of one wide table, as three tables."""
+    """Plane landscapes of all triples of one wide table, as four tables."""
     triples = factor_triples(table.columns, context, lots)
     _write(plane_landscape(table, triples, key, **options), root, name)
     return triples
@@ -53,7 +53,7 @@ def write_tree_landscapes(
     table: DataFrame, root: str, name: str, key: Sequence[str], triples: Sequence[Triple],
     families: Sequence[Family] = FAMILIES, **options: object,
 ) -> None:
-    """Tree landscapes of the triples of one wide table, as three tables, written anew."""
+    """Tree landscapes of the triples of one wide table, as four tables, written anew."""
     _write(tree_landscape(table, triples, key, families, **options), root, name)
 
 
@@ -63,3 +63,4 @@ def _write(result: Landscape, root: str, name: str) -> None:
     result.mesh.repartition(*by).write.mode("overwrite").parquet(f"{folder}_plandscape")
     result.metrics.write.mode("overwrite").parquet(f"{folder}_plandscape_metrics")
     result.summary.write.mode("overwrite").parquet(f"{folder}_plandscape_summary")
+    result.triples.write.mode("overwrite").parquet(f"{folder}_plandscape_triples")

@@ -6,7 +6,6 @@ import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -83,16 +82,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Ask for a broadcast of ``df`` only after counting that it has at most ``max_rows``.
-
-    For tables whose size follows from parameters and not from the data, when that size
-    may pass Spark's own threshold. Beyond the bound the plain DataFrame is returned,
-    and the join shuffles. Give it a written table, so that the count is cheap.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back. It stays until the
     application ends, since later DataFrames read it lazily.

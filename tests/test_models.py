@@ -319,6 +319,34 @@ def test_fold_scores_by_rows(spark):
             assert math.isclose(r2, 1 - ((z - p) ** 2).sum() / ((z - z.mean()) ** 2).sum(), abs_tol=1e-9)
 
 
+def test_salted_fits(spark, table, monkeypatch):
+    rows = factors.triple_rows(
+        folds.with_folds(table, ["variant_hash"], 3, 2), TRIPLES, ["folds"]).cache()
+
+    def scores():
+        return sorted(
+            (r.triple, r.penalty, r.repeat, r.fold, round(r.mae_test, 9), round(r.r2_train, 9))
+            for r in planes.fold_scores(rows, (0.0, 1.0)).collect())
+
+    whole = scores()
+    monkeypatch.setattr(planes, "MAX_BROADCAST_FITS", 0)
+    assert scores() == whole and len(whole) == 2 * 2 * 2 * 3
+
+
+def test_triples_with_reasons(table):
+    wide = table.withColumns({
+        "flat": F.lit(2.0), "rare": F.when(F.col("hd") > 18, F.col("hd")),
+        "none": F.lit(None).cast("double")})
+    asked = [("hd", axis, "a|logfold") for axis in ("flat", "rare", "none", "pcd")]
+    told = landscapes.plane_landscape(
+        wide, asked, ["variant_hash"], k=2, search_repeats=1, final_repeats=1).triples.collect()
+    assert {r.y_factor: r.reason for r in told} == {
+        "flat": "constant axis", "rare": "too few rows", "none": "too few rows", "pcd": None}
+    assert {r.y_factor: r.n for r in told}["none"] == 0
+    with pytest.raises(ValueError):
+        landscapes.plane_landscape(wide, asked[1:3], ["variant_hash"])
+
+
 def test_outlier_leaves_other_cells(spark):
     df = spark.createDataFrame(
         [(0, float(i % 20), float(i % 4), 1.0) for i in range(200)] + [(0, 1e9, 1.0, 1.0)],
