@@ -71,12 +71,14 @@ def r2_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     sums = df.select(F.expr(f"inline(array({wide}))")).groupBy("block").agg(
         F.array(*[F.expr(f"regr_r2(y{s}, x{s})") for s in slots]).alias("r2")
     )
-    cells = ", ".join(
-        f"named_struct('x', {text(a)}, 'y', {text(b)}, 'of', {i}, 'slot', {s})"
-        for i, block in enumerate(blocks)
-        for s, (x, y) in enumerate(block) for a, b in ((x, y), (y, x))
+    names = ", ".join(
+        "array(" + ", ".join(
+            f"named_struct('x', {text(a)}, 'y', {text(b)}, 'slot', {s})"
+            for s, (x, y) in enumerate(block) for a, b in ((x, y), (y, x))
+        ) + ")"
+        for block in blocks
     )
-    named = sums.select("block", "r2", F.expr(f"inline(filter(array({cells}), c -> c.of = block))"))
+    named = sums.select("r2", F.expr(f"inline(element_at(array({names}), block + 1))"))
     return named.select("x", "y", F.get("r2", F.col("slot")).alias("r2"))
 
 
