@@ -8,12 +8,14 @@ its historical and its seasonal reference.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.bindings.star import star
 from terrane.operators import contacts, membership, numbering
+from terrane.plans import distances
 from terrane.session import shared_dir
 from terrane.sources import structures
 
@@ -219,6 +221,31 @@ WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)
 """
 
 
+def pending_contexts(spark, sf):
+    """Structures to compute per context, when even labels are done for calpha and others
+    for heavy."""
+    table = atoms(spark, sf)
+    done = star(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("identifier"),
+        F.when(F.col("label") % 2 == 0, "calpha").otherwise("heavy").alias("sd_context"),
+        F.lit(contacts.CONTACT_LIMIT).alias("sd_limit"),
+        F.lit(contacts.MIN_CONFIDENCE).alias("sd_confidence"))
+    left = [
+        distances.new_structures(table, done, context, contacts.CONTACT_LIMIT,
+                                 contacts.MIN_CONFIDENCE, None, None)
+        .select("structure_id", F.lit(context).alias("sd_context")).distinct()
+        for context in contacts.CONTEXT_ATOMS
+    ]
+    return reduce(DataFrame.union, left)
+
+
+PENDING_CONTEXTS_SQL = """
+SELECT DISTINCT CAST(vec_id AS STRING) AS structure_id, sd_context
+FROM embeddings, (VALUES ('calpha'), ('carbon'), ('heavy')) AS c(sd_context)
+WHERE sd_context <> CASE WHEN label % 2 = 0 THEN 'calpha' ELSE 'heavy' END
+"""
+
+
 def structure_files(spark, sf):
     """Writes every structure as a text file, reads the folder back, and parses it."""
     table = atoms(spark, sf)
@@ -253,9 +280,11 @@ QUERIES = {
     "structural_distance": structural_distance(),
     "structural_distance_sites": structural_distance(limit=5.5, sites="2..5;8;10..14"),
     "structural_distance_relaxed": structural_distance(confidence=None),
+    "masked_structure": structural_distance(confidence=99.0),
     "site_filter": site_filter,
     "row_numbers": row_numbers,
     "pending_inputs": pending_inputs,
+    "pending_contexts": pending_contexts,
     "structure_files": structure_files,
 }
 
@@ -267,8 +296,10 @@ ORACLES = {
         limit="5.5",
     ),
     "structural_distance_relaxed": _distance_sql(mask="TRUE"),
+    "masked_structure": _distance_sql(mask="plddt >= 99"),
     "site_filter": SITE_SQL,
     "row_numbers": ROW_NUMBERS_SQL,
     "pending_inputs": PENDING_SQL,
+    "pending_contexts": PENDING_CONTEXTS_SQL,
     "structure_files": STRUCTURE_FILES_SQL,
 }

@@ -21,6 +21,10 @@ CONTACT_LIMIT = 4.5
 MIN_CONFIDENCE = 70.0
 # Chain number and number in the chain share one 64-bit position.
 CHAIN_STRIDE = 1 << 32
+#: Positions or contacts of all references up to which they are broadcast, and the copies of a
+#: larger reference table.
+MAX_BROADCAST_ENTRIES = 500_000
+SALTS = 64
 
 
 def atoms_for(atoms: DataFrame, contexts: Sequence[str] = ("calpha",)) -> DataFrame:
@@ -129,6 +133,18 @@ def contact_pairs(
     )
 
 
+def _meet(queries: DataFrame, references: DataFrame, on: list[str], light: bool,
+          how: str = "inner") -> DataFrame:
+    """Rows of query structures with a table of the references. Positions and contexts are
+    shared by all queries, so a table that is too large to broadcast is copied ``SALTS`` times
+    and each query structure meets one copy."""
+    if light:
+        return queries.join(F.broadcast(references), on, how)
+    salt = F.pmod(F.xxhash64("structure_id"), F.lit(SALTS)).cast("int")
+    copies = references.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return queries.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 def structural_distance(
     queries: DataFrame,
     references: DataFrame,
@@ -150,12 +166,15 @@ def structural_distance(
       per position and per reference contact. References are a handful per context.
     * |R| is all contacts of the reference less those that touch a position the query
       lacks; only the lacking positions are joined.
+
+    The reference side is broadcast if its positions and contacts are at most
+    ``MAX_BROADCAST_ENTRIES``, and salted otherwise.
     """
     by = ["structure_id", "sd_context"]
     label = ["subtype", "protein", "reference_context"]
     numbered = written(
         references.select(*label, "structure_id").distinct().withColumn(
-            "ref", F.row_number().over(Window.orderBy(*label, "structure_id"))
+            "ref", F.monotonically_increasing_id()
         ),
         "reference-names",
     )
@@ -175,6 +194,8 @@ def structural_distance(
     q_pos, r_pos = q_all.filter("kept").drop("kept"), r_all.filter("kept").drop("kept")
     r_contacts = written(contact_pairs(r_pos, by, limit), "reference-contacts")
 
+    light = max(r_all.count(), r_contacts.count()) <= MAX_BROADCAST_ENTRIES
+
     # references by position and by contact, as short lists of numbers
     having = r_pos.groupBy("sd_context", "pos").agg(
         F.array_sort(F.collect_set("structure_id")).alias("refs")
@@ -185,11 +206,10 @@ def structural_distance(
     first = having.select("sd_context", F.col("pos").alias("pos1"), F.col("refs").alias("refs1"))
     second = having.select("sd_context", F.col("pos").alias("pos2"), F.col("refs").alias("refs2"))
     # contacts that meet the same references count together before they are spread
+    met = _meet(contact_pairs(q_pos, by, limit), first, ["sd_context", "pos1"], light)
+    met = _meet(met, second, ["sd_context", "pos2"], light)
     in_query = (
-        contact_pairs(q_pos, by, limit)
-        .join(first, ["sd_context", "pos1"])
-        .join(second, ["sd_context", "pos2"])
-        .join(touching, ["sd_context", "pos1", "pos2"], "left")
+        _meet(met, touching, ["sd_context", "pos1", "pos2"], light, "left")
         .groupBy(*by, F.array_intersect("refs1", "refs2").alias("refs"), "shared")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*by, "shared", "n", F.explode("refs").alias("ref"))
@@ -202,16 +222,15 @@ def structural_distance(
 
     # positions of any reference that a query lacks, and the reference contacts lost
     present = q_all.select(*by).distinct()
-    lacking = present.join(having.select("sd_context", "pos"), "sd_context").join(
-        q_pos.select(*by, "pos"), [*by, "pos"], "left_anti"
-    )
+    asked = _meet(present, having.select("sd_context", "pos"), ["sd_context"], light)
+    lacking = asked.join(q_pos.select(*by, "pos"), [*by, "pos"], "left_anti")
     ends = touching.select(
         "sd_context", "pos1", "pos2", F.explode(F.array("pos1", "pos2")).alias("pos")
     )
+    gone = _meet(lacking, ends, ["sd_context", "pos"], light).select(
+        *by, "pos1", "pos2").distinct()
     lost = (
-        lacking.join(ends, ["sd_context", "pos"])
-        .select(*by, "pos1", "pos2").distinct()
-        .join(touching, ["sd_context", "pos1", "pos2"])
+        _meet(gone, touching, ["sd_context", "pos1", "pos2"], light)
         .select(*by, F.explode("shared").alias("ref"))
         .groupBy(*by, "ref").agg(F.count(F.lit(1)).alias("n_lost"))
     )
@@ -230,7 +249,7 @@ def structural_distance(
         return F.coalesce(F.col(name), F.lit(0))
 
     return (
-        present.join(totals, "sd_context")
+        _meet(present, totals, ["sd_context"], light)
         .join(in_query, [*by, "ref"], "left")
         .join(lost, [*by, "ref"], "left")
         .select(

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from terrane.operators import contacts
 from terrane.operators.contacts import structural_distance
 from terrane.plans.distances import new_structures
 from terrane.plans.refresh import refresh
@@ -25,6 +26,23 @@ def test_a_masked_structure_keeps_its_row(spark):
     assert {r["identifier"]: r["sd"] for r in rows} == {"seen": 0, "masked": 0}
 
 
+def test_salted_references_give_the_same_distances(spark, monkeypatch):
+    rows = [a for i in range(12) for a in chain(f"q{i}", 90.0, 1.5 + i / 4, 3 + i % 4)]
+    queries = spark.createDataFrame(rows + chain("masked", 10.0), ATOMS)
+    known = spark.createDataFrame(chain("r", 90.0) + chain("s", 90.0, 2.0, 6), ATOMS).select(
+        "*", F.lit("S").alias("subtype"), F.col("structure_id").alias("protein"),
+        F.lit("reference").alias("reference_context"))
+
+    def distances():
+        found = structural_distance(queries, known, ("calpha",), 4.5, 70.0)
+        return sorted((r["identifier"], r["protein"], r["sd"]) for r in found.collect())
+
+    want = distances()
+    monkeypatch.setattr(contacts, "MAX_BROADCAST_ENTRIES", 0)
+    monkeypatch.setattr(contacts, "SALTS", 3)
+    assert distances() == want and len(want) == 26 and len({r[2] for r in want}) > 2
+
+
 def test_done_counts_for_its_own_settings_only(spark):
     atoms = spark.createDataFrame(chain("a", 90.0) + chain("b", 90.0), ATOMS)
     done = spark.createDataFrame(
