@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import (
-    bpe, licenses, lm, mixing, neighbours, quality, sharding, simhash, topk, toxicity,
+    bpe, licenses, mixing, neighbours, quality, sharding, simhash, topk, toxicity, word_lm,
 )
 from terrane.llm.common import table
 
@@ -38,7 +38,7 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score(docs, lm.fit(docs))
+    return word_lm.score(docs, word_lm.fit(docs))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
