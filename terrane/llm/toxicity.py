@@ -13,12 +13,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh32_intdigest
 
 from terrane.llm.common import arrow_filter, arrow_map, label_sample, texts_of
 from terrane.session import written
@@ -31,17 +31,89 @@ MAX_WORDS, MIN_EVIDENCE = 4096, 24.0
 GRADES = 3
 PENALTY, STEPS = 0.005, 1000
 TOKEN = re.compile(r"\w+")
-
-
-def least_pairs(words: list[str]) -> tuple[int, int]:
-    """Two min-hashes over neighbouring words: near copies mostly share one."""
-    pairs = [" ".join(p).encode() for p in zip(words, words[1:], strict=False)] or [
-        " ".join(words).encode()]
-    return min(map(crc32, pairs)), min(map(other_hash, pairs))
-
-
-def other_hash(pair: bytes) -> int:
-    return crc32(pair, 0x9E3779B9)
+#: Similarity of word pairs from which rows are copies, min-hashes taken to find them, and how
+#: many must agree; copies with fewer are one in 40 million.
+SIMILAR, MARKS, AGREE = 0.8, 16, 4
+
+
+def pair_hashes(words: list[str]) -> np.ndarray:
+    """Distinct 32-bit hashes of neighbouring words; of a single word, or none, that itself."""
+    pairs = [" ".join(p) for p in zip(words, words[1:], strict=False)] or [" ".join(words)]
+    return np.unique(np.fromiter(map(xxh32_intdigest, pairs), np.uint32, len(pairs))).view(np.int32)
+
+
+def least_hashes(pairs: np.ndarray) -> np.ndarray:
+    """``MARKS`` min-hashes of a set of pairs."""
+    rng = np.random.default_rng(MARKS)
+    mixed = pairs.view(np.uint32).astype(np.uint64)
+    out = np.empty(MARKS, np.int64)
+    for i, odd in enumerate(rng.integers(0, 1 << 63, MARKS, np.uint64) * np.uint64(2) + np.uint64(1)):
+        value = mixed * odd
+        out[i] = ((value ^ (value >> np.uint64(29))) * odd).min().view(np.int64)
+    return out
+
+
+def _suspects(marks: np.ndarray, left: np.ndarray) -> set[tuple[int, int]]:
+    """(row, earlier row) of the rows ``left``, in order: at each min-hash a row is held against
+    the first one that has it, if ``AGREE`` min-hashes are the same."""
+    found = set()
+    for i in range(MARKS):
+        _, first, group = np.unique(marks[left, i], return_index=True, return_inverse=True)
+        leader = left[first[group]]
+        same = (marks[left] == marks[leader]).sum(1) >= AGREE
+        pick = np.flatnonzero(same & (leader != left))
+        found.update(zip(left[pick].tolist(), leader[pick].tolist(), strict=True))
+    return found
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` (row, doc_id, toxic, pairs, marks, ...) without those whose pairs have a Jaccard
+    similarity of at least ``SIMILAR`` with a row that stays and has the same label.
+
+    Of the rows, whose number is bounded, only the min-hashes come to the driver; similarity
+    is taken from the whole sets of pairs. A copy stays if at each min-hash that it shares
+    with its like another row is the first.
+    """
+    spark = rows.sparkSession
+    got = rows.select("row", "doc_id", "toxic", "marks").toPandas()
+    if got.empty:
+        return rows
+    marks = np.array(got["marks"].tolist(), np.int64)
+    order = np.lexsort([*marks.T, got["doc_id"].to_numpy()])
+    marks, number = marks[order], got["row"].to_numpy()[order]
+    toxic = got["toxic"].to_numpy(bool)[order]
+    left, known, dropped = np.arange(len(number)), {}, []
+    while True:
+        pairs = set().union(*(_suspects(marks, left[toxic[left] == x]) for x in (False, True)))
+        new = sorted(pairs - known.keys())
+        if new:
+            asked = spark.createDataFrame(
+                [(a, b, int(number[a]), int(number[b])) for a, b in new],
+                "a int, b int, row long, other long")
+            # the asked pairs are no more than rows and min-hashes; only their sets are moved
+            one = rows.select("row", F.col("pairs").alias("p")).join(F.broadcast(asked), "row")
+            other = rows.select(F.col("row").alias("other"), F.col("pairs").alias("q")).join(
+                F.broadcast(asked.select("other").distinct()), "other")
+            both = F.size(F.array_intersect("p", "q"))
+            near = both >= SIMILAR * (F.size("p") + F.size("q") - both)
+            known |= {(r["a"], r["b"]): r["near"] for r in one.join(
+                other, "other").select("a", "b", near.alias("near")).collect()}
+        near = {}
+        for a, b in pairs:
+            if known[a, b]:
+                near.setdefault(a, []).append(b)
+        gone = set()
+        for a in sorted(near):  # a row that goes itself takes no other with it
+            if any(b not in gone for b in near[a]):
+                gone.add(a)
+        if not gone:
+            break
+        dropped += gone
+        left = np.array([i for i in left if i not in gone], np.int64)
+    if not dropped:
+        return rows
+    away = spark.createDataFrame([(int(number[i]),) for i in dropped], "row long")
+    return rows.join(F.broadcast(away), "row", "left_anti")
 
 
 @dataclass(frozen=True)
@@ -116,28 +188,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The model of ``labels`` (doc_id, toxic) on the texts of ``docs`` (doc_id, text).
 
     Reads whole texts of at most ``max_rows`` labelled documents, of which near copies with the
-    same label count once. Null labels, labels of
+    same label, by verified similarity, count once. Null labels, labels of
     unknown ids and null ids are passed over; without any toxic label nothing is toxic.
     """
     sample = label_sample(labels, "toxic", max_rows)
 
     def counted(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         texts = [TOKEN.findall(x.lower()) for x in texts_of(batch)]
-        found, marks = [Counter(x) for x in texts], [least_pairs(x) for x in texts]
+        found, pairs = [Counter(x) for x in texts], [pair_hashes(x) for x in texts]
         return {"words": pa.array([list(c) for c in found], pa.list_(pa.string())),
                 "counts": pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
-                "near1": pa.array([m[0] for m in marks], pa.int64()),
-                "near2": pa.array([m[1] for m in marks], pa.int64())}
+                "pairs": pa.array(pairs, pa.list_(pa.int32())),
+                "marks": pa.array(map(least_hashes, pairs), pa.list_(pa.int64()))}
 
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = arrow_map(known, counted,
-                     "words array<string>, counts array<int>, near1 long, near2 long").select(
-        "doc_id", (F.col("y") >= 0.5).alias("toxic"), "words", "counts", "near1", "near2")
+    rows = arrow_map(
+        known, counted,
+        "words array<string>, counts array<int>, pairs array<int>, marks array<long>").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", (F.col("y") >= 0.5).alias("toxic"),
+        "words", "counts", "pairs", "marks")
     # copies would make any of their words look like a sign of their label
-    for near in ("near1", "near2"):
-        first = F.min_by(F.struct("*"), "doc_id").alias("row")
-        rows = rows.groupBy(near, "toxic").agg(first).select("row.*")
-    rows = written(rows, "toxic-words")
+    rows = without_copies(written(rows, "toxic-words"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("toxic").alias("toxic")).first()
     n, n_toxic = size["n"], size["toxic"]
     if not n_toxic:
