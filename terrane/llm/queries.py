@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import (
-    bpe, licenses, mixing, neighbours, quality, sharding, simhash, topk, toxicity, word_lm,
+    bpe, chunks, lexical, licenses, mixing, negatives, neighbours, quality, sharding, simhash,
+    topk, toxicity, word_lm,
 )
 from terrane.llm.common import table
 
@@ -72,14 +73,33 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return lexical.search(docs, items, k=10)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", moved.alias("label"))
+    return negatives.mine(vectors, every=100)
+
+
+def op13_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_toxicity": op2_toxicity, "op3_neighbours": op3_neighbours,
     "op4_lm": op4_lm, "op5_quality": op5_quality, "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash, "op8_licenses": op8_licenses, "op9_topk": op9_topk,
-    "op10_sharding": op10_sharding,
+    "op10_sharding": op10_sharding, "op11_lexical": op11_lexical,
+    "op12_negatives": op12_negatives, "op13_chunks": op13_chunks,
 }
 
 ORACLES = {
     "op6_mixing": mixing.ORACLE_SQL, "op8_licenses": licenses.ORACLE_SQL,
-    "op9_topk": topk.ORACLE_SQL,
+    "op9_topk": topk.ORACLE_SQL, "op11_lexical": lexical.ORACLE_SQL,
+    "op12_negatives": negatives.ORACLE_SQL,
 }

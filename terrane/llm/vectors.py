@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +19,13 @@ BETTER = ("(a, b) -> case when a.score > b.score then -1 when a.score < b.score
           "when a.id < b.id then -1 when a.id > b.id then 1 else 0 end")
 
 
-def usable(vectors: DataFrame, zero: bool) -> DataFrame:
+def usable(vectors: DataFrame, zero: bool, also: Sequence[str] = ()) -> DataFrame:
     """(id, v, dim) of rows with an id whose vector has no null or non-finite component, and,
-    unless ``zero``, a component other than 0."""
+    unless ``zero``, a component other than 0; columns ``also`` stay."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("id"),
-        F.col("embedding").cast("array<double>").alias("v"),
+        F.col("embedding").cast("array<double>").alias("v"), *also,
     ).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(~bad)
     if not zero:
         rows = rows.where(F.exists("v", lambda x: x != 0))
