@@ -14,15 +14,12 @@ from terrane.bindings.star import ctes, derive, star, warehouse
 from terrane.bindings.titers import ELIGIBLE, ISOLATE_VALUES, TITER_TABLES
 from terrane.functions.numbers import log_titer, unlog_titer
 from terrane.functions.predicates import quoted
-from terrane.operators import imputing, merging, titers, versions
-
-PROTOCOLS = ["hi_protocol", "fra_protocol", "hint_protocol"]
-LOTS = ["L0", "L1", "L2", "L3", "L4", "L5-HUMAN"]
-TITER_LABELS = [f"H3|{p}|lot|{lot}|logfold" for p, lot in product(PROTOCOLS, LOTS)]
-DISTANCE_LABELS = [
-    f"H3_{r}_{c}_sd" for r, c in product(["reference", "seasonal"], versions.ATOMIC_CONTEXTS)
-]
+from terrane.operators import features, imputing, merging, titers, versions
+from terrane.session import written
 
+WIDE = {"H3": "", "H1 swl": "_h1", "B vic": "_b"}
+BASE = ["subtype", "protein", "clade", "variant_hash", "hd", "pcd", "substitution_list", "aa_seq",
+        *merging.ENERGIES, *merging.RELATIVE]
 
 def energy_references(genetic: DataFrame) -> DataFrame:
     """The first and the last variant of a subtype as its two energy references."""
@@ -36,67 +33,85 @@ def energy_references(genetic: DataFrame) -> DataFrame:
     )
 
 
-def wide_features(individual: bool):
+def long_of(spark, sf, individual: bool) -> DataFrame:
+    w = warehouse(spark, sf)
+    return written(features.long_features(
+        versions.distance_extract(w.relaxed_structural_distance),
+        titers.individual_summary(w) if individual else titers.titer_summary(w), individual,
+    ), "long-features")
+
+
+def long_features(individual: bool):
+    def run(spark, sf):
+        return long_of(spark, sf, individual).withColumn("value", F.round("value", 6))
+    return run
+
+
+def wide_features(subtype: str, individual: bool):
+    """The whole wide table of one subtype: its labels are read from the long table."""
     def run(spark, sf):
         w = warehouse(spark, sf)
         genetic = derive(spark, sf, "genetic_summary")
-        merged = merging.merge_features(
-            genetic,
-            versions.distance_extract(w.relaxed_structural_distance),
+        table = features.subtype_table(
+            long_of(spark, sf, individual), genetic,
             versions.energy_summary(w.relaxed_rosetta_energy_rmsd, w.relaxed_structural_distance),
-            energy_references(genetic),
-            titers.individual_summary(w) if individual else titers.titer_summary(w),
-            individual, DISTANCE_LABELS, TITER_LABELS,
-        )
-        table = merging.subset_for(merged, "H3")
+            energy_references(genetic), subtype, individual)
         numbers = [c for c, kind in table.dtypes if kind == "double"]
         return table.withColumns({c: F.round(quoted(c), 6) for c in numbers})
     return run
 
 
-def _wide_sql(individual: bool) -> str:
-    index = "identifier, ag_cdc_id, ag_isolate_id" if individual else "identifier"
-    keep = "ag_cdc_id, ag_isolate_id, " if individual else ""
-    values = """
-titer_rows AS (
-  SELECT CONCAT_WS('|', CASE subtype WHEN 'H1 swl' THEN 'H1' WHEN 'B vic' THEN 'B' ELSE subtype END,
-                   test_protocol, 'lot', lot, 'logfold') AS label,
-         ag_variant_hash AS identifier, ag_cdc_id, ag_isolate_id, value
-  FROM lot_values WHERE ag_variant_hash IN (
-    SELECT variant_hash FROM relaxed_structural_distance WHERE subtype IN ('B', 'H1', 'H3'))),
-titer_means AS ("""
-    if individual:
-        values += "SELECT label, identifier, ag_cdc_id, ag_isolate_id, value FROM titer_rows),"
-    else:
-        # one row per antiserum variant, lot, and variant; the label leaves the variant out
-        values = values.replace("ag_variant_hash AS identifier,",
-                                "ag_variant_hash AS identifier, sr_variant_hash,")
-        values += ("SELECT label, identifier, sr_variant_hash, AVG(value) AS value "
-                   "FROM titer_rows GROUP BY ALL),")
-    cells = ", ".join(
-        f"AVG(value) FILTER (WHERE label = '{name}') AS \"{name}\"" for name in TITER_LABELS
-    )
-    distances = ", ".join(
-        f"AVG(sd) FILTER (WHERE label = '{name}') AS \"{name}\"" for name in DISTANCE_LABELS
-    )
+def _long_ctes(individual: bool) -> str:
+    """``long``: (kind, identifier, [specimen keys], feature, lot, value) of all sources."""
+    keys = "ag_cdc_id, ag_isolate_id, " if individual else ""
+    none = "CAST(NULL AS VARCHAR) AS ag_cdc_id, CAST(NULL AS VARCHAR) AS ag_isolate_id, " \
+        if individual else ""
+    parts = " UNION ALL ".join(
+        f"SELECT CASE subtype WHEN 'H1 swl' THEN 'H1' WHEN 'B vic' THEN 'B' ELSE subtype END "
+        f"|| '|' || test_protocol || '|{label}|' || lot || '|logfold' AS feature, lot, "
+        f"ag_variant_hash AS identifier, {keys}sr_variant_hash, value FROM {values} "
+        "WHERE ag_variant_hash IN (SELECT variant_hash FROM relaxed_structural_distance "
+        "WHERE subtype IN ('B', 'H1', 'H3'))"
+        for label, values in (("lot", "lot_values"), ("ha_protein", "protein_values")))
+    # without specimens a summary row is a mean per antiserum variant first
+    rows = "titer_rows" if individual else (
+        "(SELECT feature, lot, identifier, sr_variant_hash, AVG(value) AS value "
+        "FROM titer_rows GROUP BY ALL)")
+    return f"""{ctes(*TITER_TABLES, "relaxed_rosetta_energy_rmsd", "genetic_summary")},
+{ELIGIBLE},{ISOLATE_VALUES},
+titer_rows AS ({parts}),
+long AS (
+  SELECT 'titer' AS kind, identifier, {keys}feature, lot, AVG(value) AS value
+  FROM {rows} GROUP BY ALL
+  UNION ALL
+  SELECT 'structure', variant_hash, {none}
+         CONCAT(subtype, '_', reference_context, '_', atomic_context, '_sd'),
+         CAST(NULL AS VARCHAR), AVG(sd)
+  FROM relaxed_structural_distance
+  WHERE subtype IN ('B', 'H1', 'H3') AND variant_hash IS NOT NULL GROUP BY ALL)"""
+
+
+def _long_sql(individual: bool) -> str:
+    return (f"WITH {_long_ctes(individual)} "
+            "SELECT * REPLACE (ROUND(value, 6) AS value) FROM long")
+
+
+def _wide_sql(subtype: str, individual: bool) -> str:
+    mark = merging.COLUMN_MARKS[subtype]
     energies = ", ".join(
         f"ROUND(e.{term}, 6) AS {merging.ENERGY_NAMES.get(term, term)}"
         for term in versions.ENERGY_TERMS
     )
-    numbers = ", ".join(
-        f'ROUND("{name}", 6) AS "{name}"' for name in [*DISTANCE_LABELS, *TITER_LABELS]
-    )
+    keys = ", ag_cdc_id, ag_isolate_id" if individual else ""
+    specimens = """
+specimens AS (SELECT DISTINCT identifier, ag_cdc_id, ag_isolate_id FROM long
+              WHERE kind = 'titer'),
+rows AS (SELECT b.*, ag_cdc_id, ag_isolate_id FROM base b LEFT JOIN specimens s
+         ON s.identifier = b.variant_hash),""" if individual else "rows AS (FROM base),"
+    same = ("AND (kind = 'structure' OR (o.ag_cdc_id = r.ag_cdc_id "
+            "AND o.ag_isolate_id = r.ag_isolate_id))" if individual else "")
     return f"""
-WITH {ctes(*TITER_TABLES, "relaxed_rosetta_energy_rmsd", "genetic_summary")},
-{ELIGIBLE},{ISOLATE_VALUES},{values}
-titer_wide AS (SELECT {index}, {cells} FROM titer_means GROUP BY {index}),
-distance_wide AS (
-  SELECT identifier, {distances} FROM (
-    SELECT variant_hash AS identifier, sd,
-           CONCAT(subtype, '_', reference_context, '_', atomic_context, '_sd') AS label
-    FROM relaxed_structural_distance
-    WHERE subtype IN ('B', 'H1', 'H3') AND variant_hash IS NOT NULL)
-  GROUP BY identifier),
+WITH {_long_ctes(individual)},
 energy AS (
   SELECT DISTINCT r.* FROM relaxed_rosetta_energy_rmsd r
   JOIN (SELECT variant_hash, MAX(version) AS version FROM relaxed_rosetta_energy_rmsd
@@ -109,17 +124,22 @@ ends AS (
 scores AS (
   SELECT n.subtype, a.total_score AS old_score, b.total_score AS new_score
   FROM ends n LEFT JOIN energy a ON a.variant_hash = n.first_id
-  LEFT JOIN energy b ON b.variant_hash = n.last_id)
-SELECT g.subtype, g.protein, g.clade, g.identifier AS variant_hash, g.hd, ROUND(g.pcd, 6) AS pcd,
-       g.substitution_list, g.aa_seq, {keep}{energies},
-       ROUND(s.old_score - e.total_score, 6) AS rrel_total_score,
-       ROUND(s.new_score - e.total_score, 6) AS srel_total_score, {numbers}
-FROM genetic_summary g
-LEFT JOIN distance_wide d ON d.identifier = g.identifier
-LEFT JOIN energy e ON e.variant_hash = g.identifier
-LEFT JOIN scores s ON s.subtype = g.subtype
-LEFT JOIN titer_wide t ON t.identifier = g.identifier
-WHERE g.subtype = 'H3'
+  LEFT JOIN energy b ON b.variant_hash = n.last_id),
+base AS (
+  SELECT g.subtype, g.protein, g.clade, g.identifier AS variant_hash, g.hd,
+         ROUND(g.pcd, 6) AS pcd, g.substitution_list, g.aa_seq, {energies},
+         ROUND(s.old_score - e.total_score, 6) AS rrel_total_score,
+         ROUND(s.new_score - e.total_score, 6) AS srel_total_score
+  FROM genetic_summary g
+  LEFT JOIN energy e ON e.variant_hash = g.identifier
+  LEFT JOIN scores s ON s.subtype = g.subtype
+  WHERE g.subtype = '{subtype}'),{specimens}
+own AS (SELECT * FROM long WHERE regexp_matches(feature, '{mark}(_|\\|)')),
+cells AS (
+  SELECT r.*, o.feature, o.value FROM rows r
+  FULL JOIN own o ON o.identifier = r.variant_hash {same})
+SELECT * FROM (PIVOT cells ON feature USING ROUND(AVG(value), 6)
+  GROUP BY {", ".join(BASE)}{keys}) WHERE subtype IS NOT NULL
 """
 
 
@@ -287,8 +307,11 @@ QUERIES = {
     "pivot_mean": pivot_mean,
     "outer_merge": outer_merge,
     "relative_scores": relative_scores,
-    "wide_features": wide_features(False),
-    "wide_features_individual": wide_features(True),
+    "long_features": long_features(False),
+    "long_features_individual": long_features(True),
+    **{f"wide_features{name}": wide_features(subtype, False) for subtype, name in WIDE.items()},
+    **{f"wide_features_individual{name}": wide_features(subtype, True)
+       for subtype, name in WIDE.items()},
     "impute_group": impute_group,
     "impute_column": impute_column,
     "impute_table": impute_table,
@@ -299,8 +322,11 @@ ORACLES = {
     "pivot_mean": PIVOT_SQL,
     "outer_merge": OUTER_SQL,
     "relative_scores": RELATIVE_SQL,
-    "wide_features": _wide_sql(False),
-    "wide_features_individual": _wide_sql(True),
+    "long_features": _long_sql(False),
+    "long_features_individual": _long_sql(True),
+    **{f"wide_features{name}": _wide_sql(subtype, False) for subtype, name in WIDE.items()},
+    **{f"wide_features_individual{name}": _wide_sql(subtype, True)
+       for subtype, name in WIDE.items()},
     "impute_group": GROUP_FILL_SQL,
     "impute_column": COLUMN_FILL_SQL,
     "impute_table": IMPUTE_TABLE_SQL,

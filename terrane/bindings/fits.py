@@ -1,4 +1,4 @@
-"""Queries of the tree families, the model comparison, and the smoothing.
+"""Queries of the tree families, the preparation, and the smoothing.
 
 Tree fits have no SQL counterpart and are checked in the tests; the smoothing has one.
 """
@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.bindings.model_table import KEY, TITERS, model_sql, model_table
-from terrane.bindings.models import HASH, TRIPLES as TREE_TRIPLES, X, Y, Z, rounded
+from terrane.bindings.model_table import KEY, model_sql, model_table
+from terrane.bindings.models import TRIPLES as TREE_TRIPLES, X, Y, rounded
 from terrane.bindings.star import star
-from terrane.operators import comparison, preparing, smoothing, trees
+from terrane.operators import preparing, smoothing, trees
 from terrane.session import written
 
 
@@ -25,11 +25,6 @@ def landscape(*families):
     return run
 
 
-def compare_models(spark, sf):
-    xs = [X, "pcd", Y]
-    return comparison.compare_models(model_table(spark, sf), xs, Z, [KEY])
-
-
 PREPARED = [X, Y, "H3_seasonal_heavy_sd", "total_score", "pcd"]
 
 
@@ -50,54 +45,6 @@ def _prepared_sql() -> str:
             f"SELECT {KEY}, {scaled} FROM model, limits WHERE {near}")
 
 
-LINEAR_SETS = [((X, Y), Z), ((X, Y), TITERS[1])]
-
-
-def survey_linear(spark, sf):
-    """The comparison of two factor sets with least squares only, which SQL can follow."""
-    table = model_table(spark, sf)
-    return rounded(comparison.survey_models(table, LINEAR_SETS, [KEY], ("lr",)))
-
-
-def _survey_sql() -> str:
-    parts = "\nUNION ALL\n".join(
-        f"""SELECT '{z}' AS z_name, '{'+'.join(xs)}' AS x_names, {KEY}, "{xs[0]}" AS a,
-        "{xs[1]}" AS b, "{z}" AS z FROM model
-        WHERE "{xs[0]}" IS NOT NULL AND "{xs[1]}" IS NOT NULL AND "{z}" IS NOT NULL"""
-        for xs, z in LINEAR_SETS
-    )
-    measures = {
-        "mae": "AVG(ABS(z - p))", "mse": "AVG((z - p) ** 2)", "rmse": "SQRT(AVG((z - p) ** 2))",
-        "r2": "1 - SUM((z - p) ** 2) / (VAR_POP(z) * COUNT(*))",
-        "rmsle": "SQRT(AVG((LN(1 + ABS(p)) - LN(1 + ABS(z))) ** 2))",
-        "mape": "AVG(CASE WHEN z <> 0 THEN ABS((z - p) / z) END)",
-    }
-    sides = ", ".join(f"{text} AS {name}" for name, text in measures.items())
-    wide = ", ".join(
-        f"ROUND(MAX({name}) FILTER (WHERE {side}), 6) AS {name}{suffix}"
-        for suffix, side in (("", "NOT train"), ("_train", "train")) for name in measures
-    )
-    split = HASH.format(parts="12345678, 'split', variant_hash")
-    return f"""
-WITH {model_sql()},
-rows AS (SELECT *, {split} % 100 < 75 AS train FROM ({parts})),
-sums AS (
-  SELECT z_name, AVG(a) AS ma, AVG(b) AS mb, AVG(z) AS mz, VAR_POP(a) AS aa, VAR_POP(b) AS bb,
-         COVAR_POP(a, b) AS ab, COVAR_POP(a, z) AS az, COVAR_POP(b, z) AS bz
-  FROM rows WHERE train GROUP BY z_name),
-slopes AS (
-  SELECT *, (bb * az - ab * bz) / (aa * bb - ab * ab) AS s1,
-         (aa * bz - ab * az) / (aa * bb - ab * ab) AS s2 FROM sums),
-guesses AS (
-  SELECT r.z_name, r.x_names, r.train, r.z, mz + s1 * (a - ma) + s2 * (b - mb) AS p
-  FROM rows r JOIN slopes USING (z_name)),
-scored AS (SELECT z_name, x_names, train, COUNT(*) AS k, {sides} FROM guesses GROUP BY ALL)
-SELECT z_name AS z, x_names AS x, CAST(SUM(k) AS BIGINT) AS n, 'lr' AS model_abbreviation,
-       'Linear Regression' AS model, {wide}
-FROM scored GROUP BY z_name, x_names
-"""
-
-
 def local_regression(spark, sf):
     """Price along the quantity axis, by return flag, at every half step of the path."""
     lines = star(spark, sf, "lineitem").select(
@@ -126,14 +73,11 @@ QUERIES = {
     "forest_landscape": landscape(trees.EXTRA_TREES),
     "adaboost_landscape": landscape(trees.ADABOOST),
     "tree_landscape": landscape(*trees.FAMILIES),
-    "compare_models": compare_models,
-    "survey_linear": survey_linear,
     "prepared_rows": prepared_rows,
     "local_regression": local_regression,
 }
 
 ORACLES = {
-    "survey_linear": _survey_sql(),
     "prepared_rows": _prepared_sql(),
     "local_regression": LOCAL_SQL,
 }

@@ -102,7 +102,9 @@ SETS_SQL = f"WITH {model_sql()} " + "\nUNION ALL\n".join(
 )
 
 HASH = "('0x' || SUBSTR(MD5(CONCAT_WS('|', {parts})), 1, 8))::BIGINT"
-FOLD = f"CAST({HASH.format(parts='12345678, repeat, variant_hash')} % {K} AS INT)"
+# rows of a bucket share their folds
+BUCKET = f"{HASH.format(parts='12345678, variant_hash')} % {folds.BUCKETS}"
+FOLD = f"CAST({HASH.format(parts='12345678, repeat, bucket')} % {K} AS INT)"
 
 
 def kfold_ids(spark, sf):
@@ -194,19 +196,21 @@ FROM model, line WHERE "{Y}" IS NOT NULL AND "{Z}" IS NOT NULL
 """
 
 
-def guarded_rows(spark, sf, repeats=0):
-    """Long rows of the triples that pass the guard, and those triples."""
-    table = model_table(spark, sf)
-    passed = factors.enough_triples(factors.row_guard(table, TRIPLES, METADATA))
-    if not repeats:
-        return factors.triple_rows(table, passed), passed
-    hashed = written(folds.with_folds(spread(table, [KEY]), [KEY], K, repeats), "hashed-rows")
-    return factors.triple_rows(hashed, passed, ["folds"]), passed
+def guarded(spark, sf):
+    """The model table and the triples that pass the guard."""
+    table = written(model_table(spark, sf), "model-table")
+    return table, factors.enough_triples(factors.row_guard(table, TRIPLES, METADATA))
+
+
+def guarded_rows(spark, sf):
+    table, passed = guarded(spark, sf)
+    return factors.triple_rows(table, passed), passed
 
 
 def scores(spark, sf, repeats):
-    rows, passed = guarded_rows(spark, sf, repeats)
-    return planes.fold_scores(rows, PENALTIES), passed
+    table, passed = guarded(spark, sf)
+    hashed = written(folds.with_bucket(spread(table, [KEY]), [KEY]), "hashed-rows")
+    return planes.fold_scores(hashed, passed, PENALTIES, K, repeats), passed
 
 
 def plane_folds(spark, sf):
@@ -220,7 +224,7 @@ def scores_sql(name: str, repeats: int, only: str = "") -> str:
     return f"""
 {name}_rows AS MATERIALIZED (
   SELECT *, {FOLD} AS fold FROM (
-    SELECT l.*, CAST(UNNEST(range(1, {repeats + 1})) AS INT) AS repeat
+    SELECT l.*, {BUCKET} AS bucket, CAST(UNNEST(range(1, {repeats + 1})) AS INT) AS repeat
     FROM long l JOIN (SELECT {NAMES} FROM guard WHERE enough) USING ({NAMES}))),
 {name}_moments AS (
   SELECT {NAMES}, repeat, held, COUNT(*) AS n, AVG(x) AS ax, AVG(y) AS ay, AVG(z) AS az,

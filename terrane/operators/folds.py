@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ SEARCH_REPEATS = 20
 FINAL_REPEATS = 200
 SEED = 12345678
 TRAIN_SHARE = 75
+# Hash buckets of rows that share their folds in every repeat.
+BUCKETS = 4096
 # Width of the hash ranges that balanced folds are numbered in: 2 ** 18 ranges.
 HASH_RANGE = 1 << 14
 
@@ -26,6 +30,23 @@ def fold_of(key: Sequence[str], repeat: Column, k: int = FOLDS, seed: int = SEED
     return hash_bucket(k, F.lit(seed), repeat, *[F.col(c) for c in key])
 
 
+def with_bucket(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Rows with the hash bucket whose folds they share: one number per row, whatever the
+    number of repeats."""
+    return df.withColumn("bucket", hash_bucket(BUCKETS, F.lit(seed), *[F.col(c) for c in key]))
+
+
+def fold_table(k: int = FOLDS, repeats: int = SEARCH_REPEATS, seed: int = SEED) -> np.ndarray:
+    """The fold of every (bucket, repeat): ``fold_of`` of the bucket, as a small table."""
+    def fold(bucket: int, repeat: int) -> int:
+        digest = hashlib.md5(f"{seed}|{repeat}|{bucket}".encode()).hexdigest()
+        return int(digest[:8], 16) % k
+
+    return np.array(
+        [[fold(b, r) for r in range(1, repeats + 1)] for b in range(BUCKETS)], np.int16
+    ).reshape(BUCKETS, repeats)
+
+
 def with_folds(
     df: DataFrame, key: Sequence[str], k: int = FOLDS, repeats: int = SEARCH_REPEATS,
     seed: int = SEED,

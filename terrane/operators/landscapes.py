@@ -14,8 +14,9 @@ from terrane.operators.factors import (
     triple_rows,
 )
 from terrane.operators.folds import (
-    FINAL_REPEATS, FOLDS, SEARCH_REPEATS, spread_folds, with_folds,
+    FINAL_REPEATS, FOLDS, SEARCH_REPEATS, fold_table, with_bucket,
 )
+from terrane.operators.gram import set_table
 from terrane.operators.meshes import axis_ranges, axis_spans, mesh
 from terrane.operators.metrics import cv_summary
 from terrane.operators.planes import (
@@ -96,24 +97,26 @@ def plane_landscape(
     guard, passed = guarded(df, triples, metadata)
     axes = sorted({name for triple in passed for name in triple})
     narrow = spread(df.select(*[quoted(c) for c in [*key, *axes]]), key)
-    hashed = written(with_folds(narrow, key, k, max(search_repeats, final_repeats)), "hashed-rows")
-    rows = triple_rows(hashed, passed, ["folds"])
-    spans = written(axis_spans(rows.drop("folds")), "spans")
-    # the repeats of the search are the first of the final check: one pass of sums
-    sums = written(plane_sums(spread_folds(rows), spans, ["repeat", "fold"]), "fold-sums")
-    fits = fold_fits(sums, penalties)
-
-    search = fold_errors(rows, fits.filter(F.col("repeat") <= search_repeats))
-    means = mean_scores(search, ["triple", "penalty"]).withColumn(
+    hashed = written(with_bucket(narrow, key).drop(*key), "hashed-rows")
+    rows = triple_rows(hashed, passed, ["bucket"])
+    spans = written(axis_spans(rows.drop("bucket")), "spans")
+    sums = written(plane_sums(rows, spans, ["bucket"]), "bucket-sums")
+    # the repeats of the search are the first of the final check
+    folds = fold_table(k, max(search_repeats, final_repeats))
+    table, places = set_table(
+        hashed, [((x, y), z) for x, y, z in passed], F.lit(True), F.col("bucket"))
+
+    def scored(repeats: int, of, train: bool) -> DataFrame:
+        own = folds[:, :repeats]
+        fits = written(fold_fits(sums, own, k, of), "fold-fits")
+        return fold_errors(table, places, fits, own, k, train)
+
+    means = mean_scores(
+        scored(search_repeats, penalties, True), ["triple", "penalty"]).withColumn(
         "model", F.when(F.col("penalty") == 0, F.lit("linear")).otherwise(F.lit("ridge"))
     )
     chosen = written(choose_model(means, ["triple"], ["penalty"]), "chosen-models")
-    final = fold_errors(
-        rows,
-        fits.filter(F.col("repeat") <= final_repeats)
-        .join(chosen.select("triple", "penalty"), ["triple", "penalty"], "left_semi"),
-        train=False,
-    )
+    final = scored(final_repeats, chosen.select("triple", "penalty"), False)
     checked = cv_summary(
         final.select("triple", (-F.col("mae_test")).alias("mae"), F.col("r2_test").alias("r2")),
         ["triple"], ["mae", "r2"],

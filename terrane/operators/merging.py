@@ -26,6 +26,8 @@ ENERGY_NAMES = {
 }
 COLUMN_MARKS = {"B vic": "B", "H1 swl": "H1", "H3": "H3"}
 SPECIMEN = ["ag_cdc_id", "ag_isolate_id"]
+#: Most columns that a pivot makes.
+MAX_LABELS = 20_000
 ENERGIES = [ENERGY_NAMES.get(term, term) for term in ENERGY_TERMS]
 RELATIVE = ["rrel_total_score", "srel_total_score"]
 
@@ -37,11 +39,15 @@ def pivot_mean(
     """One row per index, one column per label, with the mean of the value.
 
     Rows with a missing index, label, or value take no part. Without ``labels`` the
-    distinct labels are read first; they become the schema, so they are few.
+    distinct labels are read first; they become the schema, so more than ``MAX_LABELS`` of
+    them raise a ValueError.
     """
     kept = df.dropna(subset=[*index, label, value])
     if labels is None:
-        labels = sorted(r[0] for r in kept.select(label).distinct().collect())
+        found = kept.select(label).distinct().limit(MAX_LABELS + 1).collect()
+        if len(found) > MAX_LABELS:
+            raise ValueError(f"more than {MAX_LABELS} labels in {label}")
+        labels = sorted(r[0] for r in found)
     return kept.groupBy(*index).pivot(label, list(labels)).agg(F.avg(value))
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.operators.factors import Triple, factor_triples
+from terrane.operators.features import long_features, subtype_table
 from terrane.operators.imputing import impute_table
 from terrane.operators.landscapes import Landscape, plane_landscape
-from terrane.operators.merging import COLUMN_MARKS, merge_features, subset_for
+from terrane.operators.merging import COLUMN_MARKS
 from terrane.operators.trees import FAMILIES, Family, tree_landscape
+from terrane.session import written
 
 
 def consolidated(
@@ -19,9 +21,13 @@ def consolidated(
     antigenic: DataFrame, individual: bool = False,
     subtypes: Sequence[str] = tuple(COLUMN_MARKS),
 ) -> dict[str, DataFrame]:
-    """The wide table of every subtype, before imputation."""
-    merged = merge_features(genetic, distances, energies, references, antigenic, individual)
-    return {subtype: subset_for(merged, subtype) for subtype in subtypes}
+    """The wide table of every subtype, before imputation. The long twin is written once, and
+    every table pivots its own labels of it."""
+    long = written(long_features(distances, antigenic, individual), "long-features")
+    return {
+        subtype: subtype_table(long, genetic, energies, references, subtype, individual)
+        for subtype in subtypes
+    }
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, prefix: str = "") -> None:

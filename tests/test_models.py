@@ -106,12 +106,11 @@ def test_planes_equal_least_squares(table, points):
 
 
 def test_fold_scores_equal_a_loop(table, points):
-    hashed = folds.with_folds(table, ["variant_hash"], 4, 2)
-    rows = factors.triple_rows(hashed, TRIPLES[:1], ["variant_hash", "folds"])
-    ids = folds.spread_folds(rows)
+    hashed = folds.with_bucket(table, ["variant_hash"])
+    ids = folds.fold_ids(hashed.select("variant_hash", "bucket"), ["bucket"], 4, 2)
     fold = {(r.variant_hash, r.repeat): r.fold for r in ids.collect()}
     names, data = complete(points)
-    got = planes.fold_scores(rows, (0.0, 25.0)).collect()
+    got = planes.fold_scores(hashed, TRIPLES[:1], (0.0, 25.0), 4, 2).collect()
     assert len(got) == 4 * 2 * 2
     for r in got:
         held = np.array([fold[(n, r.repeat)] == r.fold for n in names])
@@ -119,8 +118,16 @@ def test_fold_scores_equal_a_loop(table, points):
         gap = data[:, 2] - (b0 + data[:, :2] @ b)
         assert math.isclose(r.mae_test, np.abs(gap[held]).mean(), rel_tol=1e-9)
         assert math.isclose(r.mae_train, np.abs(gap[~held]).mean(), rel_tol=1e-9)
-        spread = ((data[held, 2] - data[held, 2].mean()) ** 2).sum()
-        assert math.isclose(r.r2_test, 1 - (gap[held] ** 2).sum() / spread, rel_tol=1e-9)
+        for side, r2 in ((held, r.r2_test), (~held, r.r2_train)):
+            spread = ((data[side, 2] - data[side, 2].mean()) ** 2).sum()
+            assert math.isclose(r2, 1 - (gap[side] ** 2).sum() / spread, abs_tol=1e-9)
+
+
+def test_fold_table_is_fold_of(spark):
+    made = folds.fold_table(5, 3)
+    buckets = spark.range(0, folds.BUCKETS, 97).withColumnRenamed("id", "bucket")
+    for r in folds.fold_ids(buckets, ["bucket"], 5, 3).collect():
+        assert made[r.bucket, r.repeat - 1] == r.fold
 
 
 def test_equal_axes_have_no_plane(spark):
@@ -319,17 +326,17 @@ def test_fold_scores_by_rows(spark):
             assert math.isclose(r2, 1 - ((z - p) ** 2).sum() / ((z - z.mean()) ** 2).sum(), abs_tol=1e-9)
 
 
-def test_salted_fits(spark, table, monkeypatch):
-    rows = factors.triple_rows(
-        folds.with_folds(table, ["variant_hash"], 3, 2), TRIPLES, ["folds"]).cache()
+def test_fits_part_by_part(table, monkeypatch):
+    hashed = folds.with_bucket(table, ["variant_hash"]).cache()
 
     def scores():
         return sorted(
             (r.triple, r.penalty, r.repeat, r.fold, round(r.mae_test, 9), round(r.r2_train, 9))
-            for r in planes.fold_scores(rows, (0.0, 1.0)).collect())
+            for r in planes.fold_scores(hashed, TRIPLES, (0.0, 1.0), 3, 2).collect())
 
     whole = scores()
-    monkeypatch.setattr(planes, "MAX_BROADCAST_FITS", 0)
+    monkeypatch.setattr(planes, "MAX_FITS", 1)
+    monkeypatch.setattr(planes, "BLOCK_CELLS", 30)
     assert scores() == whole and len(whole) == 2 * 2 * 2 * 3
 
 
