@@ -176,9 +176,10 @@ def search(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     vocabulary = written(wanted.select("term").distinct().select(
         "term", F.monotonically_increasing_id().alias("term_id")), "vocabulary")
     posts, n_docs, length = postings(docs, vocabulary)
-    weights = posts.groupBy("term_id").agg(F.count(F.lit(1)).alias("df")).select(
+    # written, so that its size is known and postings of a common term stay where they are
+    weights = written(posts.groupBy("term_id").agg(F.count(F.lit(1)).alias("df")).select(
         "term_id", F.floor(UNIT * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.col("df") + 1)))
-        .alias("w"))
+        .alias("w")), "weights")
     shards = max(tasks(spark), -(-n_docs // SHARD_ROWS))
     n_items = wanted.select("item").distinct().count()
     blocks = max(1, -(-n_items // BLOCK_ROWS))
