@@ -2,14 +2,18 @@
 
 Every rolling pair of words of a document is joined with the same pairs of the templates. A
 match votes for its diagonal, the document's position minus the template's. Votes are counted
-per diagonal, neighbouring diagonals are merged into bands so that a word put in or left out
-does not part a passage, and a span counts when it covers enough of the template's pairs. A
-phrase of the base list needs all its pairs on one diagonal.
+per diagonal, and neighbouring diagonals are chained into spans as long as the gaps between
+them are small, so that a word put in or left out does not part a passage. A span is verified:
+it has to cover enough of the template's pairs, and all of its telling ones, the pairs that no
+similar template has, such as the one with the version. A phrase of the base list needs all its
+pairs on one diagonal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The base phrases and their labels.
@@ -41,8 +45,9 @@ NOTICES = {
     " the gnu general public license as published by the free software foundation": "gpl-text",
 }
 K = 2
-#: Diagonals of a band, and the share of a template's pairs that a span must cover.
-BAND, COVER = 4, 0.8
+#: Most diagonals between two that are chained, the share of a template's pairs that a span
+#: must cover, and the share of its pairs that another template has if the two are similar.
+GAP, COVER, SIMILAR = 4, 0.8, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 
@@ -60,18 +65,33 @@ def words(text: Column) -> Column:
     return F.slice(parts, first, F.greatest(last - first + 1, F.lit(0)))
 
 
+def _pairs(text: str) -> list[str]:
+    parts = text.split(" ")
+    return [" ".join(parts[i:i + K]) for i in range(len(parts) - K + 1)]
+
+
+def telling(text: str, templates: Iterable[str]) -> list[int]:
+    """Positions of the pairs that set a template apart from all similar ones."""
+    own = _pairs(text)
+    others = [set(_pairs(t)) for t in templates if t != text]
+    alike = [o for o in others if sum(p in o for p in own) >= SIMILAR * len(own)]
+    known = set().union(*alike)
+    return [i for i, p in enumerate(own) if alike and p not in known]
+
+
 def _grams(templates: dict[str, str], exact: bool) -> list[tuple]:
-    """(template, label, exact, pairs, position, pair) of each template's word pairs."""
+    """(template, label, exact, pairs, telling, position, pair) of each template's word pairs;
+    ``telling`` are the positions that a span needs."""
     rows = []
     for text, label in templates.items():
-        parts = text.split(" ")
-        pairs = [" ".join(parts[i:i + K]) for i in range(len(parts) - K + 1)]
-        rows += [(text, label, exact, len(pairs), i, pair) for i, pair in enumerate(pairs)]
+        pairs = _pairs(text)
+        needed = [] if exact else telling(text, templates)
+        rows += [(text, label, exact, len(pairs), needed, i, p) for i, p in enumerate(pairs)]
     return rows
 
 
 def votes(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
-    """(doc, doc_id, n_words, template, label, exact, pairs, at, position): every match of a
+    """(doc, doc_id, n_words, template, label, exact, pairs, telling, at, position): every match of a
     document's word pair with a template's, and one row without a template per document.
 
     ``doc`` numbers the rows, so repeated ids are kept apart. The template table comes from
@@ -80,7 +100,8 @@ def votes(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
     spark = docs.sparkSession
     grams = spark.createDataFrame(
         _grams(PHRASES, True) + _grams(notices, False),
-        "template string, label string, exact boolean, pairs int, position int, pair string",
+        "template string, label string, exact boolean, pairs int, telling array<int>, position int, "
+        "pair string",
     ).withColumn("hash", F.xxhash64("pair"))
     rows = docs.select(
         F.monotonically_increasing_id().alias("doc"), "doc_id", words(F.col("text")).alias("w"))
@@ -97,43 +118,45 @@ def votes(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
     return met.select(
         "doc", "doc_id", "n_words", "at",
         *[F.when(match, F.col(c)).alias(c)
-          for c in ("template", "label", "exact", "pairs", "position")])
+          for c in ("template", "label", "exact", "pairs", "telling", "position")])
 
 
-def _bands(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
-    """(doc, doc_id, n_words, template, label, exact, pairs, band, n, cover, first, last): votes
-    by band, and a row without a template for each document."""
+def _chains(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
+    """(doc, doc_id, n_words, template, label, exact, pairs, telling, chain, met, cover, first,
+    last): votes by chain of diagonals, and a row without a template for each document. The
+    chain of a base phrase is its diagonal."""
     voted = votes(docs, notices).repartition("doc")
-    keys = ["doc", "doc_id", "n_words", "template", "label", "exact", "pairs"]
+    keys = ["doc", "doc_id", "n_words", "template", "label", "exact", "pairs", "telling"]
     per_diagonal = voted.groupBy(
-        *keys, (F.col("at") - F.col("position")).alias("diagonal"),
+        *keys, (F.col("at") - F.col("position")).cast("long").alias("diagonal"),
     ).agg(F.collect_set("position").alias("met"), F.min("at").alias("first"),
           F.max("at").alias("last"))
-    # a base phrase keeps its diagonal; a notice is in two overlapping bands, so that
-    # neighbouring diagonals share one
-    half = BAND // 2
-    band = F.when(F.col("exact"), F.array(F.col("diagonal").cast("long"))).when(
-        F.col("template").isNotNull(),
-        F.array(F.floor(F.col("diagonal") / BAND) * 2,
-                F.floor((F.col("diagonal") + half) / BAND) * 2 + 1))
+    # a diagonal is a place, as a template is short; the rows are those of one document
+    order = Window.partitionBy("doc", "template").orderBy("diagonal")
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > GAP, F.lit(False))
+    chain = F.when(F.col("exact"), F.col("diagonal")).otherwise(
+        F.sum(F.col("apart").cast("long")).over(order))
     met = F.array_distinct(F.flatten(F.collect_list("met")))
     return (
-        per_diagonal.withColumn("band", F.explode_outer(band)).groupBy(*keys, "band")
-        .agg(F.size(met).alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .withColumn("cover", F.col("n") / F.col("pairs")))
+        per_diagonal.withColumn("apart", apart).withColumn("chain", chain)
+        .groupBy(*keys, "chain")
+        .agg(met.alias("met"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .withColumn("cover", F.size("met") / F.col("pairs")))
 
 
 def _found() -> tuple[Column, Column]:
-    """Conditions on bands: a base phrase stands there; a span there is verified."""
-    exact = F.col("exact") & (F.col("n") == F.col("pairs"))
-    return exact, exact | (~F.col("exact") & (F.col("n") >= F.ceil(F.col("pairs") * COVER)))
+    """Conditions on chains: a base phrase stands there; a span there is verified."""
+    n = F.size("met")
+    exact = F.col("exact") & (n == F.col("pairs"))
+    told = F.size(F.array_except("telling", "met")) == 0
+    return exact, exact | (~F.col("exact") & (n >= F.ceil(F.col("pairs") * COVER)) & told)
 
 
 def spans(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
     """(doc_id, label, exact, cover, first_word, last_word): verified spans of whole texts, in
-    words from 0, the last one included. ``exact`` spans are base phrases. A notice may show in
-    two overlapping bands; both spans are given."""
-    return _bands(docs, notices).where(_found()[1]).select(
+    words from 0, the last one included. ``exact`` spans are base phrases. Null and empty texts
+    have none, repeated rows repeat theirs, and an empty table gives an empty one."""
+    return _chains(docs, notices).where(_found()[1]).select(
         "doc_id", "label", "exact", "cover", F.col("first").cast("long").alias("first_word"),
         (F.col("last") + K - 1).cast("long").alias("last_word"))
 
@@ -150,10 +173,10 @@ def labels(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
 
     exact, counts = _found()
-    return _bands(docs, notices).groupBy("doc", "doc_id", "n_words").agg(
+    return _chains(docs, notices).groupBy("doc", "doc_id", "n_words").agg(
         F.count_if(exact).alias("n_base"),
-        F.min(F.when(exact, F.col("band"))).alias("first_word"),
-        F.max(F.when(exact, F.col("band"))).alias("last_word"),
+        F.min(F.when(exact, F.col("chain"))).alias("first_word"),
+        F.max(F.when(exact, F.col("chain"))).alias("last_word"),
         joined(exact).alias("base_labels"), joined(counts).alias("labels"),
         F.coalesce(F.max(F.when(counts, F.col("cover"))), F.lit(0.0)).alias("score"),
     ).drop("doc")
@@ -161,11 +184,13 @@ def labels(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
 
 def _sql_templates() -> str:
     rows = _grams(PHRASES, True) + _grams(NOTICES, False)
-    return ", ".join(f"('{t}', '{x}', {e}, {n}, {i}, '{p}')" for t, x, e, n, i, p in rows)
+    return ", ".join(f"('{t}', '{x}', {e}, {n}, {len(needed)}, {i in needed}, {i}, '{p}')"
+                     for t, x, e, n, needed, i, p in rows)
 
 
 ORACLE_SQL = rf"""
-WITH grams(template, label, exact, pairs, position, pair) AS (VALUES {_sql_templates()}),
+WITH grams(template, label, exact, pairs, needed, telling, position, pair) AS (
+  VALUES {_sql_templates()}),
 d AS (
   SELECT row_number() OVER () AS doc, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
@@ -175,21 +200,22 @@ p AS (
   SELECT doc, unnest(range(len(w) - 1)) AS pos, unnest(list_transform(
     range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM d),
 v AS (
-  SELECT doc, template, label, exact, pairs, position, pos - position AS diagonal
+  SELECT doc, template, label, exact, pairs, needed, telling, position,
+    pos - position AS diagonal
   FROM p JOIN grams USING (pair)),
-b AS (
-  SELECT doc, template, label, exact, pairs, position, diagonal AS band FROM v WHERE exact
-  UNION ALL
-  SELECT doc, template, label, exact, pairs, position, unnest([
-    floor(diagonal / {BAND})::BIGINT * 2, floor((diagonal + {BAND // 2}) / {BAND})::BIGINT * 2 + 1])
-  FROM v WHERE NOT exact),
+g AS (
+  SELECT *, CASE WHEN exact THEN diagonal ELSE count(*) FILTER (far) OVER (
+    PARTITION BY doc, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) END AS chain
+  FROM (SELECT *, diagonal - lag(diagonal) OVER (
+    PARTITION BY doc, template ORDER BY diagonal) > {GAP} AS far FROM v)),
 c AS (
-  SELECT doc, template, label, exact, pairs, band, count(DISTINCT position) AS n FROM b
-  GROUP BY ALL
-  HAVING CASE WHEN exact THEN n = pairs ELSE n >= ceil(pairs * {COVER}) END),
+  SELECT doc, template, label, exact, pairs, chain, count(DISTINCT position) AS n FROM g
+  GROUP BY doc, template, label, exact, pairs, needed, chain
+  HAVING CASE WHEN exact THEN n = pairs ELSE n >= ceil(pairs * {COVER})
+    AND count(DISTINCT position) FILTER (telling) = needed END),
 s AS (
-  SELECT doc, count(*) FILTER (exact) AS n_base, min(band) FILTER (exact) AS first_word,
-    max(band) FILTER (exact) AS last_word,
+  SELECT doc, count(*) FILTER (exact) AS n_base, min(chain) FILTER (exact) AS first_word,
+    max(chain) FILTER (exact) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
     string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(n / pairs) AS score
   FROM c GROUP BY doc)

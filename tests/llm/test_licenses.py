@@ -1,4 +1,6 @@
+import difflib
 import re
+from collections import Counter
 
 from terrane.llm import licenses
 
@@ -30,6 +32,65 @@ def test_odd_rows_against_plain_search(spark, odd_docs, no_docs):
     assert licenses.labels(no_docs).count() == 0
 
 
+def holds(words, notice):
+    """Whether a window of the words has the notice's words in order, four fifths of them at
+    least, and the last of them or, for a variant of a licence, its own words next to each
+    other; by trying every window, without votes or diagonals."""
+    need = notice.split()
+    size = len(need) + 4
+    for i, w in enumerate(words):
+        if w in need[:3]:
+            window = words[i:i + size]
+            blocks = difflib.SequenceMatcher(None, window, need, False).get_matching_blocks()
+            if sum(b.size for b in blocks) >= 0.8 * len(need):
+                return True
+    return False
+
+
+#: For the notices that resemble others, the words that only they have.
+OWN = {"gpl-2.0": "version 2", "gpl-3.0": "version 3", "cc-by-4.0": "by 4 0",
+       "cc-by-nc-4.0": "by nc 4", "cc-by-sa-4.0": "by sa 4", "apache-2.0": "apache license"}
+
+
+def test_whole_table_has_no_label_without_its_own_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(",")))
+           for r in licenses.labels(docs).collect()}
+    by_label = {label: notice for notice, label in licenses.NOTICES.items()}
+    seen = Counter()
+    for r in docs.collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r["text"] or "").lower())
+        text = f" {' '.join(words)} "
+        if not got[r["doc_id"]] and "licen" not in text:
+            continue
+        for label, own in OWN.items():
+            if label in got[r["doc_id"]]:
+                seen[label] += 1
+                assert f" {own} " in text and holds(words, by_label[label])
+            elif f" {by_label[label]} " in text:
+                raise AssertionError((r["doc_id"], label))
+    assert seen["gpl-3.0"] > 50 and seen["cc-by-nc-4.0"] > 50
+    assert not seen["gpl-2.0"] and not seen["cc-by-4.0"]
+
+
+def test_variants_are_told_apart(spark):
+    texts = {
+        1: "this work is licensed under the gnu general public license version 2 only",
+        2: "This Work is licensed under the GNU General Public License, version 3.",
+        3: "licensed under CC BY 4.0", 4: "licensed under CC BY-NC 4.0",
+        5: "licensed under CC-BY-SA 4.0 and licensed under CC-BY 4.0",
+        6: "licensed under the apache license version 1.1",
+        7: "licensed under the apache software license version 2.0",
+        8: "gnu lesser general public license", 9: "gnu general public license",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.labels(docs).collect()}
+    own = {i: sorted(x for x in v if x and "-" in x and x != "cc-by" or x in ("lgpl", "agpl"))
+           for i, v in got.items()}
+    assert own == {1: ["gpl-2.0"], 2: ["gpl-3.0"], 3: ["cc-by-4.0"], 4: ["cc-by-nc-4.0"],
+                   5: ["cc-by-4.0", "cc-by-sa-4.0"], 6: [], 7: [], 8: ["lgpl"], 9: []}
+
+
 def test_a_notice_with_changes_is_found(spark):
     notice = next(x for x, label in licenses.NOTICES.items() if label == "bsd-text").split()
     changed = [*"some words before".split(), *notice[:8], "new", *notice[8:], "after"]
