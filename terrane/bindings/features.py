@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from terrane.bindings.model_table import (
     GROUP_COLUMN, TITERS, model_sql, model_table,
 )
+from terrane.bindings.models import COLUMNS as MODEL_COLUMNS, GUARD_SQL, METADATA
 from terrane.bindings.star import ctes, derive, star, warehouse
-from terrane.bindings.titers import ELIGIBLE, ISOLATE_VALUES, TITER_TABLES
+from terrane.bindings.titers import ELIGIBLE, ISOLATE_VALUES, SPRING, TITER_TABLES
 from terrane.functions.numbers import log_titer, unlog_titer
 from terrane.functions.predicates import quoted
-from terrane.operators import features, imputing, merging, titers, versions
+from terrane.operators import (
+    antisera, factors, features, imputing, merging, titers, versions,
+)
+from terrane.plans.tables import reportable_lots
 from terrane.session import written
 
 WIDE = {"H3": "", "H1 swl": "_h1", "B vic": "_b"}
@@ -61,6 +65,22 @@ def wide_features(subtype: str, individual: bool):
     return run
 
 
+def long_features_lots(spark, sf):
+    """The long table limited to the lots of the recent seasons, a table of its own."""
+    sera = antisera.reportable_sera(derive(spark, sf, "archive_serum_ref"), SPRING)
+    return features.limited_to_lots(
+        long_of(spark, sf, False), sera.filter(F.col("subtype") == "H3")).withColumn(
+        "value", F.round("value", 6))
+
+
+def lot_triples(spark, sf):
+    """The antigenic triples whose titer lot is one of the recent seasons, with their rows."""
+    sera = antisera.reportable_sera(derive(spark, sf, "archive_serum_ref"), SPRING)
+    lots = reportable_lots(sera.filter(F.col("subtype") == "H3"))
+    triples = factors.factor_triples(MODEL_COLUMNS, "antigenic", lots)
+    return factors.row_guard(model_table(spark, sf), triples, METADATA)
+
+
 def _long_ctes(individual: bool) -> str:
     """``long``: (kind, identifier, [specimen keys], feature, lot, value) of all sources."""
     keys = "ag_cdc_id, ag_isolate_id, " if individual else ""
@@ -96,6 +116,19 @@ def _long_sql(individual: bool) -> str:
             "SELECT * REPLACE (ROUND(value, 6) AS value) FROM long")
 
 
+_SERA = """(SELECT DISTINCT lot FROM archive_serum_ref
+  WHERE NOT egg_vaccine AND season >= 1999 AND subtype = 'H3')"""
+LONG_LOTS_SQL = f"""
+WITH {_long_ctes(False)}
+SELECT * REPLACE (ROUND(value, 6) AS value) FROM long l
+WHERE kind = 'structure' OR EXISTS (SELECT 1 FROM {_SERA} s WHERE contains(l.lot, s.lot))
+"""
+LOT_TRIPLES_SQL = f"""
+{GUARD_SQL.replace("WITH", f"WITH {ctes('archive_serum_ref')},", 1)}
+WHERE z_factor LIKE '%logfold' AND EXISTS (SELECT 1 FROM {_SERA} s WHERE contains(z_factor, s.lot))
+"""
+
+
 def _wide_sql(subtype: str, individual: bool) -> str:
     mark = merging.COLUMN_MARKS[subtype]
     energies = ", ".join(
@@ -309,6 +342,8 @@ QUERIES = {
     "relative_scores": relative_scores,
     "long_features": long_features(False),
     "long_features_individual": long_features(True),
+    "long_features_lots": long_features_lots,
+    "lot_triples": lot_triples,
     **{f"wide_features{name}": wide_features(subtype, False) for subtype, name in WIDE.items()},
     **{f"wide_features_individual{name}": wide_features(subtype, True)
        for subtype, name in WIDE.items()},
@@ -324,6 +359,8 @@ ORACLES = {
     "relative_scores": RELATIVE_SQL,
     "long_features": _long_sql(False),
     "long_features_individual": _long_sql(True),
+    "long_features_lots": LONG_LOTS_SQL,
+    "lot_triples": LOT_TRIPLES_SQL,
     **{f"wide_features{name}": _wide_sql(subtype, False) for subtype, name in WIDE.items()},
     **{f"wide_features_individual{name}": _wide_sql(subtype, True)
        for subtype, name in WIDE.items()},

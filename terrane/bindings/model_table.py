@@ -1,7 +1,8 @@
 """A wide table for the modelling operators, derived from parts and their order lines.
 
 One row per part, as a variant. Values that have no order line are missing, so the
-table has gaps without any being made. The expressions serve both engines.
+table has gaps without any being made. Two of the six supplier lots share a column. The
+expressions serve both engines.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ LINE_COLUMNS = {
     "H3_seasonal_heavy_sd": "AVG(CASE WHEN l_quantity > 25 THEN l_linenumber * 1.0e0 END)",
     **{
         f"H3|{protocol}|lot|L{lot}|logfold":
-            f"AVG(CASE WHEN l_returnflag = '{flag}' AND l_suppkey % 6 = {lot} "
+            f"AVG(CASE WHEN l_returnflag = '{flag}' AND FLOOR((l_suppkey % 6) / 2) = {lot} "
             f"THEN {TITER_VALUE} END)"
         for protocol, flag in PROTOCOL_FLAGS.items() for lot in range(3)
     },

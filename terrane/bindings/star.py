@@ -123,7 +123,7 @@ BINDINGS: dict[str, Binding] = {
         "isolate_id": "CONCAT('i', CAST(doc_id AS STRING), '.', CAST(toxic AS STRING))",
     }),
     "alignments": Binding("documents", {
-        "isolate_id": "CONCAT('i', CAST(doc_id % 700 AS STRING), '.0')",
+        "isolate_id": "CONCAT('i', CAST(doc_id AS STRING), '.0')",
         "protein": "CASE WHEN n_chars % 3 = 0 THEN 'HA' ELSE 'NA' END",
         "aa_aln": "text",
     }),

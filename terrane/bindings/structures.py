@@ -8,7 +8,6 @@ its historical and its seasonal reference.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from terrane.bindings.star import star
 from terrane.operators import contacts, membership, numbering
 from terrane.plans import distances
-from terrane.session import shared_dir
+from terrane.session import shared_dir, written
 from terrane.sources import structures
 
 # Atom i of a structure; the same expressions serve both engines.
@@ -76,7 +75,7 @@ def references(spark, sf) -> DataFrame:
 
 def contact_pairs(spark, sf):
     numbered = contacts.mask_confidence(
-        contacts.align(contacts.atoms_for(atoms(spark, sf), ("calpha", "heavy")))
+        contacts.align(contacts.atoms_for(atoms(spark, sf), tuple(contacts.CONTEXT_ATOMS)))
     )
     return (
         contacts.contact_pairs(numbered, ["structure_id", "sd_context"])
@@ -116,7 +115,7 @@ pairs AS MATERIALIZED (
 
 CONTACT_SQL = (
     f"WITH {ATOMS_SQL}, "
-    + POSITIONS_SQL.format(where="WHERE m.sd_context <> 'carbon'", mask="plddt >= 70", limit="4.5")
+    + POSITIONS_SQL.format(where="", mask="plddt >= 70", limit="4.5")
     + "SELECT * FROM pairs"
 )
 
@@ -230,13 +229,9 @@ def pending_contexts(spark, sf):
         F.when(F.col("label") % 2 == 0, "calpha").otherwise("heavy").alias("sd_context"),
         F.lit(contacts.CONTACT_LIMIT).alias("sd_limit"),
         F.lit(contacts.MIN_CONFIDENCE).alias("sd_confidence"))
-    left = [
-        distances.new_structures(table, done, context, contacts.CONTACT_LIMIT,
-                                 contacts.MIN_CONFIDENCE, None, None)
-        .select("structure_id", F.lit(context).alias("sd_context")).distinct()
-        for context in contacts.CONTEXT_ATOMS
-    ]
-    return reduce(DataFrame.union, left)
+    return distances.pending_pairs(
+        table, done, tuple(contacts.CONTEXT_ATOMS), contacts.CONTACT_LIMIT,
+        contacts.MIN_CONFIDENCE, None, None)
 
 
 PENDING_CONTEXTS_SQL = """
@@ -246,6 +241,20 @@ WHERE sd_context <> CASE WHEN label % 2 = 0 THEN 'calpha' ELSE 'heavy' END
 """
 
 
+def new_distances(spark, sf):
+    """The distances of calpha for structures of even labels, then all that is pending
+    appended; the folder then holds every distance once."""
+    folder = f"{shared_dir(spark)}/distances-{uuid.uuid4().hex}"
+    table, known = atoms(spark, sf), references(spark, sf)
+    distances.append_distances(
+        table.filter(F.col("label") % 2 == 0), known, folder, contexts=("calpha",))
+    # the first output as it is now, so that it can be appended to
+    done = written(spark.read.parquet(folder), "done")
+    distances.append_distances(table, known, folder, done)
+    return spark.read.parquet(folder).select(
+        "protein", "subtype", "reference_context", "identifier", "sd_context", "sd_limit", "sd")
+
+
 def structure_files(spark, sf):
     """Writes every structure as a text file, reads the folder back, and parses it."""
     table = atoms(spark, sf)
@@ -286,6 +295,7 @@ QUERIES = {
     "pending_inputs": pending_inputs,
     "pending_contexts": pending_contexts,
     "structure_files": structure_files,
+    "new_distances": new_distances,
 }
 
 ORACLES = {
@@ -302,4 +312,5 @@ ORACLES = {
     "pending_inputs": PENDING_SQL,
     "pending_contexts": PENDING_CONTEXTS_SQL,
     "structure_files": STRUCTURE_FILES_SQL,
+    "new_distances": _distance_sql(),
 }

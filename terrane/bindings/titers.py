@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.bindings.star import ctes, derive, star, warehouse
 from terrane.operators import antisera, eligibility, titers, versions
+from terrane.plans import refresh as refreshing
+from terrane.session import shared_dir
 
 TITER_TABLES = [
     "antigenic_tests", "archive_serum_ref", "specimen", "isolate", "hiserum",
@@ -110,7 +115,7 @@ protein_values AS (
 """
 
 
-def _summary_sql(dedupe: bool) -> str:
+def _summary_sql(dedupe: bool, digits: int = 6) -> str:
     distances = (
         "(SELECT DISTINCT variant_hash FROM relaxed_structural_distance "
         "WHERE subtype IN ('B', 'H1', 'H3'))"
@@ -121,31 +126,32 @@ def _summary_sql(dedupe: bool) -> str:
     part = """
   SELECT subtype, test_protocol, sr_variant_hash, lot, '{label}' AS aggregation,
          ag_variant_hash AS identifier,
-         ROUND(MIN(value), 6) AS min_logfold, ROUND(MAX(value), 6) AS max_logfold,
-         ROUND(AVG(value), 6) AS avg_logfold, ROUND(STDDEV_SAMP(value), 6) AS sd_logfold,
+         ROUND(MIN(value), {digits}) AS min_logfold, ROUND(MAX(value), {digits}) AS max_logfold,
+         ROUND(AVG(value), {digits}) AS avg_logfold, ROUND(STDDEV_SAMP(value), {digits}) AS sd_logfold,
          CAST(COUNT(value) AS INT) AS logfold_count
   FROM {values} v JOIN {distances} d ON d.variant_hash = v.ag_variant_hash
   GROUP BY subtype, test_protocol, sr_variant_hash, lot, ag_variant_hash"""
     return (
         f"WITH {ctes(*TITER_TABLES)},{ELIGIBLE},{ISOLATE_VALUES}"
-        + part.format(label="lot", values="lot_values", distances=distances)
+        + part.format(label="lot", values="lot_values", distances=distances, digits=digits)
         + "\n  UNION"
-        + part.format(label="ha_protein", values="protein_values", distances=distances)
+        + part.format(label="ha_protein", values="protein_values", distances=distances,
+                      digits=digits)
     )
 
 
-def _individual_sql() -> str:
+def _individual_sql(digits: int = 6) -> str:
     part = """
   SELECT subtype, test_protocol, sr_variant_hash, lot, '{label}' AS aggregation,
          ag_variant_hash AS identifier, ag_cdc_id, ag_isolate_id,
-         ROUND(value, 6) AS avg_logfold
+         ROUND(value, {digits}) AS avg_logfold
   FROM {values} WHERE ag_variant_hash IN (
     SELECT variant_hash FROM relaxed_structural_distance WHERE subtype IN ('B', 'H1', 'H3'))"""
     return (
         f"WITH {ctes(*TITER_TABLES)},{ELIGIBLE},{ISOLATE_VALUES}"
-        + part.format(label="lot", values="lot_values")
+        + part.format(label="lot", values="lot_values", digits=digits)
         + "\n  UNION ALL"
-        + part.format(label="ha_protein", values="protein_values")
+        + part.format(label="ha_protein", values="protein_values", digits=digits)
     )
 
 
@@ -311,6 +317,44 @@ FROM relaxed_structural_distance
 WHERE subtype IN ('B', 'H1', 'H3') AND atomic_context IN ('calpha', 'carbon', 'heavy')
 """
 
+# per extract: a group, and the value that is added up in it
+READ_BACK = {
+    "antigenic_summaries": ("CONCAT(subtype, '|', aggregation)", "avg_logfold"),
+    "indv_antigenic_summaries": ("CONCAT(subtype, '|', aggregation)", "avg_logfold"),
+    "rosetta_summaries": ("version", "total_score"),
+    "structural_distance": ("CONCAT(subtype, '|', atomic_context)", "sd"),
+    "seasonal_antisera_references": ("CONCAT(subtype, '|', lot)", "0.0"),
+}
+SPRING = dt.date(2000, 5, 10)
+
+
+def refresh_extracts(spark, sf):
+    """All extracts written to a folder and read back: rows and totals of their groups."""
+    root = f"{shared_dir(spark).rstrip('/')}/extracts-{uuid.uuid4().hex}"
+    names = refreshing.refresh(warehouse(spark, sf), root, as_of=SPRING)
+    parts = [
+        spark.read.parquet(f"{root}/{name}").groupBy(F.expr(group).alias("part")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.round(F.sum(F.expr(f"CAST({value} AS DOUBLE)")), 4).alias("total"))
+        .select(F.lit(name).alias("extract"), "part", "n", "total")
+        for name, (group, value) in READ_BACK.items() if name in names
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _refresh_sql() -> str:
+    sources = {
+        "antigenic_summaries": f"({_summary_sql(False, 12)})",
+        "indv_antigenic_summaries": f"({_individual_sql(12)})",
+        "rosetta_summaries": f"({ENERGY_SQL})", "structural_distance": f"({EXTRACT_SQL})",
+        "seasonal_antisera_references": f"({_reportable_sql('season >= 1999')})",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS extract, {READ_BACK[name][0]} AS part, COUNT(*) AS n, "
+        f"ROUND(SUM(CAST({READ_BACK[name][1]} AS DOUBLE)), 4) AS total FROM {source} GROUP BY 2"
+        for name, source in sources.items())
+
+
 QUERIES = {
     "titer_summary": titer_summary,
     "titer_summary_deduped": titer_summary_deduped,
@@ -325,6 +369,7 @@ QUERIES = {
     "energy_summary": energy_summary,
     "latest_version": latest_version,
     "distance_extract": distance_extract,
+    "refresh_extracts": refresh_extracts,
 }
 
 ORACLES = {
@@ -343,4 +388,5 @@ ORACLES = {
     "energy_summary": ENERGY_SQL,
     "latest_version": LATEST_SQL,
     "distance_extract": EXTRACT_SQL,
+    "refresh_extracts": _refresh_sql(),
 }

@@ -153,9 +153,11 @@ def structural_distance(
     confidence: float | None = MIN_CONFIDENCE,
     sites: str | None = None,
     proteomic_context: str | None = None,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Number of position pairs whose contact state differs, for every query structure,
-    reference structure, and context.
+    reference structure, and context; with ``asked`` (structure_id, sd_context) only for these
+    structures and contexts.
 
     ``queries`` are atoms with ``structure_id``; ``references`` also carry ``subtype``,
     ``protein``, and ``reference_context``. Only positions present in both structures
@@ -165,7 +167,7 @@ def structural_distance(
     * |Q| and |Q and R| come from the query's contacts, met by the list of references
       per position and per reference contact. References are a handful per context.
     * |R| is all contacts of the reference less those that touch a position the query
-      lacks; only the lacking positions are joined.
+      lacks; only the lacking positions become rows.
 
     The reference side is broadcast if its positions and contacts are at most
     ``MAX_BROADCAST_ENTRIES``, and salted otherwise.
@@ -182,14 +184,17 @@ def structural_distance(
         "structure_id", F.col("ref")
     )
 
-    def positions(atoms: DataFrame, name: str) -> DataFrame:
-        placed = align(site_filter(atoms_for(atoms, contexts), sites))
+    def positions(atoms: DataFrame, name: str, only: DataFrame | None = None) -> DataFrame:
+        chosen = atoms_for(atoms, contexts)
+        if only is not None:
+            chosen = chosen.join(only.select(*by), by, "left_semi")
+        placed = align(site_filter(chosen, sites))
         return written(
             placed.select(*by, "pos", "x", "y", "z", confident(confidence).alias("kept")), name
         )
 
     # a structure whose atoms are all masked has no contacts, and still a distance
-    q_all = positions(queries, "query-positions")
+    q_all = positions(queries, "query-positions", asked)
     r_all = positions(renamed, "reference-positions")
     q_pos, r_pos = q_all.filter("kept").drop("kept"), r_all.filter("kept").drop("kept")
     r_contacts = written(contact_pairs(r_pos, by, limit), "reference-contacts")
@@ -222,8 +227,12 @@ def structural_distance(
 
     # positions of any reference that a query lacks, and the reference contacts lost
     present = q_all.select(*by).distinct()
-    asked = _meet(present, having.select("sd_context", "pos"), ["sd_context"], light)
-    lacking = asked.join(q_pos.select(*by, "pos"), [*by, "pos"], "left_anti")
+    # a set difference inside one row of a structure: no row per structure and position
+    own = q_pos.groupBy(*by).agg(F.collect_set("pos").alias("own"))
+    wanted = having.groupBy("sd_context").agg(F.collect_set("pos").alias("wanted"))
+    none = F.array().cast("array<bigint>")
+    lacking = _meet(present, wanted, ["sd_context"], light).join(own, by, "left").select(
+        *by, F.explode(F.array_except("wanted", F.coalesce("own", none))).alias("pos"))
     ends = touching.select(
         "sd_context", "pos1", "pos2", F.explode(F.array("pos1", "pos2")).alias("pos")
     )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations, product
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions.predicates import cols_matching, quoted, text, ticked
+from terrane.operators.gram import set_table, task_sums
 from terrane.operators.merging import ENERGIES, RELATIVE
 
 # Axis patterns, least rows of a comparison, least share of a landscape.
@@ -137,27 +139,22 @@ def row_guard(
     share: float = MIN_SHARE, least: int = 0,
 ) -> DataFrame:
     """Rows per triple with all values and all ``need`` columns present, and whether
-    they reach the share of all rows of ``df`` and the least count. Triples without any such
-    row count 0, and without any row of ``df`` none is told.
+    there is one, and they reach the share of all rows of ``df`` and the least count.
 
-    Rows are counted by which axis columns they have; the triples are looked up in
-    these few patterns and not in the rows.
+    One pass: every task counts its complete rows of all triples, so what is shuffled depends
+    on the triples and tasks, and not on how many patterns of missing values there are.
     """
-    known = df.dropna(subset=list(need)) if need else df
-    axes = sorted({c for t in triples for c in t})
-    patterns = known.groupBy(*[quoted(c).isNotNull().alias(c) for c in axes]).agg(
-        F.count(F.lit(1)).alias("_rows"))
-    cells = ", ".join(
-        f"named_struct('triple', {i}, 'whole', {' AND '.join(ticked(c) for c in t)})"
-        for i, t in enumerate(triples)
-    )
-    counts = (
-        patterns.select("_rows", F.expr(f"inline(array({cells}))")).groupBy("triple")
-        .agg(F.sum(F.when(F.col("whole"), F.col("_rows")).otherwise(0)).alias("n"))
-    )
+    whole = F.lit(True)
+    for c in need:
+        whole = whole & quoted(c).isNotNull()
+    table, places = set_table(df, [((x, y), z) for x, y, z in triples], whole, F.lit(0))
+    found = task_sums(table, places, lambda i, rows, known, number: np.array([float(known.sum())]))
+    every = df.sparkSession.range(len(triples)).select(F.col("id").cast("int").alias("triple"))
+    counts = every.join(found.withColumnRenamed("set", "triple"), "triple", "left").select(
+        "triple", F.coalesce(F.get("sums", F.lit(0)), F.lit(0.0)).cast("bigint").alias("n"))
     bound = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("bound")).scalar()
     return named(counts, triples).withColumn(
-        "enough", (F.col("n") >= bound) & (F.col("n") >= least))
+        "enough", (F.col("n") >= bound) & (F.col("n") >= least) & (F.col("n") > 0))
 
 
 def enough_triples(guard: DataFrame) -> list[Triple]:

@@ -13,7 +13,7 @@ from terrane.functions.predicates import cols_matching, quoted
 # Which columns are filled, which of them are log-scaled, and the keys.
 FILLED = r".*logfold"
 LOG_SCALED = r".*titer"
-KEYS = r"clade|ag_cdc_id|ag_isolate_id|variant_hash"
+BASIS = r".*(clade|log|titer|ag_cdc_id|ag_isolate_id|variant_hash).*"
 GROUP_SUFFIX = "|cladei"
 COLUMN_SUFFIX = "|meani"
 
@@ -71,13 +71,12 @@ def impute_by_column(
 def impute_table(df: DataFrame, by: str = "clade") -> DataFrame:
     """Both fills of every titer column, after equal rows are dropped.
 
-    The means are taken of the distinct combinations of keys and values, so a variant
-    that repeats with other metadata counts once.
+    The means are taken of the distinct combinations of keys and antigenic columns, filled or
+    not, so a variant that repeats with other metadata counts once.
     """
     rows = df.dropDuplicates()
     cols = cols_matching(rows, FILLED)
     scaled = [c for c in cols if c in cols_matching(rows, LOG_SCALED)]
-    keys = [c for c in rows.columns if c in KEYS.split("|")]
-    basis = rows.select(*[quoted(c) for c in [*keys, *cols]]).dropDuplicates()
+    basis = rows.select(*[quoted(c) for c in cols_matching(rows, BASIS)]).dropDuplicates()
     filled = impute_by_group(rows, by, cols, scaled, basis)
     return impute_by_column(filled, cols, scaled, basis)

@@ -107,6 +107,18 @@ def test_imputation(spark):
         ("v6", 8.0, 8.0, None, None)], key=str)
 
 
+def test_other_antigenic_columns_tell_rows_apart(spark):
+    """Columns that are not filled, but hold titers, make rows of one variant differ."""
+    df = spark.createDataFrame(
+        [("v1", "c", 1.0, "10", "m"), ("v1", "c", 1.0, "20", "m"), ("v1", "c", 1.0, "20", "n"),
+         ("v2", "c", 4.0, "10", "m"), ("v3", "c", None, "10", "m")],
+        "variant_hash string, clade string, `a|logfold` double, raw_titer string, note string")
+    filled = imputing.impute_table(df)
+    # (1 + 1 + 4) / 3: the note does not count
+    assert {r[0] for r in filled.filter("variant_hash = 'v3'").select(
+        quoted("a|logfold|meani")).collect()} == {2.0}
+
+
 def test_repeated_metadata_counts_once(spark):
     df = spark.createDataFrame(
         [("v1", "c1", "m1", 1.0), ("v1", "c1", "m2", 1.0), ("v2", "c1", "m1", 4.0),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators import contacts
 from terrane.operators.contacts import structural_distance
-from terrane.plans.distances import new_structures
+from terrane.plans.distances import pending_pairs
 from terrane.plans.refresh import refresh
 from terrane.sources.structures import structure_id
 
@@ -51,8 +51,9 @@ def test_done_counts_for_its_own_settings_only(spark):
         "site_range string, proteomic_context string")
 
     def left(context, limit=4.5, confidence=70.0, sites=None, part="HA"):
-        found = new_structures(atoms, done, context, limit, confidence, sites, part)
-        return {r[0] for r in found.select("structure_id").distinct().collect()}
+        found = pending_pairs(
+            atoms, done, ("calpha", "carbon", "heavy"), limit, confidence, sites, part)
+        return {r[0] for r in found.filter(F.col("sd_context") == context).collect()}
 
     assert left("calpha") == {"b"} and left("heavy") == {"a"}
     for other in ({"limit": 5.0}, {"confidence": None}, {"sites": "1"}, {"part": None}):
