@@ -2,6 +2,7 @@ from zlib import crc32
 
 import numpy as np
 
+from terrane.llm import queries
 from terrane.llm import word_lm as lm
 
 
@@ -78,3 +79,9 @@ def test_odd_rows(spark, odd_docs, no_docs):
     for i in (4, 5, 6):
         assert tuple(by_id[i])[1:] == (0, 0.0, None)
     assert lm.score(no_docs, lm.fit(no_docs)).count() == 0
+
+
+def test_query_is_whole(spark):
+    sf = "/root/testdata/sf0.001"
+    assert queries.op4_lm(spark, sf).count() == spark.read.parquet(
+        f"{sf}/documents.parquet").count()
