@@ -41,18 +41,6 @@ def distinct_values(df: DataFrame, columns: Sequence[str], out: str) -> DataFram
     return df.select(*keep, F.explode(values).alias(out))
 
 
-def summary_stats(df: DataFrame, by: Sequence[str], value: str, prefix: str) -> DataFrame:
-    """Minimum, maximum, mean, sample deviation, and count of a value per group."""
-    v = F.col(value)
-    return df.groupBy(*by).agg(
-        F.min(v).cast("double").alias(f"min_{prefix}"),
-        F.max(v).cast("double").alias(f"max_{prefix}"),
-        F.avg(v).cast("double").alias(f"avg_{prefix}"),
-        F.stddev_samp(v).cast("double").alias(f"sd_{prefix}"),
-        F.count(v).cast("int").alias(f"{prefix}_count"),
-    )
-
-
 def fanout_stats(
     df: DataFrame,
     by: Sequence[str],
@@ -62,7 +50,8 @@ def fanout_stats(
     on: tuple[str, str],
     dedupe: bool = False,
 ) -> DataFrame:
-    """``summary_stats`` of ``df`` inner joined to ``matches``, without the join's rows.
+    """Minimum, maximum, mean, sample deviation, and count of a value per group of ``df`` inner
+    joined to ``matches``, without the join's rows.
 
     ``on`` is (column of ``by``, column of ``matches``). Every row of a group meets
     the same m matches, so the minimum, maximum, and mean stay as they are, the
