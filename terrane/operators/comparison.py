@@ -171,6 +171,8 @@ def survey(
     model, also if it has none at all. A measure is missing without rows of its side, and the
     relative error without a z other than 0.
     """
+    if not sets:
+        raise ValueError("no factor sets")
     unknown = set(regressors) - set(REGRESSORS)
     if unknown:
         raise ValueError(f"no such regressors: {sorted(unknown)}")

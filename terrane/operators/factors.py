@@ -144,6 +144,9 @@ def row_guard(
     One pass: every task counts its complete rows of all triples, so what is shuffled depends
     on the triples and tasks, and not on how many patterns of missing values there are.
     """
+    if not triples:
+        return df.sparkSession.createDataFrame(
+            [], f"{', '.join(f'{c} string' for c in TRIPLE)}, n bigint, enough boolean")
     whole = F.lit(True)
     for c in need:
         whole = whole & quoted(c).isNotNull()

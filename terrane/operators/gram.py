@@ -49,7 +49,8 @@ def blocks_of(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         if batch.num_rows:
             columns = [c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[2:]]
-            yield (np.column_stack(columns), batch.column(0).to_numpy(zero_copy_only=False),
+            values = np.column_stack(columns) if columns else np.empty((batch.num_rows, 0))
+            yield (values, batch.column(0).to_numpy(zero_copy_only=False),
                    batch.column(1).to_numpy(zero_copy_only=False))
 
 

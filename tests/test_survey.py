@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrane.operators import comparison, features, gram, levels
+from terrane.operators import comparison, factors, features, gram, levels
 from terrane.operators.folds import train_rows
 
 SETS = [(("a", "b"), "z"), (("a", "c"), "z"), (("b", "c"), "y"), (("a", "rare"), "z"),
@@ -91,6 +91,14 @@ def test_best_models(table):
 def test_unknown_regressor(table):
     with pytest.raises(ValueError, match="other"):
         comparison.survey(table, SETS, ["key"], ("lr", "other"))
+    with pytest.raises(ValueError, match="no factor sets"):
+        comparison.survey(table, [], ["key"])
+
+
+def test_guard_of_no_triples(table):
+    guard = factors.row_guard(table, [])
+    assert guard.columns == ["x_factor", "y_factor", "z_factor", "n", "enough"]
+    assert guard.count() == 0
 
 
 def moments(data):
