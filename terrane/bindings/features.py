@@ -139,8 +139,9 @@ def _wide_sql(subtype: str, individual: bool) -> str:
     specimens = """
 specimens AS (SELECT DISTINCT identifier, ag_cdc_id, ag_isolate_id FROM long
               WHERE kind = 'titer'),
-rows AS (SELECT b.*, ag_cdc_id, ag_isolate_id FROM base b LEFT JOIN specimens s
-         ON s.identifier = b.variant_hash),""" if individual else "rows AS (FROM base),"
+rows AS (SELECT b.*, ag_cdc_id, ag_isolate_id, row_number() OVER () AS number
+         FROM base b LEFT JOIN specimens s ON s.identifier = b.variant_hash),""" \
+        if individual else "rows AS (SELECT *, row_number() OVER () AS number FROM base),"
     same = ("AND (kind = 'structure' OR (o.ag_cdc_id = r.ag_cdc_id "
             "AND o.ag_isolate_id = r.ag_isolate_id))" if individual else "")
     return f"""
@@ -171,8 +172,8 @@ own AS (SELECT * FROM long WHERE regexp_matches(feature, '{mark}(_|\\|)')),
 cells AS (
   SELECT r.*, o.feature, o.value FROM rows r
   FULL JOIN own o ON o.identifier = r.variant_hash {same})
-SELECT * FROM (PIVOT cells ON feature USING ROUND(AVG(value), 6)
-  GROUP BY {", ".join(BASE)}{keys}) WHERE subtype IS NOT NULL
+SELECT * EXCLUDE (number) FROM (PIVOT cells ON feature USING ROUND(AVG(value), 6)
+  GROUP BY {", ".join(BASE)}{keys}, number) WHERE subtype IS NOT NULL
 """
 
 

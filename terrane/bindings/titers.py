@@ -329,14 +329,15 @@ SPRING = dt.date(2000, 5, 10)
 
 
 def refresh_extracts(spark, sf):
-    """All extracts written to a folder and read back: rows and totals of their groups."""
+    """All extracts written to a folder and read back: rows and totals of their groups. A
+    seventh of a total is shown, as totals of halves may lie in the middle of two roundings."""
     root = f"{shared_dir(spark).rstrip('/')}/extracts-{uuid.uuid4().hex}"
     names = refreshing.refresh(warehouse(spark, sf), root, as_of=SPRING)
     parts = [
         spark.read.parquet(f"{root}/{name}").groupBy(F.expr(group).alias("part")).agg(
             F.count(F.lit(1)).alias("n"),
-            F.round(F.sum(F.expr(f"CAST({value} AS DOUBLE)")), 4).alias("total"))
-        .select(F.lit(name).alias("extract"), "part", "n", "total")
+            F.round(F.sum(F.expr(f"CAST({value} AS DOUBLE)")) / 7, 4).alias("seventh"))
+        .select(F.lit(name).alias("extract"), "part", "n", "seventh")
         for name, (group, value) in READ_BACK.items() if name in names
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -351,7 +352,8 @@ def _refresh_sql() -> str:
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS extract, {READ_BACK[name][0]} AS part, COUNT(*) AS n, "
-        f"ROUND(SUM(CAST({READ_BACK[name][1]} AS DOUBLE)), 4) AS total FROM {source} GROUP BY 2"
+        f"ROUND(SUM(CAST({READ_BACK[name][1]} AS DOUBLE)) / 7, 4) AS seventh "
+        f"FROM {source} GROUP BY 2"
         for name, source in sources.items())
 
 
