@@ -188,8 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The model of ``labels`` (doc_id, toxic) on the texts of ``docs`` (doc_id, text).
 
     Reads whole texts of at most ``max_rows`` labelled documents, of which near copies with the
-    same label, by verified similarity, count once. Null labels, labels of
-    unknown ids and null ids are passed over; without any toxic label nothing is toxic.
+    same label, by verified similarity, count once. Of an id with several texts, the one with
+    the least hash is read. Null labels, labels of unknown ids and null ids are passed over;
+    without any toxic label nothing is toxic.
     """
     sample = label_sample(labels, "toxic", max_rows)
 
@@ -201,7 +202,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 "pairs": pa.array(pairs, pa.list_(pa.int32())),
                 "marks": pa.array(map(least_hashes, pairs), pa.list_(pa.int64()))}
 
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # one text per id, so that repeated ids leave the rows as bounded as the labels
+    text = F.coalesce("text", F.lit(""))
+    known = docs.select("doc_id", text.alias("text")).join(
+        F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = arrow_map(
         known, counted,
         "words array<string>, counts array<int>, pairs array<int>, marks array<long>").select(
