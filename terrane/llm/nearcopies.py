@@ -1,5 +1,7 @@
 """Near copies: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more,
-found by SimHash and the anchors of a covering code, and verified on the sets.
+found by SimHash and the anchors of a covering code, and verified on the sets. What SimHash
+leaves apart is joined exactly, by the prefixes of the sets (``overlaps``), so every two texts
+at or above the limit are in one class.
 
 A SimHash of 256 bits over the shingles estimates the similarity: at 0.8 the cosine of two sets
 is about 0.89, so 39 bits differ on average, with a standard deviation of 6. Pairs with at most
@@ -12,7 +14,9 @@ edit changes five times less. Each of its eight halves of 64-bit words goes to a
 the perfect Hamming code of 31 bits within covering radius plus threshold, 1 + 1, so texts meet
 where a half differs in at most 1 bit; there they are compared on the bits of their shingles. An
 anchor does not return all its pairs, but those of a breadth-first search: each text with
-the first that reaches it. The README has the measured recall.
+the first that reaches it. Pairs that this misses, as their halves or fingerprints differ by
+more, or a pair of the search is no link, are those between two classes of SimHash. The join by
+prefixes returns all of these, and skips the pairs within a class.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from terrane.llm import overlaps
 from terrane.llm.common import arrow_map, packed, tasks, texts_of, unpacked
 from terrane.llm.components import components
 from terrane.llm.simhash import anchors
@@ -37,7 +42,6 @@ SEED = 42
 WIDTH = 4
 #: Differing bits of the 64 * WIDTH up to which pairs are links, and links if verified.
 FEW, MANY = 20, 46
-SIMILARITY = 0.8
 #: Fingerprints of one anchor that one task compares; larger groups are cut into blocks.
 CROWD = 20_000
 #: Groups up to this size are compared row by row together with others.
@@ -102,14 +106,27 @@ def _words(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], "<u8", WIDTH * len(column), start).reshape(-1, WIDTH)
 
 
+def shingles_of(text: str) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text."""
+    return hashes_of(text)[1]
+
+
+def name_of(shingles: np.ndarray) -> int:
+    """A signed 64-bit number that names a set of shingles."""
+    found = xxh64_intdigest(shingles.tobytes(), SEED)
+    return found - (found >> 63 << 64)
+
+
 def with_prints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with binary fingerprints ``w`` (words) and ``f`` (shingles); null is empty."""
+    """``docs`` with binary fingerprints ``w`` (words) and ``f`` (shingles), and ``id``, the
+    name of the set of shingles; null is empty."""
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        both = [prints_of(x) for x in texts_of(batch, text)]
-        return {"w": _binary(np.array([w for w, _ in both]).reshape(-1, WIDTH)),
-                "f": _binary(np.array([f for _, f in both]).reshape(-1, WIDTH))}
+        sets = [hashes_of(x) for x in texts_of(batch, text)]
+        return {"w": _binary(np.array([_majority(w) for w, _ in sets]).reshape(-1, WIDTH)),
+                "f": _binary(np.array([_majority(s) for _, s in sets]).reshape(-1, WIDTH)),
+                "id": pa.array([name_of(s) for _, s in sets], pa.int64())}
 
-    return arrow_map(docs, run, "w binary, f binary")
+    return arrow_map(docs, run, "w binary, f binary, id long")
 
 
 def at_anchors(prints: DataFrame) -> DataFrame:
@@ -234,31 +251,31 @@ def candidates(prints: DataFrame) -> DataFrame:
 def with_sets(docs: DataFrame) -> DataFrame:
     """``docs`` (text and others) with ``s``, the hashes of the shingles."""
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        sets = [hashes_of(x)[1].view(np.int64) for x in texts_of(batch)]
+        sets = [shingles_of(x).view(np.int64) for x in texts_of(batch)]
         return {"s": pa.array(sets, pa.list_(pa.int64()))}
 
     return arrow_map(docs, run, "s array<long>")
 
 
 def verified(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of fingerprints whose sets are similar. ``first`` (f, doc_id, h) names a row
-    of ``docs`` for each f, by id and hash of the text."""
-    needed = pairs.select(F.col("a").alias("f")).union(pairs.select("b")).distinct()
+    """Pairs (a, b) of names whose sets are similar. ``first`` (name, doc_id, h) has a row of
+    ``docs`` for each name, by id and hash of the text."""
+    needed = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
     texts = (
         docs.select(F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_h"))
-        .join(written(first.join(needed, "f"), "needed"), F.expr("_id <=> doc_id and _h = h"))
-        .select("f", "text"))
-    sets = written(with_sets(texts).select("f", "s").dropDuplicates(["f"]), "sets")
+        .join(written(first.join(needed, "name"), "needed"), F.expr("_id <=> doc_id and _h = h"))
+        .select("name", "text"))
+    sets = written(with_sets(texts).select("name", "s").dropDuplicates(["name"]), "sets")
     both = (
-        pairs.join(sets.select(F.col("f").alias("a"), F.col("s").alias("sa")), "a")
-        .join(sets.select(F.col("f").alias("b"), F.col("s").alias("sb")), "b"))
+        pairs.join(sets.select(F.col("name").alias("a"), F.col("s").alias("sa")), "a")
+        .join(sets.select(F.col("name").alias("b"), F.col("s").alias("sb")), "b"))
     either = F.size("sa") + F.size("sb") - F.col("shared")
     return both.withColumn("shared", F.size(F.array_intersect("sa", "sb"))).where(
-        F.col("shared") >= SIMILARITY * either).select("a", "b")
+        overlaps.UNDER * F.col("shared") >= overlaps.OVER * either).select("a", "b")
 
 
 def classes(prints: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
-    """(f, root) of every f in ``prints`` (w, f): the class of near copies it belongs to.
+    """(f, root) of every f in ``prints`` (w, f): the class that SimHash finds for it, an f.
     ``first`` and ``docs`` are those of ``verified``."""
     pairs = candidates(prints)
     links = pairs.where(F.col("bits") <= FEW).select("a", "b").union(
@@ -268,6 +285,28 @@ def classes(prints: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
         "f", F.coalesce("root", "f").alias("root"))
 
 
+def links_between(roots: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of ``roots`` (id, root; both numbers), such that sets
+    are similar only within what they join. ``first`` (id, doc_id, h) is as for ``verified``.
+    """
+    found = overlaps.prefixes(docs, shingles_of, name_of, overlaps.cells(docs, shingles_of))
+    sets = written(found.dropDuplicates(["id"]).join(roots, "id"), "prefixes")
+    rows = sets.select("id", "root", "size", F.posexplode("keys").alias("place", "key")).select(
+        "key", "id", "root", "size", F.col("place").cast("long").alias("place"))
+    met = written(overlaps.meet(rows), "met")
+    pairs, crowded = met.where("n = 0"), met.where("n > 0")
+    if not crowded.isEmpty():
+        pairs = pairs.union(overlaps.meet(overlaps.blocks(crowded)).where("n = 0"))
+    pairs = pairs.where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = written(overlaps.thinned(pairs, sets), "near")
+    similar = verified(near, first.withColumnRenamed("id", "name"), docs)
+    return (
+        similar.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a")
+        .join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
+        .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each class of near copies: that of the smallest doc_id (null
     last). Of rows with the same id and text one stays.
@@ -276,14 +315,22 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     table gives an empty one.
     """
     key = [F.col("doc_id"), F.xxhash64("text").alias("h")]
-    rows = written(with_prints(docs.select("doc_id", "text")).select(*key, "w", "f"), "prints")
+    rows = written(
+        with_prints(docs.select("doc_id", "text")).select(*key, "w", "f", "id"), "prints")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
-    per_print = rows.groupBy("f").agg(F.min(first).alias("first"))
-    per_print = written(per_print, "first-rows")
+    per_set = written(rows.groupBy("id").agg(
+        F.min("f").alias("f"), F.min(first).alias("first")), "first-rows")
+    per_print = per_set.groupBy("f").agg(F.min("first").alias("first"))
     distinct = written(rows.select("w", "f").distinct(), "distinct-prints")
-    kept = per_print.join(classes(
-        distinct, per_print.select("f", "first.doc_id", "first.h"), docs), "f").groupBy("root").agg(
-        F.min("first").alias("first"))
+    found = classes(distinct, per_print.select(
+        F.col("f").alias("name"), "first.doc_id", "first.h"), docs)
+    roots = written(
+        per_set.join(found, "f").select("id", F.xxhash64("root").alias("root"), "first"), "roots")
+    joined_to = components(links_between(
+        roots.select("id", "root"), per_set.select("id", "first.doc_id", "first.h"), docs))
+    kept = roots.join(joined_to.select("node", F.col("root").alias("to")),
+                      F.col("root") == F.col("node"), "left").groupBy(
+        F.coalesce("to", "root").alias("root")).agg(F.min("first").alias("first"))
     again = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
     kept = written(
         kept.select("root", "first.doc_id", "first.h").alias("k")
