@@ -20,6 +20,9 @@ TITER_TABLES = [
     "variants_filtered", "relaxed_structural_distance",
 ]
 
+# The summaries join several alignments to an isolate, whose copies weigh its tests.
+SHARED = {"alignments": "shared_alignments"}
+
 # Tests after all joins and filters, rows multiplied as the joins multiply them.
 # The two rule sets are flags, so one pass gives both.
 ELIGIBLE = """
@@ -115,7 +118,7 @@ protein_values AS (
 """
 
 
-def _summary_sql(dedupe: bool, digits: int = 6) -> str:
+def _summary_sql(dedupe: bool, digits: int = 6, **other: str) -> str:
     distances = (
         "(SELECT DISTINCT variant_hash FROM relaxed_structural_distance "
         "WHERE subtype IN ('B', 'H1', 'H3'))"
@@ -132,7 +135,7 @@ def _summary_sql(dedupe: bool, digits: int = 6) -> str:
   FROM {values} v JOIN {distances} d ON d.variant_hash = v.ag_variant_hash
   GROUP BY subtype, test_protocol, sr_variant_hash, lot, ag_variant_hash"""
     return (
-        f"WITH {ctes(*TITER_TABLES)},{ELIGIBLE},{ISOLATE_VALUES}"
+        f"WITH {ctes(*TITER_TABLES, **other)},{ELIGIBLE},{ISOLATE_VALUES}"
         + part.format(label="lot", values="lot_values", distances=distances, digits=digits)
         + "\n  UNION"
         + part.format(label="ha_protein", values="protein_values", distances=distances,
@@ -140,7 +143,7 @@ def _summary_sql(dedupe: bool, digits: int = 6) -> str:
     )
 
 
-def _individual_sql(digits: int = 6) -> str:
+def _individual_sql(digits: int = 6, **other: str) -> str:
     part = """
   SELECT subtype, test_protocol, sr_variant_hash, lot, '{label}' AS aggregation,
          ag_variant_hash AS identifier, ag_cdc_id, ag_isolate_id,
@@ -148,7 +151,7 @@ def _individual_sql(digits: int = 6) -> str:
   FROM {values} WHERE ag_variant_hash IN (
     SELECT variant_hash FROM relaxed_structural_distance WHERE subtype IN ('B', 'H1', 'H3'))"""
     return (
-        f"WITH {ctes(*TITER_TABLES)},{ELIGIBLE},{ISOLATE_VALUES}"
+        f"WITH {ctes(*TITER_TABLES, **other)},{ELIGIBLE},{ISOLATE_VALUES}"
         + part.format(label="lot", values="lot_values", digits=digits)
         + "\n  UNION ALL"
         + part.format(label="ha_protein", values="protein_values", digits=digits)
@@ -163,19 +166,19 @@ LOGFOLD = ["min_logfold", "max_logfold", "avg_logfold", "sd_logfold"]
 
 
 def titer_summary(spark, sf):
-    return _rounded(titers.titer_summary(warehouse(spark, sf)), LOGFOLD)
+    return _rounded(titers.titer_summary(warehouse(spark, sf, **SHARED)), LOGFOLD)
 
 
 def titer_summary_deduped(spark, sf):
-    return _rounded(titers.titer_summary(warehouse(spark, sf), dedupe=True), LOGFOLD)
+    return _rounded(titers.titer_summary(warehouse(spark, sf, **SHARED), dedupe=True), LOGFOLD)
 
 
 def individual_summary(spark, sf):
-    return _rounded(titers.individual_summary(warehouse(spark, sf)), ["avg_logfold"])
+    return _rounded(titers.individual_summary(warehouse(spark, sf, **SHARED)), ["avg_logfold"])
 
 
 def eligible_tests(spark, sf):
-    tests = eligibility.eligible_tests(warehouse(spark, sf))
+    tests = eligibility.eligible_tests(warehouse(spark, sf, **SHARED))
     return (
         tests.groupBy("subtype", "test_protocol", "rule1", "rule2")
         .agg(F.sum("weight").cast("bigint").alias("n"),
@@ -184,7 +187,7 @@ def eligible_tests(spark, sf):
 
 
 ELIGIBLE_SQL = f"""
-WITH {ctes(*TITER_TABLES)},{ELIGIBLE},
+WITH {ctes(*TITER_TABLES, **SHARED)},{ELIGIBLE},
 -- joins to lots copy rows; one lot row per lot keeps the copies by sequenced isolate only
 lot_rows AS (SELECT lot, COUNT(*) AS k FROM archive_serum_ref WHERE NOT egg_vaccine GROUP BY lot)
 SELECT subtype, test_protocol, rule1, rule2, CAST(ROUND(SUM(1.0 / k)) AS BIGINT) AS n,
@@ -375,9 +378,9 @@ QUERIES = {
 }
 
 ORACLES = {
-    "titer_summary": _summary_sql(False),
-    "titer_summary_deduped": _summary_sql(True),
-    "individual_summary": _individual_sql(),
+    "titer_summary": _summary_sql(False, **SHARED),
+    "titer_summary_deduped": _summary_sql(True, **SHARED),
+    "individual_summary": _individual_sql(**SHARED),
     "eligible_tests": ELIGIBLE_SQL,
     "species_class": SPECIES_SQL,
     "ambiguity_count": AMBIGUITY_SQL,
