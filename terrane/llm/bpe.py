@@ -26,7 +26,8 @@ from terrane.llm.common import arrow_map, texts_of
 
 # Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces and pairs that a task remembers; beyond it, the memory is cleared.
+#: Pieces and pairs that a task remembers. Beyond half of it, pieces not met since the last time
+#: are forgotten; beyond it, the pairs.
 MEMORY = 150_000
 
 
@@ -88,14 +89,6 @@ class Vocabulary:
             self.joined[a, b] = ab
             self.left[ab], self.right[ab] = a, b
         self.stands: dict[tuple[int, int], bool] = {}
-        back = {x: b for b, x in enumerate(letters)}
-        spelled = [b""] * size
-        for text, i in self.ids.items():
-            spelled[i] = bytes(map(back.__getitem__, text))
-        for text, i in self.special.items():
-            spelled[i] = text.encode()
-        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in spelled])])
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging leaves the border between the tokens ``a`` and ``b`` alone."""
@@ -159,27 +152,50 @@ class Vocabulary:
                 at -= length[token]
         return taken
 
-    def decode(self, ids: np.ndarray) -> bytes:
+
+class Spellings:
+    """Bytes of all tokens of a vocabulary file, one after the other, and where each begins.
+    Tasks that only decode need no more."""
+
+    def __init__(self, content: str):
+        file = json.loads(content)
+        ids = file["model"]["vocab"]
+        special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        back = {x: b for b, x in enumerate(byte_letters())}
+        spelled = [b""] * (max([*ids.values(), *special.values()]) + 1)
+        for text, i in ids.items():
+            spelled[i] = bytes(map(back.__getitem__, text))
+        for text, i in special.items():
+            spelled[i] = text.encode()
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in spelled])])
+
+    def decode(self, packed: bytes) -> str:
+        ids = np.frombuffer(packed, "<u4")
         starts = self.offsets[ids]
         sizes = self.offsets[ids + 1] - starts
         ends = np.cumsum(sizes)
         if not len(ends):
-            return b""
+            return ""
         index = np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
-        return self.bytes[index].tobytes()
+        return self.bytes[index].tobytes().decode("utf-8", "replace")
 
 
 class Pieces(dict):
-    """Ids of the pieces met so far."""
+    """Ids of the pieces met lately. ``older`` has those met before them, and gives back what is
+    met again, so that frequent pieces stay."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.vocabulary.encode_piece(piece)
+        found = self.older.get(piece)
+        if found is None:
+            found = self.vocabulary.encode_piece(piece)
         if len(piece) <= 64:
-            if len(self) >= MEMORY:
+            if len(self) >= MEMORY // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = found
         return found
@@ -187,7 +203,7 @@ class Pieces(dict):
 
 class Encoder:
     def __init__(self, content: str):
-        self.vocabulary = Vocabulary(content)
+        self.content, self.vocabulary = content, Vocabulary(content)
         self.pieces = Pieces(self.vocabulary)
         self.cut, self.cut_latin = regex.compile(PIECES), latin_pieces()
 
@@ -209,7 +225,7 @@ class Encoder:
             for part in self.vocabulary.cut_special.split(text))
 
     def decode(self, ids: bytes) -> str:
-        return self.vocabulary.decode(np.frombuffer(ids, "<u4")).decode("utf-8", "replace")
+        return spellings(self.content).decode(ids)
 
 
 @lru_cache(maxsize=2)
@@ -217,6 +233,11 @@ def encoder(content: str) -> Encoder:
     return Encoder(content)
 
 
+@lru_cache(maxsize=2)
+def spellings(content: str) -> Spellings:
+    return Spellings(content)
+
+
 def _content(docs: DataFrame, path: str):
     """The vocabulary file, about 1.5 MB whatever the data, for all executors."""
     with open(path, encoding="utf-8") as file:
@@ -243,8 +264,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     UTF-8 become replacement characters."""
     content = _content(df, path)
 
-    def run(batch: pa.RecordBatch, own: Encoder) -> dict[str, pa.Array]:
+    def run(batch: pa.RecordBatch, own: Spellings) -> dict[str, pa.Array]:
         return {out: pa.array([own.decode(x or b"") for x in batch.column(ids).to_pylist()],
                               pa.string())}
 
-    return arrow_map(df, run, f"`{out}` string", lambda: encoder(content.value))
+    return arrow_map(df, run, f"`{out}` string", lambda: spellings(content.value))

@@ -61,3 +61,14 @@ def test_query_against_library(spark):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(doc["text"].encode()).hexdigest()
+
+
+def test_frequent_pieces_are_encoded_once(both, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 40)
+    pieces, met = bpe.Pieces(both[0].vocabulary), []
+    encode = both[0].vocabulary.encode_piece
+    monkeypatch.setattr(both[0].vocabulary, "encode_piece", lambda p: met.append(p) or encode(p))
+    for i in range(300):
+        assert pieces[" the"] == encode(" the") and pieces[f"x{i}"] == encode(f"x{i}")
+        assert len(pieces) + len(pieces.older) <= 40
+    assert met.count(" the") == 1
