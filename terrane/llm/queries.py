@@ -11,6 +11,7 @@ from terrane.llm import (
     topk, toxicity, word_lm,
 )
 from terrane.llm.common import table
+from terrane.session import written
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return word_lm.score(docs, word_lm.fit(docs))
+    rows = written(word_lm.tokenized(docs).select("doc_id", "tokens"), "tokens")
+    return word_lm.score_tokens(rows, word_lm.fit_tokens(rows))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,9 @@ COMMON = 50_000
 #: Occurrences that an unseen word of a leaf counts for, and every seen one has on top.
 EXTRA = 0.5
 MEMORY = 200_000
-CHUNK = 1 << 13
+#: Words that one product scores, and upper levels of the tree in a product: in training, scoring.
+CHUNK = 1 << 12
+TOP, CHUNK_TOP = 5, 6
 
 
 class Hashes(dict):
@@ -109,67 +111,143 @@ def _unpack(packed: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _hidden(net: list[np.ndarray], context: np.ndarray) -> np.ndarray:
-    total = np.repeat(net[2][None], len(context), axis=0)
-    for j in range(len(AROUND)):
-        total += net[0][context[:, j]] @ net[1][j]
-    return np.tanh(total)
+def _line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of the words of some documents in one line, with two empty places before, between,
+    and after the documents, and the places of the words."""
+    gap = np.full(2, EDGE, np.int16)
+    line = np.concatenate([gap, *[x for c in texts for x in (leaves(c).astype(np.int16), gap)]])
+    return line, np.flatnonzero(line != EDGE)
 
 
-def _path(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes from the root to each leaf (n, BITS), and the turns taken there, 1 or -1."""
-    level = np.arange(BITS)
-    nodes = (1 << level) | (leaf[:, None] >> (BITS - level))
-    turns = ((leaf[:, None] >> (BITS - 1 - level)) & 1) * 2 - 1
-    return nodes, turns.astype(np.float32)
+def _span(line: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The part of a line from the first to the last of the places ``at``, and two on each side."""
+    return line[at[0] - 2:at[-1] + 3]
 
 
-def _log_chances(net: list[np.ndarray], hidden: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    nodes, turns = _path(leaf)
-    logits = np.einsum("nbh,nh->nb", net[3][nodes], hidden) + net[4][nodes]
-    return -np.logaddexp(0, -turns * logits).sum(axis=1, dtype=float)
+def _hidden(net: list[np.ndarray], words: np.ndarray) -> np.ndarray:
+    """Hidden states of a span whose places have the vectors ``words``, without the outer two."""
+    n = len(words) - 4
+    total = np.repeat(net[2][None], n, axis=0)
+    for j, place in zip(AROUND, net[1], strict=True):
+        total += words[2 + j:2 + j + n] @ place
+    return np.tanh(total, out=total)
 
 
-def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts (n, 4) and targets (n,) of all words of some documents, as leaves."""
-    gap = np.full(2, EDGE, np.int32)
-    line = np.concatenate([gap, *[x for c in texts for x in (leaves(c), gap)]])
-    at = np.flatnonzero(line != EDGE)
-    return np.stack([line[at + j] for j in AROUND], axis=1), line[at]
+class Paths:
+    """The paths to sorted leaves, for products without a copy of a node per word.
 
+    The upper ``top`` levels are one dense product. Below them, leaves of one branch share no
+    node with the others, so each branch is a small dense product of its words and its distinct
+    nodes. ``high`` and ``low`` say where each word's own nodes are in these products, ``bits``
+    the turns taken there. The products of the branches stand one after the other.
+    """
+
+    def __init__(self, leaf: np.ndarray, top: int):
+        n, level = len(leaf), np.arange(BITS, dtype=np.int32)[:, None]
+        leaf = leaf.astype(np.int32)
+        path = (leaf >> (BITS - level)) | (1 << level)
+        self.bits = (leaf >> (BITS - 1 - level)) & 1
+        self.top = top
+        self.high = path[:top] + (np.arange(n) << top)
+        path = path[top:]
+        first = np.ones(path.shape, bool)
+        np.not_equal(path[:, 1:], path[:, :-1], out=first[:, 1:])
+        starts = np.flatnonzero(first[0])
+        ends = np.append(starts[1:], n)
+        rank = first.cumsum(axis=1, dtype=np.int32)
+        before = rank[:, starts]  # nodes are numbered by branch, then level
+        counts = np.diff(before, axis=1, append=rank[:, -1:] + 1).T
+        upto = counts.ravel().cumsum()
+        begins = (upto - counts.ravel()).reshape(counts.shape)
+        rank += np.repeat(begins.T - before, ends - starts, axis=1).astype(np.int32)
+        self.nodes = np.empty(upto[-1], np.intp)
+        self.nodes[rank[first]] = path[first]
+        begin, stop = begins[:, 0], upto[counts.shape[1] - 1::counts.shape[1]]
+        kinds = stop - begin
+        corners = ((ends - starts) * kinds).cumsum()
+        self.size = int(corners[-1])
+        corner = corners - (ends - starts) * kinds
+        row = np.repeat(corner - begin - starts * kinds, ends - starts)
+        self.low = rank + (row + np.arange(n) * np.repeat(kinds, ends - starts))
+        self.branches = list(zip(*(x.tolist() for x in (
+            starts, ends, begin, stop, corner, corners)), strict=True))
+
+    def parts(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, slice, slice]]:
+        """The product of each branch in ``flat``, its words, and its nodes."""
+        for a, b, i, j, at, end in self.branches:
+            yield flat[at:end].reshape(b - a, j - i), slice(a, b), slice(i, j)
+
+    def logits(self, tree: np.ndarray, own: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+        """Logits (BITS, n). ``own``: rows of ``tree`` of the distinct nodes; the last column of
+        both is the base, that of ``hidden`` 1."""
+        flat = np.empty(self.size, np.float32)
+        for part, words, nodes in self.parts(flat):
+            np.matmul(hidden[words], own[nodes].T, out=part)
+        found = np.empty(self.bits.shape, np.float32)
+        found[:self.top] = (hidden @ tree[:1 << self.top].T).ravel().take(self.high)
+        found[self.top:] = flat.take(self.low)
+        return found
 
-def _sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers of the sorted ``at``, and the sums of their rows of ``values``."""
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return at[starts], np.add.reduceat(values, starts, axis=0)
+    def slopes(self, tree: np.ndarray, own: np.ndarray, hidden: np.ndarray,
+               error: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slopes of the hidden states, of the upper nodes, and of the distinct nodes below."""
+        upper = np.zeros((len(hidden), 1 << self.top), np.float32)
+        upper.ravel()[self.high] = error[:self.top]
+        flat = np.zeros(self.size, np.float32)
+        flat[self.low] = error[self.top:]
+        back, to_own = np.empty_like(hidden), np.empty_like(own)
+        for part, words, nodes in self.parts(flat):
+            np.matmul(part, own[nodes], out=back[words])
+            np.matmul(part.T, hidden[words], out=to_own[nodes])
+        back += upper @ tree[:1 << self.top]
+        return back[:, :HIDDEN], upper.T @ hidden, to_own
+
+
+def _sorted(span: np.ndarray, hidden: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ``n`` words of a span by leaf, and their hidden states with a last 1."""
+    order = np.argsort(span[2:-2], kind="stable")[:n]  # empty places come last
+    out = np.ones((n, HIDDEN + 1), np.float32)
+    out[:, :HIDDEN] = hidden.take(order, axis=0)
+    return order, out
 
 
 def _step(param: np.ndarray, seen: np.ndarray, at, slope: np.ndarray) -> None:
     """One Adagrad step on the rows ``at``."""
-    seen[at] += slope * slope
-    param[at] -= SPEED * slope / np.sqrt(seen[at])
-
-
-def _train(net: list[np.ndarray], seen: list[np.ndarray], context: np.ndarray,
-           leaf: np.ndarray) -> None:
-    """One step on a batch, in place. ``seen`` has the squared slopes so far."""
-    order = np.argsort(leaf, kind="stable")  # level by level, nodes are sorted like leaves
-    context, leaf = context[order], leaf[order]
-    hidden = _hidden(net, context)
-    nodes, turns = _path(leaf)
-    vectors = net[3][nodes]
-    logits = np.einsum("nbh,nh->nb", vectors, hidden) + net[4][nodes]
-    error = -turns / (1 + np.exp(np.clip(turns * logits, -50, 50))) / len(leaf)
-    back = np.einsum("nb,nbh->nh", error, vectors) * (1 - hidden * hidden)
-    at, bases = _sums(nodes.T.ravel(), error.T.ravel())
-    _, sums = _sums(nodes.T.ravel(), (error.T[:, :, None] * hidden).reshape(-1, HIDDEN))
-    places = np.stack([net[0][context[:, j]].T @ back for j in range(len(AROUND))])
-    to_words = np.concatenate([back @ net[1][j].T for j in range(len(AROUND))])
-    order = np.argsort(context.T.ravel(), kind="stable")
-    words, word_sums = _sums(context.T.ravel()[order], to_words[order])
-    _step(net[3], seen[3], at, sums)
-    _step(net[4], seen[4], at, bases)
-    _step(net[0], seen[0], words, word_sums)
+    total = slope * slope
+    total += seen[at]
+    seen[at] = total
+    np.sqrt(total, out=total)
+    slope = np.divide(slope, total, out=total)
+    slope *= SPEED
+    param[at] -= slope
+
+
+def _train(net: list[np.ndarray], seen: list[np.ndarray], span: np.ndarray, n: int) -> None:
+    """One step on the ``n`` words of a span, in place. ``net`` has the tree's bases as a last
+    column of its vectors, ``seen`` the squared slopes so far."""
+    words, tree = net[0].take(span, axis=0), net[3]
+    order, hidden = _sorted(span, _hidden(net, words), n)
+    paths = Paths(span[2:-2][order], TOP)
+    own = tree.take(paths.nodes, axis=0)
+    error = np.clip(paths.logits(tree, own, hidden), -50, 50)
+    error = 1 / (1 + np.exp(-error)) - paths.bits.astype(np.float32)
+    error /= n
+    back, to_upper, to_own = paths.slopes(tree, own, hidden, error)
+    back = back * (1 - hidden[:, :HIDDEN] ** 2)
+    placed = np.zeros((len(span) - 4, HIDDEN), np.float32)
+    placed[order] = back
+    to_words, places = np.zeros_like(words), np.empty_like(net[1])
+    for j, at in enumerate(AROUND):
+        seen_by = slice(2 + at, 2 + at + len(placed))
+        np.matmul(words[seen_by].T, placed, out=places[j])
+        to_words[seen_by] += placed @ net[1][j].T
+    order = np.argsort(span, kind="stable")
+    span = span[order]
+    starts = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
+    to_words = np.add.reduceat(to_words.take(order, axis=0), starts, axis=0)
+    _step(tree, seen[3], paths.nodes, to_own)
+    _step(tree, seen[3], slice(1, 1 << TOP), to_upper[1:])
+    _step(net[0], seen[0], span[starts], to_words)
     _step(net[1], seen[1], slice(None), places)
     _step(net[2], seen[2], slice(None), back.sum(0))
 
@@ -180,16 +258,19 @@ def _round(rows: DataFrame, net: list[np.ndarray]) -> tuple[list[np.ndarray], in
     shared = rows.sparkSession.sparkContext.broadcast(net)  # about 4 MB
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [x.copy() for x in shared.value]
+        *own, vectors, bases = (x.copy() for x in shared.value)
+        own.append(np.column_stack([vectors, bases]))
         seen = [np.full_like(x, 1e-6) for x in own]
         total = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 texts = batch.column("tokens").slice(at, 256).to_pylist()
-                context, leaf = _windows([np.frombuffer(x, "<i8") for x in texts])
-                for i in range(0, len(leaf), BATCH):
-                    _train(own, seen, context[i:i + BATCH], leaf[i:i + BATCH])
-                total += len(leaf)
+                line, places = _line([np.frombuffer(x, "<i8") for x in texts])
+                for i in range(0, len(places), BATCH):
+                    some = places[i:i + BATCH]
+                    _train(own, seen, _span(line, some), len(some))
+                total += len(places)
+        own[3:] = own[3][:, :HIDDEN], own[3][:, HIDDEN]
         yield pa.RecordBatch.from_arrays(
             [pa.array([float(total)]), pa.array([_pack(own)])], names=["n", "net"])
 
@@ -234,7 +315,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> Model:
     """The model of all texts of ``docs``. Its network does not grow with the data, its word
     table does."""
-    rows = written(tokenized(docs.select("text")).select("tokens"), "tokens")
+    return fit_tokens(written(tokenized(docs.select("text")).select("tokens"), "tokens"), rounds)
+
+
+def fit_tokens(rows: DataFrame, rounds: int = ROUNDS) -> Model:
+    """``fit`` on a written table of ``tokenized`` documents."""
     words = written(word_counts(rows), "words")
     leaf = F.shiftrightunsigned("word", 64 - BITS)
     per_leaf = words.groupBy(leaf.cast("int").alias("leaf")).agg(
@@ -258,11 +343,19 @@ def log_likelihoods(net: list[np.ndarray], mass: np.ndarray,
     sizes = np.array([len(x) for x in texts], np.int64)
     if not sizes.sum():
         return np.zeros(len(texts))
-    context, leaf = _windows(texts)
-    found = -np.log(mass)[leaf]
-    for at in range(0, len(leaf), CHUNK):
-        part = slice(at, at + CHUNK)
-        found[part] += _log_chances(net, _hidden(net, context[part]), leaf[part])
+    line, places = _line(texts)
+    tree = np.column_stack([net[3], net[4]])
+    found = -np.log(mass)[line[places]]
+    for at in range(0, len(places), CHUNK):
+        some = places[at:at + CHUNK]
+        span = _span(line, some)
+        order, hidden = _sorted(span, _hidden(net, net[0].take(span, axis=0)), len(some))
+        paths = Paths(span[2:-2][order], CHUNK_TOP)
+        turned = paths.logits(tree, tree.take(paths.nodes, axis=0), hidden)
+        turned *= (1 - 2 * paths.bits).astype(np.float32)
+        lost = np.maximum(turned, 0) + np.log(1 + np.exp(-np.abs(turned)))
+        words = np.searchsorted(some, order + some[0])
+        found[at + words] -= lost.sum(axis=0, dtype=float)
     sums = np.zeros(len(texts))
     some = np.flatnonzero(sizes)
     sums[some] = np.add.reduceat(found, (np.cumsum(sizes) - sizes)[some])
@@ -276,12 +369,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     each; an empty table gives an empty one. Words that the model has not seen count as the
     unseen word of their leaf.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(  # about 5 MB
+    return score_tokens(tokenized(docs.select("doc_id", "text")), model)
+
+
+def score_tokens(rows: DataFrame, model: Model) -> DataFrame:
+    """``score`` of ``tokenized`` documents (doc_id, tokens)."""
+    shared = rows.sparkSession.sparkContext.broadcast(  # about 5 MB
         (model.net, model.mass, model.common, model.common_n))
 
-    def run(batch: pa.RecordBatch, hashes: Hashes) -> dict[str, pa.Array]:
+    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         net, mass, common, common_n = shared.value
-        texts = [tokens(x, hashes) for x in texts_of(batch)]
+        texts = [np.frombuffer(x, "<i8") for x in batch.column("tokens").to_pylist()]
         sums = log_likelihoods(net, mass, texts)
         rare, times = [], []
         for i, ids in enumerate(texts):
@@ -296,8 +394,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 "times": pa.array(times, pa.list_(pa.int64()))}
 
     found = written(
-        arrow_map(docs.select("doc_id", "text"), run,
-                  "n_tokens long, most double, rare array<long>, times array<long>", Hashes)
+        arrow_map(rows.select("doc_id", "tokens"), run,
+                  "n_tokens long, most double, rare array<long>, times array<long>")
         .select(F.monotonically_increasing_id().alias("doc"), "doc_id", "n_tokens", "most",
                 "rare", "times"), "scored")
     rare = found.select("doc", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(

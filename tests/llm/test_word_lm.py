@@ -1,3 +1,4 @@
+import tracemalloc
 from zlib import crc32
 
 import numpy as np
@@ -85,3 +86,47 @@ def test_query_is_whole(spark):
     sf = "/root/testdata/sf0.001"
     assert queries.op4_lm(spark, sf).count() == spark.read.parquet(
         f"{sf}/documents.parquet").count()
+
+
+def test_a_step_follows_the_slopes_of_single_words():
+    rng = np.random.default_rng(4)
+    words = rng.integers(-2 ** 63, 2 ** 63 - 1, 60)
+    texts = [rng.choice(words[:n], m) for n, m in ((60, 150), (1, 1), (3, 40), (1, 9))]
+    line, places = lm._line(texts)
+    net = [rng.normal(0, 0.3, x.shape).astype(np.float32) for x in lm._start()]
+    slopes = [np.zeros(x.shape) for x in net]
+    for at in places:
+        around, leaf = [int(line[at + j]) for j in lm.AROUND], int(line[at])
+        hidden = np.tanh(net[2] + sum(net[0][w] @ net[1][k] for k, w in enumerate(around)))
+        back = np.zeros(lm.HIDDEN)
+        for level in range(lm.BITS):
+            node = 1 << level | leaf >> (lm.BITS - level)
+            error = 1 / (1 + np.exp(-hidden @ net[3][node] - net[4][node]))
+            error = (error - (leaf >> (lm.BITS - 1 - level) & 1)) / len(places)
+            slopes[3][node] += error * hidden
+            slopes[4][node] += error
+            back += error * net[3][node]
+        back *= 1 - hidden ** 2
+        slopes[2] += back
+        for k, w in enumerate(around):
+            slopes[1][k] += np.outer(net[0][w], back)
+            slopes[0][w] += net[1][k] @ back
+    own = [*(x.copy() for x in net[:3]), np.column_stack(net[3:])]
+    seen = [np.full_like(x, 1e-6) for x in own]
+    lm._train(own, seen, lm._span(line, places), len(places))
+    for old, new, slope in zip(
+            net, [*own[:3], own[3][:, :-1], own[3][:, -1]], slopes, strict=True):
+        assert np.allclose(new, old - lm.SPEED * slope / np.sqrt(slope ** 2 + 1e-6), atol=1e-4)
+
+
+def test_a_step_holds_no_vector_per_word_and_level():
+    rng = np.random.default_rng(5)
+    line, places = lm._line([rng.integers(-2 ** 63, 2 ** 63 - 1, 300)[rng.zipf(1.3, 1024) % 300]])
+    start = lm._start()
+    net = [*start[:3], np.column_stack(start[3:])]
+    seen = [np.full_like(x, 1e-6) for x in net]
+    tracemalloc.start()
+    lm._train(net, seen, lm._span(line, places), len(places))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 4 * lm.BITS * lm.HIDDEN * len(places)
