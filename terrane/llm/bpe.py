@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
@@ -26,9 +27,9 @@ from terrane.llm.common import arrow_map, texts_of
 
 # Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces and pairs that a task remembers. Beyond half of it, pieces not met since the last time
-#: are forgotten; beyond it, the pairs.
-MEMORY = 150_000
+#: Pieces and pairs that a task remembers. Beyond half of it, those not met since the last time
+#: are forgotten.
+MEMORY = 300_000
 
 
 def latin_pieces() -> re.Pattern:
@@ -52,6 +53,25 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+class Lately(dict):
+    """What ``make`` gives for the keys met lately, ``most`` of them. ``older`` has those met
+    before them, and gives back what is met again, so that frequent ones stay."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most // 2:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Vocabulary:
     """Tokens of a byte-level vocabulary file, whose ids follow the order of the merges."""
 
@@ -71,14 +91,13 @@ class Vocabulary:
         size = max([*self.ids.values(), *self.special.values()]) + 1
         self.letters = {b: x for b, x in enumerate(letters)}
         self.four = [i.to_bytes(4, "little") for i in range(size)]
-        self.tokens = [""] * size
         self.length, self.shorter = [0] * size, [-1] * size
         self.left, self.right = list(range(size)), list(range(size))
         self.joined: dict[tuple[int, int], int] = {}
         self.automaton = ahocorasick.Automaton()
         for text, i in self.ids.items():
             self.automaton.add_word(text, i)
-            self.length[i], self.tokens[i] = len(text), text
+            self.length[i] = len(text)
             self.shorter[i] = next(
                 (self.ids[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids),
                 -1)
@@ -88,12 +107,11 @@ class Vocabulary:
             a, b, ab = self.ids[a], self.ids[b], self.ids[a + b]
             self.joined[a, b] = ab
             self.left[ab], self.right[ab] = a, b
-        self.stands: dict[tuple[int, int], bool] = {}
+        self.size = size
+        self.stands = Lately(lambda pair: self.compatible(*divmod(pair, size)), MEMORY)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging leaves the border between the tokens ``a`` and ``b`` alone."""
-        if (known := self.stands.get((a, b))) is not None:
-            return known
         x, y, earliest, result = a, b, len(self.left), True
         while True:
             merged = self.joined.get((x, y))
@@ -109,9 +127,6 @@ class Vocabulary:
                 earliest, x = x, self.right[x]
             else:
                 earliest, y = y + 1, self.left[y]
-        if len(self.stands) >= MEMORY:
-            self.stands.clear()
-        self.stands[a, b] = result
         return result
 
     def encode_piece(self, piece: str) -> bytes:
@@ -119,38 +134,37 @@ class Vocabulary:
         text = piece.encode().decode("latin-1").translate(self.letters)
         if (whole := self.ids.get(text)) is not None:
             return self.four[whole]
-        taken = [i for _, i in self.automaton.iter_long(text)]
-        if "".join(map(self.tokens.__getitem__, taken)) == text and (
-                all(map(self.stands.get, zip(taken, taken[1:], strict=False)))
-                or all(map(self.compatible, taken, taken[1:]))):
-            return b"".join(map(self.four.__getitem__, taken))
         return b"".join(map(self.four.__getitem__, self.walk(text)))
 
     def walk(self, text: str) -> list[int]:
-        """Tokens of ``text`` whose neighbours are all compatible, found by going back."""
+        """Tokens of ``text`` whose neighbours are all compatible: the longest ones from the left,
+        and from where two are not, shorter ones and the longest after them."""
         size, length, shorter = len(text), self.length, self.shorter
-        longest = [0] * size
-        for end, i in self.automaton.iter(text):
-            longest[end + 1 - length[i]] = i  # ends grow, so the longest comes last
-        lost = bytearray(size + 1)
+        stands, ids, longest = self.stands.__getitem__, self.size, self.automaton.iter_long
+        lost: set[int] = set()
         taken: list[int] = []
-        stands, compatible = self.stands.get, self.compatible
-        at, token = 0, longest[0]
-        while at < size:
+        before, at = -1, 0
+        ahead = longest(text)
+        token = next(ahead)[1]
+        while True:
             end = at + length[token]
-            if not lost[end] and (
-                    not taken or (stands(pair) if (pair := (taken[-1], token)) in self.stands
-                                  else compatible(*pair))):
+            if end not in lost and (before < 0 or stands(before * ids + token)):
                 taken.append(token)
-                at = end
-                token = longest[at] if at < size else -1
-            elif shorter[token] >= 0:
-                token = shorter[token]
-            else:
-                lost[at] = 1
+                if end == size:
+                    return taken
+                before, at = token, end
+                if ahead is None:
+                    ahead = longest(text, at)
+                token = next(ahead)[1]
+                continue
+            ahead = None  # it goes on behind the token that does not stand here
+            token = shorter[token]
+            while token < 0:
+                lost.add(at)
                 token = taken.pop()
                 at -= length[token]
-        return taken
+                token = shorter[token]
+                before = taken[-1] if taken else -1
 
 
 class Spellings:
@@ -181,24 +195,14 @@ class Spellings:
         return self.bytes[index].tobytes().decode("utf-8", "replace")
 
 
-class Pieces(dict):
-    """Ids of the pieces met lately. ``older`` has those met before them, and gives back what is
-    met again, so that frequent pieces stay."""
+class Pieces(Lately):
+    """Ids of the pieces met lately."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary, self.older = vocabulary, {}
+        super().__init__(lambda piece: vocabulary.encode_piece(piece), MEMORY)
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:
-            found = self.vocabulary.encode_piece(piece)
-        if len(piece) <= 64:
-            if len(self) >= MEMORY // 2:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
+        return super().__missing__(piece) if len(piece) <= 64 else self.make(piece)
 
 
 class Encoder:

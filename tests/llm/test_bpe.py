@@ -72,3 +72,34 @@ def test_frequent_pieces_are_encoded_once(both, monkeypatch):
         assert pieces[" the"] == encode(" the") and pieces[f"x{i}"] == encode(f"x{i}")
         assert len(pieces) + len(pieces.older) <= 40
     assert met.count(" the") == 1
+
+
+def test_frequent_pairs_are_compared_once(both, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 60)
+    with open(PATH, encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    met, compatible = [], vocabulary.compatible
+    monkeypatch.setattr(vocabulary, "compatible",
+                        lambda a, b: met.append((a, b)) or compatible(a, b))
+    rng = random.Random(8)
+    pair = None
+    for _ in range(300):
+        frequent = vocabulary.walk("xqzj")
+        pair = pair or tuple(frequent[:2])
+        vocabulary.walk("".join(rng.choice("abcdehinorst") for _ in range(6)))
+        assert len(vocabulary.stands) + len(vocabulary.stands.older) <= 60
+    assert met.count(pair) == 1 and len(set(met)) > 120
+
+
+def test_going_back_matches_no_more_than_it_needs(both, monkeypatch):
+    vocabulary, made = both[0].vocabulary, []
+
+    class Counted:
+        def iter_long(self, *where, find=vocabulary.automaton.iter_long):
+            return (made.append(x) or x for x in find(*where))
+
+    text = "antherehesandeouldtionshing" * 4
+    taken = vocabulary.walk(text)
+    monkeypatch.setattr(vocabulary, "automaton", Counted())
+    assert vocabulary.walk(text) == taken == both[1].encode(text, add_special_tokens=False).ids
+    assert len(made) < 3 * len(taken)
