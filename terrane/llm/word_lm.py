@@ -13,6 +13,7 @@ from the same start, and their networks are averaged by examples, in steps of ``
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,9 +41,16 @@ COMMON = 50_000
 #: Occurrences that an unseen word of a leaf counts for, and every seen one has on top.
 EXTRA = 0.5
 MEMORY = 200_000
-#: Words that one product scores, and upper levels of the tree in a product: in training, scoring.
-CHUNK = 1 << 12
-TOP, CHUNK_TOP = 5, 6
+#: Parts of 1 in which logarithms of joined counts are summed, as whole numbers.
+POINT = 1 << 26
+#: Upper levels of the tree that are one product in training.
+TOP = 5
+#: Rows that a step changes at once, so that they stay in a processor's cache.
+STEP = 1024
+#: Words that are sorted by leaf to be scored, how many of them at once, and the levels of the
+#: tree in each product there.
+CHUNK, BLOCK = 1 << 16, 1 << 12
+TIERS = (5, 5, 4)
 
 
 class Hashes(dict):
@@ -127,79 +135,83 @@ def _span(line: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _hidden(net: list[np.ndarray], words: np.ndarray) -> np.ndarray:
     """Hidden states of a span whose places have the vectors ``words``, without the outer two."""
     n = len(words) - 4
-    total = np.repeat(net[2][None], n, axis=0)
-    for j, place in zip(AROUND, net[1], strict=True):
+    total = words[2 + AROUND[0]:2 + AROUND[0] + n] @ net[1][0]
+    for j, place in zip(AROUND[1:], net[1][1:], strict=True):
         total += words[2 + j:2 + j + n] @ place
+    total += net[2]
     return np.tanh(total, out=total)
 
 
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of equal values of a sorted array start, and their sizes."""
+    first = np.ones(len(values) + 1, bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:-1])
+    ends = first.nonzero()[0]
+    return ends[:-1], ends[1:] - ends[:-1]
+
+
 class Paths:
     """The paths to sorted leaves, for products without a copy of a node per word.
 
-    The upper ``top`` levels are one dense product. Below them, leaves of one branch share no
+    The upper ``TOP`` levels are one dense product. Below them, leaves of one branch share no
     node with the others, so each branch is a small dense product of its words and its distinct
     nodes. ``high`` and ``low`` say where each word's own nodes are in these products, ``bits``
-    the turns taken there. The products of the branches stand one after the other.
+    the turns taken there. The products of the branches stand one after the other in ``flat``.
     """
 
-    def __init__(self, leaf: np.ndarray, top: int):
-        n, level = len(leaf), np.arange(BITS, dtype=np.int32)[:, None]
-        leaf = leaf.astype(np.int32)
-        path = (leaf >> (BITS - level)) | (1 << level)
-        self.bits = (leaf >> (BITS - 1 - level)) & 1
-        self.top = top
-        self.high = path[:top] + (np.arange(n) << top)
-        path = path[top:]
+    def __init__(self, leaf: np.ndarray):
+        n, level = len(leaf), np.arange(BITS)[:, None]
+        self.bits = (leaf >> (BITS - 1 - level).astype(leaf.dtype)) & 1
+        leaf = leaf.astype(np.intp)
+        self.high = ((leaf | LEAVES) >> (BITS - level[:TOP])) + (np.arange(n) << TOP)
+        runs, times = _runs(leaf)  # all that follows up to ``low`` is for each distinct leaf
+        path = (leaf[runs] | LEAVES) >> (BITS - level[TOP:])
         first = np.ones(path.shape, bool)
         np.not_equal(path[:, 1:], path[:, :-1], out=first[:, 1:])
-        starts = np.flatnonzero(first[0])
-        ends = np.append(starts[1:], n)
-        rank = first.cumsum(axis=1, dtype=np.int32)
-        before = rank[:, starts]  # nodes are numbered by branch, then level
-        counts = np.diff(before, axis=1, append=rank[:, -1:] + 1).T
-        upto = counts.ravel().cumsum()
-        begins = (upto - counts.ravel()).reshape(counts.shape)
-        rank += np.repeat(begins.T - before, ends - starts, axis=1).astype(np.int32)
-        self.nodes = np.empty(upto[-1], np.intp)
-        self.nodes[rank[first]] = path[first]
-        begin, stop = begins[:, 0], upto[counts.shape[1] - 1::counts.shape[1]]
-        kinds = stop - begin
-        corners = ((ends - starts) * kinds).cumsum()
-        self.size = int(corners[-1])
-        corner = corners - (ends - starts) * kinds
-        row = np.repeat(corner - begin - starts * kinds, ends - starts)
-        self.low = rank + (row + np.arange(n) * np.repeat(kinds, ends - starts))
-        self.branches = list(zip(*(x.tolist() for x in (
-            starts, ends, begin, stop, corner, corners)), strict=True))
-
-    def parts(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, slice, slice]]:
-        """The product of each branch in ``flat``, its words, and its nodes."""
-        for a, b, i, j, at, end in self.branches:
-            yield flat[at:end].reshape(b - a, j - i), slice(a, b), slice(i, j)
+        by_leaf = np.ascontiguousarray(first.T)  # nodes are numbered by leaf, then level
+        self.nodes = path.T[by_leaf]
+        rank = (by_leaf.cumsum() - 1).reshape(by_leaf.shape).T * first
+        np.maximum.accumulate(rank, axis=1, out=rank)
+        heads = first[0].nonzero()[0]
+        starts, begin = np.append(runs[heads], n), np.append(rank[0, heads], len(self.nodes))
+        sizes, kinds = starts[1:] - starts[:-1], begin[1:] - begin[:-1]
+        corners = (sizes * kinds).cumsum()
+        kind = kinds.repeat(sizes)
+        row = np.arange(n) * kind
+        row += (corners - starts[1:] * kinds - begin[:-1]).repeat(sizes)
+        self.low = rank.repeat(times, axis=1)
+        self.low += row
+        self.flat = np.empty(corners[-1], np.float32)
+        self.parts, at = [], 0
+        for a, size, i, kind in zip(*(
+                x.tolist() for x in (starts[:-1], sizes, begin[:-1], kinds)), strict=True):
+            part = self.flat[at:at + size * kind].reshape(size, kind)
+            self.parts.append((part, slice(a, a + size), slice(i, i + kind)))
+            at += size * kind
 
     def logits(self, tree: np.ndarray, own: np.ndarray, hidden: np.ndarray) -> np.ndarray:
         """Logits (BITS, n). ``own``: rows of ``tree`` of the distinct nodes; the last column of
         both is the base, that of ``hidden`` 1."""
-        flat = np.empty(self.size, np.float32)
-        for part, words, nodes in self.parts(flat):
-            np.matmul(hidden[words], own[nodes].T, out=part)
+        for part, words, nodes in self.parts:
+            np.dot(hidden[words], own[nodes].T, out=part)
         found = np.empty(self.bits.shape, np.float32)
-        found[:self.top] = (hidden @ tree[:1 << self.top].T).ravel().take(self.high)
-        found[self.top:] = flat.take(self.low)
+        upper = (hidden @ tree[:1 << TOP].T).ravel()
+        upper.take(self.high, out=found[:TOP], mode="clip")
+        self.flat.take(self.low, out=found[TOP:], mode="clip")
         return found
 
     def slopes(self, tree: np.ndarray, own: np.ndarray, hidden: np.ndarray,
                error: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Slopes of the hidden states, of the upper nodes, and of the distinct nodes below."""
-        upper = np.zeros((len(hidden), 1 << self.top), np.float32)
-        upper.ravel()[self.high] = error[:self.top]
-        flat = np.zeros(self.size, np.float32)
-        flat[self.low] = error[self.top:]
+        upper = np.zeros((len(hidden), 1 << TOP), np.float32)
+        upper.ravel()[self.high] = error[:TOP]
+        self.flat.fill(0)
+        self.flat[self.low] = error[TOP:]
         back, to_own = np.empty_like(hidden), np.empty_like(own)
-        for part, words, nodes in self.parts(flat):
-            np.matmul(part, own[nodes], out=back[words])
-            np.matmul(part.T, hidden[words], out=to_own[nodes])
-        back += upper @ tree[:1 << self.top]
+        for part, words, nodes in self.parts:
+            np.dot(part, own[nodes], out=back[words])
+            np.dot(part.T, hidden[words], out=to_own[nodes])
+        back += upper @ tree[:1 << TOP]
         return back[:, :HIDDEN], upper.T @ hidden, to_own
 
 
@@ -211,15 +223,46 @@ def _sorted(span: np.ndarray, hidden: np.ndarray, n: int) -> tuple[np.ndarray, n
     return order, out
 
 
-def _step(param: np.ndarray, seen: np.ndarray, at, slope: np.ndarray) -> None:
-    """One Adagrad step on the rows ``at``."""
-    total = slope * slope
-    total += seen[at]
-    seen[at] = total
-    np.sqrt(total, out=total)
-    slope = np.divide(slope, total, out=total)
+def _rows(x: np.ndarray) -> np.ndarray:
+    """The rows of a table as single items, which are set at places much faster."""
+    return x.view(np.dtype((np.void, x.itemsize * x.shape[1])))[:, 0]
+
+
+def _summed(rows: np.ndarray, order: np.ndarray, starts: np.ndarray,
+            sizes: np.ndarray) -> np.ndarray:
+    """Sums of ``rows`` in this order, over runs, most of which have one row."""
+    out = rows.take(order[starts], axis=0)
+    many = (sizes > 1).nonzero()[0]
+    if len(many):
+        some = rows.take(order[(sizes > 1).repeat(sizes)], axis=0)
+        at = sizes[many].cumsum()
+        out[many] = np.add.reduceat(some, at - sizes[many], axis=0)
+    return out
+
+
+def _slope(seen: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """The Adagrad step for slopes; ``seen`` takes in their squares. ``slope`` is used up."""
+    seen += slope * slope
     slope *= SPEED
-    param[at] -= slope
+    slope /= np.sqrt(seen)
+    return slope
+
+
+def _step(param: np.ndarray, seen: np.ndarray, slope: np.ndarray) -> None:
+    """One Adagrad step, in place."""
+    param -= _slope(seen, slope)
+
+
+def _step_at(param: np.ndarray, seen: np.ndarray, at: np.ndarray, old: np.ndarray,
+             slope: np.ndarray) -> None:
+    """One Adagrad step on the different rows ``at``, which were ``old``, some at a time."""
+    params, all_seen = _rows(param), _rows(seen)
+    for i in range(0, len(at), STEP):
+        some = at[i:i + STEP]
+        total, new = seen.take(some, axis=0), old[i:i + STEP]
+        new -= _slope(total, slope[i:i + STEP])
+        all_seen[some] = _rows(total)
+        params[some] = _rows(new)
 
 
 def _train(net: list[np.ndarray], seen: list[np.ndarray], span: np.ndarray, n: int) -> None:
@@ -227,29 +270,33 @@ def _train(net: list[np.ndarray], seen: list[np.ndarray], span: np.ndarray, n: i
     column of its vectors, ``seen`` the squared slopes so far."""
     words, tree = net[0].take(span, axis=0), net[3]
     order, hidden = _sorted(span, _hidden(net, words), n)
-    paths = Paths(span[2:-2][order], TOP)
+    paths = Paths(span[2:-2][order])
     own = tree.take(paths.nodes, axis=0)
-    error = np.clip(paths.logits(tree, own, hidden), -50, 50)
-    error = 1 / (1 + np.exp(-error)) - paths.bits.astype(np.float32)
+    error = paths.logits(tree, own, hidden)
+    np.clip(error, -50, 50, out=error)
+    np.exp(np.negative(error, out=error), out=error)
+    error += 1
+    np.divide(1, error, out=error)
+    error -= paths.bits
     error /= n
     back, to_upper, to_own = paths.slopes(tree, own, hidden, error)
-    back = back * (1 - hidden[:, :HIDDEN] ** 2)
+    back = back * (1 - hidden ** 2)[:, :HIDDEN]
     placed = np.zeros((len(span) - 4, HIDDEN), np.float32)
     placed[order] = back
     to_words, places = np.zeros_like(words), np.empty_like(net[1])
     for j, at in enumerate(AROUND):
         seen_by = slice(2 + at, 2 + at + len(placed))
-        np.matmul(words[seen_by].T, placed, out=places[j])
+        np.dot(words[seen_by].T, placed, out=places[j])
         to_words[seen_by] += placed @ net[1][j].T
     order = np.argsort(span, kind="stable")
-    span = span[order]
-    starts = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
-    to_words = np.add.reduceat(to_words.take(order, axis=0), starts, axis=0)
-    _step(tree, seen[3], paths.nodes, to_own)
-    _step(tree, seen[3], slice(1, 1 << TOP), to_upper[1:])
-    _step(net[0], seen[0], span[starts], to_words)
-    _step(net[1], seen[1], slice(None), places)
-    _step(net[2], seen[2], slice(None), back.sum(0))
+    span = span.take(order)
+    starts, sizes = _runs(span)
+    to_words = _summed(to_words, order, starts, sizes)
+    _step_at(tree, seen[3], paths.nodes, own, to_own)
+    _step(tree[1:1 << TOP], seen[3][1:1 << TOP], to_upper[1:])
+    _step_at(net[0], seen[0], span[starts], words.take(order[starts], axis=0), to_words)
+    _step(net[1], seen[1], places)
+    _step(net[2], seen[2], np.ones(n, np.float32) @ back)
 
 
 def _round(rows: DataFrame, net: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
@@ -337,6 +384,42 @@ def fit_tokens(rows: DataFrame, rounds: int = ROUNDS) -> Model:
                  words)
 
 
+def _tiers(tree: np.ndarray) -> list[np.ndarray]:
+    """The tree as whole small trees: for each of ``TIERS``, those below the ones before, each
+    with its nodes numbered like those of the whole tree."""
+    out, above = [], 0
+    for levels in TIERS:
+        node = np.arange(1 << levels)
+        depth = np.maximum(np.frexp(node)[1] - 1, 0)
+        roots = (1 << above) + np.arange(1 << above)[:, None]
+        out.append(tree[(roots << depth) + node - (1 << depth)])
+        above += levels
+    return out
+
+
+def _lost(tiers: list[np.ndarray], leaf: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """-log P of sorted leaves: each small tree is one product with all words that pass it."""
+    lost, left = np.zeros(len(leaf)), BITS
+    leaf = leaf.astype(np.intp)
+    row = np.arange(len(leaf))
+    for tier in tiers:
+        size = tier.shape[1]
+        levels = size.bit_length() - 1
+        starts, sizes = _runs(leaf >> left)
+        product = np.empty((len(leaf), size), np.float32)
+        for a, n, tree in zip(starts.tolist(), sizes.tolist(), (leaf[starts] >> left).tolist(),
+                              strict=True):
+            np.dot(hidden[a:a + n], tier[tree].T, out=product[a:a + n])
+        left -= levels
+        own = (leaf >> left) & (size - 1) | size
+        row_at = row * size
+        for level in range(levels):
+            turned = product.ravel().take(row_at + (own >> (levels - level)))
+            turned *= 1 - 2 * (own >> (levels - 1 - level) & 1)
+            lost += np.maximum(turned, 0) + np.log(1 + np.exp(-np.abs(turned)))
+    return lost
+
+
 def log_likelihoods(net: list[np.ndarray], mass: np.ndarray,
                     texts: list[np.ndarray]) -> np.ndarray:
     """Summed log P(leaf | the words around it) - log mass of the leaf, of each text."""
@@ -344,18 +427,20 @@ def log_likelihoods(net: list[np.ndarray], mass: np.ndarray,
     if not sizes.sum():
         return np.zeros(len(texts))
     line, places = _line(texts)
-    tree = np.column_stack([net[3], net[4]])
+    tiers = _tiers(np.column_stack([net[3], net[4]]))
     found = -np.log(mass)[line[places]]
     for at in range(0, len(places), CHUNK):
         some = places[at:at + CHUNK]
-        span = _span(line, some)
-        order, hidden = _sorted(span, _hidden(net, net[0].take(span, axis=0)), len(some))
-        paths = Paths(span[2:-2][order], CHUNK_TOP)
-        turned = paths.logits(tree, tree.take(paths.nodes, axis=0), hidden)
-        turned *= (1 - 2 * paths.bits).astype(np.float32)
-        lost = np.maximum(turned, 0) + np.log(1 + np.exp(-np.abs(turned)))
-        words = np.searchsorted(some, order + some[0])
-        found[at + words] -= lost.sum(axis=0, dtype=float)
+        hidden = np.ones((len(some), HIDDEN + 1), np.float32)
+        for i in range(0, len(some), BATCH):
+            part = some[i:i + BATCH]
+            states = _hidden(net, net[0].take(_span(line, part), axis=0))
+            hidden[i:i + BATCH, :HIDDEN] = states.take(part - part[0], axis=0)
+        leaf = line[some]
+        order = np.argsort(leaf, kind="stable")
+        for i in range(0, len(some), BLOCK):
+            part = order[i:i + BLOCK]
+            found[at + part] -= _lost(tiers, leaf[part], hidden.take(part, axis=0))
     sums = np.zeros(len(texts))
     some = np.flatnonzero(sizes)
     sums[some] = np.add.reduceat(found, (np.cumsum(sizes) - sizes)[some])
@@ -400,15 +485,14 @@ def score_tokens(rows: DataFrame, model: Model) -> DataFrame:
                 "rare", "times"), "scored")
     rare = found.select("doc", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "doc", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
-    # sums of doubles in one order, so that reruns agree
+    # sums of whole numbers have no order, so that reruns agree after one exchange by document
+    point = F.round(F.log(F.col("n") + EXTRA) * POINT).cast("long")
+    unseen = F.lit(round(math.log(EXTRA) * POINT))
     rest = (
-        rare.join(model.words, "word", "left")
-        .groupBy("doc", F.coalesce("n", F.lit(0)).alias("n")).agg(F.sum("times").alias("times"))
-        .groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "times"))).alias("all"))
-        .select("doc", F.aggregate("all", F.lit(0.0), lambda s, x: s + x["times"] * F.log(
-            x["n"] + EXTRA)).alias("rest")))
+        rare.join(model.words.select("word", point.alias("point")), "word", "left")
+        .groupBy("doc").agg(F.sum(F.col("times") * F.coalesce("point", unseen)).alias("rest")))
     both = found.join(rest, "doc", "left")
-    total = F.col("most") + F.coalesce("rest", F.lit(0.0))
+    total = F.col("most") + F.coalesce("rest", F.lit(0)) / POINT
     return both.select(
         "doc_id", "n_tokens", total.alias("log_likelihood"),
         F.try_divide(total, F.col("n_tokens")).alias("mean_log_likelihood"))

@@ -130,3 +130,44 @@ def test_a_step_holds_no_vector_per_word_and_level():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 2 * 4 * lm.BITS * lm.HIDDEN * len(places)
+
+
+def test_joined_counts_are_dealt_once_by_document(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COMMON", 1)
+    texts = ["a a a b c " * 20_000, "b d", "new " * 3, None]
+    model = lm.fit(docs_of(spark, texts[:2]), rounds=1)
+    found = lm.score(docs_of(spark, texts), model)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # one by document after the join, none by document and count
+    assert plan.count("Aggregate [doc#") == 1 and "collect_list" not in plan
+    got = {r["doc_id"]: r["log_likelihood"] for r in found.collect()}
+    for i, text in enumerate(texts[:3]):
+        n, total = plain_score(model, text)
+        assert abs(got[i] - total) < 1e-4 * n
+    assert got[3] == 0
+
+
+def test_small_trees_lose_what_single_walks_lose():
+    rng = np.random.default_rng(6)
+    tree = rng.normal(0, 1, (lm.LEAVES, lm.HIDDEN + 1)).astype(np.float32)
+    tiers = lm._tiers(tree)
+    for leaf in ([0], [lm.LEAVES - 1] * 3, rng.integers(0, lm.LEAVES, 200), [5, 5, 6, 9000]):
+        leaf = np.sort(np.array(leaf, np.int16))
+        hidden = rng.normal(0, 1, (len(leaf), lm.HIDDEN + 1)).astype(np.float32)
+        got = lm._lost(tiers, leaf, hidden)
+        for i, at in enumerate(leaf.tolist()):
+            lost = 0.0
+            for level in range(lm.BITS):
+                logit = float(hidden[i] @ tree[1 << level | at >> (lm.BITS - level)])
+                bit = at >> (lm.BITS - 1 - level) & 1
+                lost += np.log1p(np.exp(-logit if bit else logit))
+            assert abs(got[i] - lost) < 1e-3
+
+
+def test_slopes_of_equal_words_are_summed():
+    rng = np.random.default_rng(7)
+    for words in (rng.integers(0, 9, 40), np.arange(5), np.zeros(4, int)):
+        rows, order = rng.normal(0, 1, (len(words), 3)), np.argsort(words, kind="stable")
+        starts, sizes = lm._runs(words[order])
+        assert np.allclose(lm._summed(rows, order, starts, sizes),
+                           [rows[words == x].sum(0) for x in np.unique(words)])
