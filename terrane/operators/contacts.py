@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from terrane.functions.lists import range_positions
+from terrane.operators import bricks
 from terrane.operators.numbering import block_numbers
 from terrane.session import written
 
@@ -86,51 +89,41 @@ def confident(minimum: float | None) -> Column:
     return F.coalesce(F.col("plddt") >= minimum, F.lit(True))
 
 
-def _half_shell() -> list[tuple[int, int, int]]:
-    """The own cell and one of each pair of opposite neighbours: 14 of 27 cells."""
-    steps = (-1, 0, 1)
-    return [c for c in ((i, j, k) for i in steps for j in steps for k in steps) if c >= (0, 0, 0)]
-
-
 def contact_pairs(
     positions: DataFrame, by: Sequence[str], limit: float = CONTACT_LIMIT
 ) -> DataFrame:
     """Pairs ``pos1 < pos2`` of one group with 0 < distance < ``limit``.
 
-    Space is cut into cells as wide as the limit, so partners lie in the same or a
-    neighbouring cell. One side is copied to half of the neighbours, which meets
-    every pair once, and the sides join on the cell: a large structure is spread
-    over its cells.
+    Space is cut into bricks of cells as wide as the limit. A pair is found in the brick of its
+    later point, so a point goes to its own brick and, from the brick's rim, to the neighbours
+    that its half shell of cells reaches: most points are sent once. A large structure is spread
+    over its bricks; small ones share a task.
     """
+    schema = positions.schema
+    found = StructType([
+        *[schema[c] for c in by], *[StructField(p, schema["pos"].dataType) for p in ("pos1", "pos2")]])
+    points = positions.select(*by, "pos", "x", "y", "z").dropna()
     cell = {a: F.floor(F.col(a) / F.lit(limit)).cast("bigint") for a in "xyz"}
-    points = positions.select(*by, "pos", "x", "y", "z").filter(
-        F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull()
-    )
-    right = points.select(
-        *by, *[cell[a].alias(f"c{a}") for a in "xyz"],
-        F.col("pos").alias("q"), *[F.col(a).alias(f"{a}q") for a in "xyz"],
-    )
-    shell = F.array(*[
-        F.struct(*[F.lit(step).alias(f"d{a}") for a, step in zip("xyz", offset)])
-        for offset in _half_shell()
-    ])
-    left = points.withColumn("shell", F.explode(shell)).select(
-        *by, *[(cell[a] + F.col(f"shell.d{a}")).alias(f"c{a}") for a in "xyz"],
-        F.col("pos").alias("p"), *[F.col(a).alias(f"{a}p") for a in "xyz"],
-        (F.expr("shell.dx = 0 AND shell.dy = 0 AND shell.dz = 0")).alias("own"),
-    )
-
-    def square(axis: str) -> Column:
-        gap = F.col(f"{axis}p") - F.col(f"{axis}q")
-        return gap * gap
 
-    apart = square("x") + square("y") + square("z")
-    return (
-        left.join(right, [*by, "cx", "cy", "cz"])
-        .filter((~F.col("own") | (F.col("p") < F.col("q"))))
-        .filter((apart > 0) & (apart < limit * limit))
-        .select(*by, F.least("p", "q").alias("pos1"), F.greatest("p", "q").alias("pos2"))
+    def brick(*steps: int) -> Column:
+        return F.struct(*[
+            F.shiftright(cell[a] + F.lit(bricks.SHIFT + step), bricks.BITS).alias(f"_b{a}")
+            for a, step in zip("xyz", steps)])
+
+    own = brick(0, 0, 0)
+    rim = F.lit(False)
+    for a, steps in zip("xyz", ((1,), (-1, 1), (-1, 1))):
+        for step in steps:
+            at = [step if b == a else 0 for b in "xyz"]
+            rim = rim | (brick(*at).getField(f"_b{a}") != own.getField(f"_b{a}"))
+    reached = F.array_distinct(F.array(*[brick(*step) for step in bricks.half_shell()]))
+    keys = [*by, "_bx", "_by", "_bz"]
+    sent = (
+        points.withColumn("_brick", F.explode(F.when(rim, reached).otherwise(F.array(own))))
+        .select(*by, "_brick.*", "pos", "x", "y", "z")
+        .repartition(*keys).sortWithinPartitions(*keys)
     )
+    return sent.mapInArrow(partial(bricks.found_pairs, by=list(by), limit=float(limit)), found)
 
 
 def _meet(queries: DataFrame, references: DataFrame, on: list[str], light: bool,

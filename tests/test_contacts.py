@@ -1,10 +1,12 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from terrane.operators import contacts
+from terrane.operators import bricks, contacts
 from terrane.plans.distances import update_distances
 from terrane.sources.structures import atom_line, parse_atoms, read_structures
 
@@ -70,6 +72,71 @@ def test_grid_join_equals_brute_force(spark, cloud):
     }
 
 
+def exchanged(df):
+    """Rows that the exchanges of a query write, from the plan after its run."""
+    df.collect()
+
+    def rows(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return rows(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return rows(node.plan())
+        own = 0
+        if kind == "ShuffleExchangeExec":
+            own = node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        return own + sum(rows(children.apply(i)) for i in range(children.size()))
+
+    return rows(df._jdf.queryExecution().executedPlan())
+
+
+def test_many_bricks_equal_brute_force(spark):
+    """A cloud that reaches over 18 bricks of two groups, with points on the bricks' borders."""
+    rng = random.Random(11)
+    edge = bricks.SHIFT * 4.5
+    points = [tuple(rng.uniform(-2, 2) + rng.choice([-edge, edge]) for _ in range(3))
+              for _ in range(160)]
+    points += [tuple(rng.uniform(-edge - 9, edge + 9) for _ in range(2)) + (edge,)
+               for _ in range(60)]
+    points += [(x * edge, 0.0, 0.0) for x in (-1, 1)] + [(edge - 4.4, 0.0, 0.0)]
+    df = contacts.align(contacts.atoms_for(
+        atoms(spark, structure("a", points), structure("b", points[:50]))))
+    got = sorted(
+        (r.structure_id, r.pos1 & 0xFFFFFFFF, r.pos2 & 0xFFFFFFFF)
+        for r in contacts.contact_pairs(df, ["structure_id", "sd_context"], 4.5).collect())
+    assert got == sorted(
+        (name, i, j) for name, n in (("a", len(points)), ("b", 50))
+        for i in range(n) for j in range(i + 1, n) if 0 < math.dist(points[i], points[j]) < 4.5)
+
+
+def test_bricks_go_over_batches(monkeypatch):
+    """A brick that ends behind the next batch is searched whole, and few pairs at a time."""
+    monkeypatch.setattr(bricks, "ROWS", 3)
+    monkeypatch.setattr(bricks, "CANDIDATES", 4)
+    rng = random.Random(3)
+    rows = sorted((rng.choice("abcdef"), i, *(rng.uniform(0, 8) for _ in range(3))) for i in range(60))
+    columns = [list(c) for c in zip(*rows)]
+    zero = np.zeros(len(rows), np.int64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(columns[0]), *[pa.array(zero)] * 3, *[pa.array(c) for c in columns[1:]]],
+        names=["s", "_bx", "_by", "_bz", "pos", "x", "y", "z"])
+    parts = (batch.slice(i, 7) for i in range(0, 60, 7))
+    got = sorted(
+        (r["s"], r["pos1"], r["pos2"])
+        for out in bricks.found_pairs(parts, ["s"], 4.5) for r in out.to_pylist())
+    assert got == sorted(
+        (a[0], *sorted((a[1], b[1]))) for n, a in enumerate(rows) for b in rows[:n]
+        if a[0] == b[0] and math.dist(a[2:], b[2:]) < 4.5)
+
+
+def test_contacts_send_most_points_once(spark, cloud):
+    df = atoms(spark, *[structure(f"{n}{i}", p) for n, p in cloud.items() for i in range(10)])
+    placed = df.withColumn("pos", F.col("atom_id").cast("bigint"))
+    # 14 copies of every point, and the points again, before
+    assert exchanged(contacts.contact_pairs(placed, ["structure_id"])) <= 1.5 * df.count()
+
+
 def test_limit_and_equal_places_are_no_contact(spark):
     points = [(0, 0, 0), (4.5, 0, 0), (0, 0, 0), (0, 4.25, 0)]
     df = contacts.align(contacts.atoms_for(atoms(spark, structure("a", points))))
