@@ -155,7 +155,8 @@ def structural_distance(
     ``queries`` are atoms with ``structure_id``; ``references`` also carry ``subtype``,
     ``protein``, and ``reference_context``. Only positions present in both structures
     count. With Q and R the contacts of the two on those positions the distance is
-    |Q| + |R| - 2 |Q and R|, so only counts are shuffled by (query, reference):
+    |Q| + |R| - 2 |Q and R|, so every row becomes a change of the distance of a (query,
+    reference), and these are summed in the task before their only exchange:
 
     * |Q| and |Q and R| come from the query's contacts, met by the list of references
       per position and per reference contact. References are a handful per context.
@@ -203,38 +204,30 @@ def structural_distance(
     )
     first = having.select("sd_context", F.col("pos").alias("pos1"), F.col("refs").alias("refs1"))
     second = having.select("sd_context", F.col("pos").alias("pos2"), F.col("refs").alias("refs2"))
-    # contacts that meet the same references count together before they are spread
+    # every row is a change of a distance, and all are summed at once: a query's contact counts
+    # for each reference that has both positions, and against one that has the contact too
     met = _meet(contact_pairs(q_pos, by, limit), first, ["sd_context", "pos1"], light)
     met = _meet(met, second, ["sd_context", "pos2"], light)
     in_query = (
         _meet(met, touching, ["sd_context", "pos1", "pos2"], light, "left")
-        .groupBy(*by, F.array_intersect("refs1", "refs2").alias("refs"), "shared")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(*by, "shared", "n", F.explode("refs").alias("ref"))
-        .groupBy(*by, "ref")
-        .agg(
-            F.sum("n").alias("n_query"),
-            F.sum(F.when(F.array_contains("shared", F.col("ref")), F.col("n"))).alias("n_both"),
-        )
+        .select(*by, "shared", F.explode(F.array_intersect("refs1", "refs2")).alias("ref"))
+        .select(*by, "ref", F.when(F.array_contains("shared", F.col("ref")), -1).otherwise(1)
+                .cast("bigint").alias("d"))
     )
 
-    # positions of any reference that a query lacks, and the reference contacts lost
-    present = q_all.select(*by).distinct()
-    # a set difference inside one row of a structure: no row per structure and position
-    own = q_pos.groupBy(*by).agg(F.collect_set("pos").alias("own"))
+    # positions of any reference that a query lacks, by a set difference inside one row of a
+    # structure, and the reference contacts lost: each at its first position that is lacking
+    present = q_all.groupBy(*by).agg(F.collect_set(F.when(F.col("kept"), F.col("pos"))).alias("own"))
     wanted = having.groupBy("sd_context").agg(F.collect_set("pos").alias("wanted"))
-    none = F.array().cast("array<bigint>")
-    lacking = _meet(present, wanted, ["sd_context"], light).join(own, by, "left").select(
-        *by, F.explode(F.array_except("wanted", F.coalesce("own", none))).alias("pos"))
+    lacking = _meet(present, wanted, ["sd_context"], light).select(
+        *by, F.array_except("wanted", "own").alias("lacking")
+    ).select(*by, "lacking", F.explode("lacking").alias("pos"))
     ends = touching.select(
-        "sd_context", "pos1", "pos2", F.explode(F.array("pos1", "pos2")).alias("pos")
-    )
-    gone = _meet(lacking, ends, ["sd_context", "pos"], light).select(
-        *by, "pos1", "pos2").distinct()
+        "sd_context", "pos1", "shared", F.explode(F.array("pos1", "pos2")).alias("pos"))
+    at_first = (F.col("pos") == F.col("pos1")) | ~F.array_contains("lacking", F.col("pos1"))
     lost = (
-        _meet(gone, touching, ["sd_context", "pos1", "pos2"], light)
-        .select(*by, F.explode("shared").alias("ref"))
-        .groupBy(*by, "ref").agg(F.count(F.lit(1)).alias("n_lost"))
+        _meet(lacking, ends, ["sd_context", "pos"], light).filter(at_first)
+        .select(*by, F.explode("shared").alias("ref"), F.lit(-1).cast("bigint").alias("d"))
     )
 
     totals = (
@@ -244,16 +237,15 @@ def structural_distance(
             .agg(F.count(F.lit(1)).alias("n_ref")),
             ["sd_context", "ref"], "left",
         )
-        .join(numbered.drop("structure_id"), "ref")
     )
-
-    def known(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
+    every = _meet(present.select(*by), totals, ["sd_context"], light).select(
+        *by, "ref", F.coalesce("n_ref", F.lit(0)).alias("d"))
+    changed = every.unionByName(in_query).unionByName(lost)
+    names = totals.drop("n_ref").join(numbered.drop("structure_id"), "ref")
 
     return (
-        _meet(present, totals, ["sd_context"], light)
-        .join(in_query, [*by, "ref"], "left")
-        .join(lost, [*by, "ref"], "left")
+        _meet(changed.groupBy(*by, "ref").agg(F.sum("d").alias("sd")), names,
+              ["sd_context", "ref"], light)
         .select(
             "protein", "subtype", "reference_context",
             F.col("structure_id").alias("identifier"),
@@ -262,7 +254,6 @@ def structural_distance(
             F.lit(confidence).cast("double").alias("sd_confidence"),
             F.lit(proteomic_context).cast("string").alias("proteomic_context"),
             F.lit(sites).cast("string").alias("site_range"),
-            (known("n_query") + known("n_ref") - known("n_lost") - 2 * known("n_both"))
-            .cast("int").alias("sd"),
+            F.col("sd").cast("int").alias("sd"),
         )
     )

@@ -165,6 +165,33 @@ def test_masked_atoms_count_for_nothing(spark, cloud):
         dict(enumerate(cloud["a"])), dict(enumerate(cloud["b"])))
 
 
+def masked(rng, name, points, share=0.2):
+    """A structure some of whose atoms are of low confidence, and its kept positions."""
+    low = {i for i in range(len(points)) if rng.random() < share}
+    rows = [row[:-1] + (10.0,) if row[4] - 1 in low else row for row in structure(name, points)]
+    return rows, {i: p for i, p in enumerate(points) if i not in low}
+
+
+@pytest.mark.parametrize("entries", [contacts.MAX_BROADCAST_ENTRIES, 0])
+def test_distance_of_masked_structures_sums_before_it_sends(spark, cloud, monkeypatch, entries):
+    """Lacking both ends of a contact takes it off once, whether references are broadcast or
+    copied, and what is exchanged is points and sums, not contacts."""
+    monkeypatch.setattr(contacts, "MAX_BROADCAST_ENTRIES", entries)
+    monkeypatch.setattr(contacts, "SALTS", 3)
+    rng = random.Random(5)
+    made = {
+        f"{n}{i}": masked(rng, f"{n}{i}", [tuple(c / 2 for c in p) for p in cloud[n]])
+        for n in "abc" for i in range(4)}
+    queries = atoms(spark, *[rows for rows, _ in made.values()])
+    df = contacts.structural_distance(queries, as_reference(queries))
+    sent = exchanged(df)
+    got = {(r.identifier, r.reference_context.removeprefix("ref-")): r.sd for r in df.collect()}
+    assert got == {(q, r): brute(made[q][1], made[r][1]) for q in made for r in made}
+    if entries:
+        # one row a contact, or a lost contact of the references, before
+        assert sent < 6 * queries.count()
+
+
 def test_shorter_chain_is_padded_at_its_end(spark):
     line = [(4 * i, 0, 0) for i in range(6)]
     full = structure("full", line, chains={3: "B", 4: "B", 5: "B"})
