op3_neighbours: windows read in order, and begun where the last query ended

Symptom: over 51,282 vectors op3_neighbours took 2403 Python CPU seconds a GB, nearly all of its time, in the tasks that search shards.
Evidence: the sorted projections lay row by row, so each of a query's 128 window searches first copied a strided column and each window was read 512 bytes apart; every query also began at the first of 28 rounds, where too few rows can collide.
Fix: projections lie direction by direction, windows of 16 queries are looked up together, and a query begins in the round where the last one ended and goes back or on to the first round with enough rows; results are the same to the last bit.
Effect: at 0.6 GB of input CPU 703 -> 246 s, shuffle 0.17 -> 0.17 GB, spill 0.00 -> 0.00 GB, read 0.10 -> 0.10 GB, longest task 52 -> 13 s, most memory of a task 69 -> 69 MB; at 6 GB of input CPU 12481 -> 4519 s, shuffle 5.52 -> 5.52 GB, spill 0.00 -> 0.00 GB, read 1.02 -> 1.02 GB, longest task 162 -> 59 s, most memory of a task 139 -> 139 MB; with hot keys, at 0.6 GB of input CPU 583 -> 241 s, shuffle 0.14 -> 0.14 GB, spill 0.00 -> 0.00 GB, read 0.10 -> 0.10 GB, longest task 42 -> 12 s, most memory of a task 68 -> 68 MB.

@@ -4,7 +4,8 @@ A shard keeps, for each of ``PROJECTIONS`` directions, its unit vectors sorted b
 projection. A query's window in each array is centred at its own projection. Windows grow by
 ``GROWTH`` in every round (virtual rehashing: a wider hash without a new table), and a vector
 that lies in the windows of at least ``COLLISIONS`` of the arrays is verified with its exact
-cosine. The rounds end when ``SHARE`` of the shard and k more have been verified, or all.
+cosine. The rounds end when ``SHARE`` of the shard and k more have been verified, or all. As
+queries end in rounds near each other, a query's rounds begin where the last query's ended.
 Directions come in orthonormal sets, so that they tell as much as possible together.
 """
 
@@ -18,6 +19,8 @@ from terrane.llm.vectors import tiled_top, usable
 PROJECTIONS, COLLISIONS, SHARE, SEED = 64, 0.8, 0.1, 11
 #: Half width of the first windows, and its factor in each round.
 WIDTH, GROWTH = 0.05, 1.15
+#: Queries whose windows are looked up together.
+WINDOW_ROWS = 16
 
 
 def directions(dim: int) -> np.ndarray:
@@ -27,36 +30,56 @@ def directions(dim: int) -> np.ndarray:
 
 
 class Shard:
-    """The sorted projections of unit vectors."""
+    """The sorted projections of unit vectors, one direction after the other in memory, so that
+    a window is read from one place."""
 
     def __init__(self, unit: np.ndarray):
         self.axes = directions(unit.shape[1])
-        places = unit @ self.axes
-        self.order = np.argsort(places, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(places, self.order, axis=0)
+        places = (unit @ self.axes).T.copy()
+        self.order = np.argsort(places, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(places, self.order, axis=1)
         self.n = len(unit)
 
-    def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Rows that collide with a unit vector often enough."""
-        centre, m = query @ self.axes, self.axes.shape[1]
-        need = int(np.ceil(COLLISIONS * m))
-        enough = min(self.n, int(np.ceil(SHARE * self.n)) + k)
-        counts = np.zeros(self.n, np.int64)
+    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of unit vectors begin and end, by query, round, and direction."""
         rounds = int(np.ceil(np.log(2.1 / WIDTH) / np.log(GROWTH))) + 1
         widths = WIDTH * GROWTH ** np.arange(rounds)  # the last window holds every projection
-        low = np.stack([np.searchsorted(self.sorted[:, j], centre[j] - widths)
-                        for j in range(m)])
-        high = np.stack([np.searchsorted(self.sorted[:, j], centre[j] + widths, "right")
-                         for j in range(m)])
-        left = right = low[:, 0]
-        for r in range(rounds):
-            parts = [p for j in range(m) for p in (
-                self.order[low[j, r]:left[j], j], self.order[right[j]:high[j, r], j])]
-            counts += np.bincount(np.concatenate(parts), minlength=self.n)
-            left, right = low[:, r], high[:, r]
-            if np.count_nonzero(counts >= need) >= enough:
-                break
-        return np.flatnonzero(counts >= need)
+        centres = np.stack([query @ self.axes for query in queries])[:, None, :]
+        below, above = centres - widths[:, None], centres + widths[:, None]
+        low, high = np.empty(below.shape, np.int64), np.empty(above.shape, np.int64)
+        for j, places in enumerate(self.sorted):
+            low[:, :, j] = np.searchsorted(places, below[:, :, j])
+            high[:, :, j] = np.searchsorted(places, above[:, :, j], "right")
+        return low, high
+
+    def collisions(self, *spans: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """How often every row lies in spans of the arrays, given by their begins and ends."""
+        parts = [rows[a:b] for begins, ends in spans
+                 for rows, a, b in zip(self.order, begins.tolist(), ends.tolist(), strict=True)]
+        return np.bincount(np.concatenate(parts), minlength=self.n)
+
+    def candidates(self, low: np.ndarray, high: np.ndarray, k: int, r: int) -> tuple[
+            np.ndarray, int]:
+        """Rows that collide often enough with the query of these windows, in the first round
+        that has enough of them, and that round.
+
+        Windows of a later round hold those of an earlier one, so the rounds may begin at any
+        ``r``: they go back while the round before has enough, and on while there are too few.
+        """
+        need = int(np.ceil(COLLISIONS * self.axes.shape[1]))
+        enough = min(self.n, int(np.ceil(SHARE * self.n)) + k)
+        counts = self.collisions((low[r], high[r]))
+        if np.count_nonzero(counts >= need) >= enough:
+            while r > 0:
+                fewer = counts - self.collisions((low[r], low[r - 1]), (high[r - 1], high[r]))
+                if np.count_nonzero(fewer >= need) < enough:
+                    break
+                counts, r = fewer, r - 1
+        else:
+            while r + 1 < len(low) and np.count_nonzero(counts >= need) < enough:
+                r += 1
+                counts += self.collisions((low[r], low[r - 1]), (high[r - 1], high[r]))
+        return np.flatnonzero(counts >= need), r
 
 
 def search(vectors: DataFrame, every: int, k: int) -> DataFrame:
@@ -76,15 +99,20 @@ def search(vectors: DataFrame, every: int, k: int) -> DataFrame:
         queries = queries / np.abs(queries).max(axis=1, keepdims=True)
         norms = np.sqrt((held * held).sum(axis=1))
         shard = Shard(held / norms[:, None])
-        out = []
-        for q, query in zip(own, queries, strict=True):
-            norm = np.sqrt((query * query).sum())
-            # one more for each row of the query's own id, which is no candidate
-            at = shard.candidates(query / norm, k + int(np.count_nonzero(ids == q)))
-            at = at[ids[at] != q]
-            cosine = (held[at] * query).sum(axis=1) / (norms[at] * norm)
-            pick = np.lexsort((ids[at], -cosine))[:k]
-            out.append([(float(cosine[i]), int(ids[at[i]])) for i in pick])
+        out, r = [], 0
+        for start in range(0, len(own), WINDOW_ROWS):
+            some = queries[start:start + WINDOW_ROWS]
+            sizes = np.array([np.sqrt((query * query).sum()) for query in some])
+            windows = shard.windows(some / sizes[:, None])
+            for q, query, norm, low, high in zip(
+                    own[start:start + WINDOW_ROWS], some, sizes, *windows, strict=True):
+                # one more for each row of the query's own id, which is no candidate; queries
+                # end in rounds near each other, so the next begins where this one ended
+                at, r = shard.candidates(low, high, k + int(np.count_nonzero(ids == q)), r)
+                at = at[ids[at] != q]
+                cosine = (held[at] * query).sum(axis=1) / (norms[at] * norm)
+                pick = np.lexsort((ids[at], -cosine))[:k]
+                out.append([(float(cosine[i]), int(ids[at[i]])) for i in pick])
         return out
 
     return tiled_top(rows, every, k, per_tile, "double")

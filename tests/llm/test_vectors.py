@@ -81,3 +81,45 @@ def test_recall_on_the_test_table(spark):
 def test_empty_tables(spark):
     none = table(spark, [])
     assert topk.search(none, 20, 3).count() == neighbours.search(none, 20, 3).count() == 0
+
+
+def plain_candidates(unit, query, k):
+    """Windows widened from the first round on, every round counted anew."""
+    axes = neighbours.directions(unit.shape[1])
+    places, centre, m = unit @ axes, query @ axes, axes.shape[1]
+    enough = min(len(unit), int(np.ceil(neighbours.SHARE * len(unit))) + k)
+    rounds = int(np.ceil(np.log(2.1 / neighbours.WIDTH) / np.log(neighbours.GROWTH))) + 1
+    for r, width in enumerate(neighbours.WIDTH * neighbours.GROWTH ** np.arange(rounds)):
+        met = ((places >= centre - width) & (places <= centre + width)).sum(axis=1)
+        found = np.flatnonzero(met >= int(np.ceil(neighbours.COLLISIONS * m)))
+        if len(found) >= enough:
+            break
+    return found.tolist(), r
+
+
+@pytest.mark.parametrize("dim, spread", [(1, 1.0), (6, 0.0), (16, 0.3), (64, 1.0)])
+def test_candidates_from_any_round_are_those_of_the_first_enough(dim, spread):
+    rng = np.random.default_rng(dim)
+    unit = rng.normal(size=(4, dim))[rng.integers(0, 4, 200)] + spread * rng.normal(
+        size=(200, dim))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    shard = neighbours.Shard(unit)
+    for query, low, high in zip(unit[:12], *shard.windows(unit[:12]), strict=True):
+        for k in (1, 30, 500):
+            want = plain_candidates(unit, query, k)
+            for r in (0, 7, len(low) - 1):
+                got, ended = shard.candidates(low, high, k, r)
+                assert (got.tolist(), ended) == want
+
+
+def test_a_query_begins_where_the_last_one_ended(monkeypatch):
+    unit = np.random.default_rng(5).normal(size=(600, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    counted, count = [], neighbours.Shard.collisions
+    monkeypatch.setattr(neighbours.Shard, "collisions",
+                        lambda self, *spans: counted.append(1) or count(self, *spans))
+    shard, r, rounds = neighbours.Shard(unit), 0, []
+    for low, high in zip(*shard.windows(unit[:50]), strict=True):
+        _, r = shard.candidates(low, high, 5, r)
+        rounds.append(r)
+    assert min(rounds) >= 6 and len(counted) <= 50 * 3
