@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
@@ -13,21 +13,31 @@ BLOCK = 4096
 
 @dataclass(frozen=True)
 class Blocks:
-    """Rows cut into blocks of the order column, and the rows before each block."""
+    """Rows that fall into blocks of the order column, and the rows before each block."""
 
     rows: DataFrame
     starts: DataFrame
     keys: list[str]
     order: list[str]
+    block: Column
 
     def number(self, starts: DataFrame | None = None, out: str = "_number") -> DataFrame:
-        """Rows with their 0-based number in the group; other columns of ``starts`` stay."""
+        """Rows with their 0-based number in the group; other columns of ``starts`` stay.
+
+        Rows are dealt out by their block and cut into blocks on arrival, so no block number
+        travels with them. They are sorted once, for their places in the block, and that order
+        serves the join.
+        """
         blocks = (starts if starts is not None else self.starts).drop("_first")
         inside = Window.partitionBy(*self.keys, "_block").orderBy(*self.order)
+        placed = (
+            self.rows.repartition(*self.keys, self.block).withColumn("_block", self.block)
+            .withColumn("_inside", F.row_number().over(inside))
+        )
         return (
-            self.rows.join(blocks, [*self.keys, "_block"])
-            .withColumn(out, F.col("_before") + F.row_number().over(inside) - 1)
-            .drop("_block", "_before")
+            placed.join(blocks, [*self.keys, "_block"])
+            .withColumn(out, F.col("_before") + F.col("_inside") - 1)
+            .drop("_block", "_before", "_inside")
         )
 
 
@@ -42,8 +52,8 @@ def block_numbers(
     a group are sorted block by block in different tasks.
     """
     keys = list(keys)
-    rows = df.withColumn("_block", F.floor(F.col(order) / F.lit(width)))
-    counts = rows.groupBy(*keys, "_block").agg(
+    block = F.floor(F.col(order) / F.lit(width))
+    counts = df.groupBy(*keys, block.alias("_block")).agg(
         F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first")
     )
     earlier = (
@@ -53,7 +63,7 @@ def block_numbers(
     starts = counts.withColumn(
         "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     ).drop("_n")
-    return Blocks(rows, starts, keys, [order, *ties])
+    return Blocks(df, starts, keys, [order, *ties], block)
 
 
 def number_rows(
