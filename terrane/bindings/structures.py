@@ -271,7 +271,9 @@ def structure_files(spark, sf):
         spark.read.option("recursiveFileLookup", True).text(folder)
         .select("value", F.regexp_extract("_metadata.file_path", r"file=([^/]+)/", 1).alias("path"))
     )
-    return structures.parse_atoms(lines, path="path").select(
+    # the files are small: as many tasks read them as wrote them, not one for every few files
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return structures.parse_atoms(lines.coalesce(tasks), path="path").select(
         "structure_id", "relaxed", "atom_id", "element_id", "chain_id", "aa_id",
         F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round("z", 3).alias("z"),
     )

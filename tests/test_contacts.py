@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from terrane.bindings.structures import structure_files
 from terrane.operators import bricks, contacts
 from terrane.plans.distances import update_distances
 from terrane.sources.structures import atom_line, parse_atoms, read_structures
@@ -284,3 +285,22 @@ def test_update_distances(spark, tmp_path):
     assert rows["v2"].sd == rows["v3"].sd == expected
     assert rows["v2"].sd_confidence == 70.0 and rows["v3"].sd_confidence is None
     assert read_structures(spark, str(tmp_path / "new")).count() == 15
+
+
+def test_structure_files_are_read_by_few_tasks(spark, tmp_path):
+    rows = [(i, [0.01 * (i % 7), 0.5, -0.25, 0.125, 1.0], i % 3) for i in range(40)]
+    rows += [rows[3], (50, None, 1), (51, [0.5, 0.25, 0.125], 1), (52, [0.5, 0.25, 0.125, 0.0], None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # no two files share a task
+    try:
+        got = structure_files(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        got = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    # 41 structures of two atoms, and one of one atom; those without atoms have no file
+    assert sorted((int(r.structure_id), r.relaxed, r.atom_id) for r in got) == sorted(
+        [(i, label % 2 == 0, a) for i, _, label in rows[:41] for a in (1, 2)] + [(52, False, 1)])
+    assert {(r.x, r.y, r.z) for r in got if r.structure_id == "52"} == {(10.0, 5.0, 2.5)}
